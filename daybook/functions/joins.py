@@ -1,0 +1,21 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when a row count proves it small; beyond the
+# bound the plan keeps the shuffle join (and AQE may still pick a broadcast
+# from runtime sizes).
+DEFAULT_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a limit pushed into the
+    scan), so it stays cheap even when the side turns out to be large.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

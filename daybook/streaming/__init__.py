@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The job this library re-expresses is a daily batch over a full file (each
+run overwrites every table); it has no stream, watermark or state. The
+batch operators are plain DataFrame functions, so they also apply inside a
+``foreachBatch`` of a file stream if a caller needs one.
+"""
