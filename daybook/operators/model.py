@@ -24,6 +24,7 @@ from daybook.config import (
     TARGET_COL,
 )
 from daybook.errors import DataContractError
+from daybook.session import ensure_checkpoint_dir
 
 
 def cut_date(value: str) -> F.Column:
@@ -98,7 +99,15 @@ def fit_gbt(train: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES,
     get their own index (``handleInvalid='keep'``). ``maxBins`` covers the
     largest category count. Fill values and category counts come from one
     aggregation.
+
+    The training rows are checkpointed first (to the shared checkpoint
+    folder): the statistics, the indexer fit and every boosting round then
+    read stored rows, and a lost executor recomputes from those files, not
+    from the whole upstream plan. The split is one row per series and day,
+    so its size follows the calendar, not the raw input.
     """
+    ensure_checkpoint_dir(train.sparkSession)
+    train = train.checkpoint(eager=True)
     stats = train.agg(
         *[(F.min(c) - 1).alias(f"min_{c}") for c in numeric],
         *[F.count_distinct(c).alias(f"card_{c}") for c in categorical],

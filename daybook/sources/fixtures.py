@@ -3,8 +3,10 @@
 Each line item becomes one transaction: the product is the part type, the
 destination city is the customer's region, demand is the quantity. The
 mapping per field is listed in FIXTURES.md. Only inner equi-joins on the
-tables' keys; the two tiny dimensions (nation, region) are broadcast after
-a row-count check, the rest is left to the optimizer and AQE.
+tables' keys. No broadcast hints: Spark broadcasts a side only when its
+size estimate (and, after a shuffle, AQE's measured size) is below the
+threshold, and keeps a shuffle join otherwise, so the plan stays valid
+when every table is large.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.config import RAW_COLUMNS
-from daybook.functions.joins import broadcast_if_bounded
 
 STAR_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -28,16 +29,13 @@ def transactions_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions (all 33 fields, dates as text) from the test tables."""
     t = {name: read_star(spark, sf_dir, name) for name in STAR_TABLES}
 
-    # nation -> region names; both are fixed-size dimensions, checked before broadcast.
-    geo = broadcast_if_bounded(
-        t["nation"].join(broadcast_if_bounded(t["region"]),
-                         F.col("n_regionkey") == F.col("r_regionkey"))
+    # nation -> region name (customer side) and nation name (supplier side)
+    geo = (
+        t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.col("n_nationkey").alias("geo_nationkey"), "r_name")
     )
-    supplier_country = broadcast_if_bounded(
-        t["nation"].select(F.col("n_nationkey").alias("sn_nationkey"),
-                           F.col("n_name").alias("sn_name"))
-    )
+    supplier_country = t["nation"].select(F.col("n_nationkey").alias("sn_nationkey"),
+                                          F.col("n_name").alias("sn_name"))
 
     customers = (
         t["customer"].select("c_custkey", "c_nationkey", "c_mktsegment")
