@@ -1,6 +1,8 @@
 """Regression metrics as one aggregation (no collect, any number of groups).
 
-R² = 1 − SSE/SST. SST is taken in the same pass as Σy² − (Σy)²/n. When
+R² = 1 − SSE/SST. SST is taken in the same pass as n · var_pop(y), which
+Spark computes with a mergeable, numerically stable moment update (no
+Σy² − (Σy)²/n cancellation at billions of rows). When
 SST = 0 the result is 1.0 if SSE = 0 else 0.0 (the documented convention of
 common metric libraries), instead of a division by zero. Rows with a NULL
 or NaN label or prediction are left out.
@@ -31,14 +33,13 @@ def regression_metrics(df: DataFrame, label: str = "actual_demand",
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum((y - p) * (y - p)).alias("_sse"),
-            F.sum(y).alias("_sy"),
-            F.sum(y * y).alias("_syy"),
+            F.var_pop(y).alias("_var"),
             F.sum(F.abs(y - p)).alias("_sae"),
         )
     )
     n = F.col("n").cast("double")
     sse = F.col("_sse")
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / n
+    sst = F.col("_var") * n
     r2 = (F.when(sst == 0, F.when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
           .otherwise(F.lit(1.0) - sse / F.when(sst != 0, sst)))
     rmse = F.sqrt(sse / n)
