@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.config import (
@@ -24,7 +24,6 @@ from daybook.config import (
     MIN_IMPROVEMENT,
     TARGET_COL,
 )
-from daybook.functions.joins import broadcast_if_bounded
 from daybook.functions.metrics import regression_metrics
 from daybook.operators.model import cut_date
 
@@ -51,63 +50,78 @@ def assign_versions(metrics: DataFrame, model_name: str, champion: str | None,
 def champion_predictions(preds: DataFrame, versions: DataFrame,
                          alias: str = CHAMPION_ALIAS) -> DataFrame:
     """Rows of the version that holds ``alias``; zero rows when nobody does.
-    A semi join against the (row-count-checked, broadcast) alias holder."""
+    A semi join against the alias holder (one row): AQE broadcasts it from
+    its measured size, so the predictions are not shuffled."""
     holder = versions.filter(F.col("alias") == alias).select(F.col("version").alias("model_version"))
-    return preds.join(broadcast_if_bounded(holder), "model_version", "left_semi")
+    return preds.join(holder, "model_version", "left_semi")
 
 
-def decide(metrics: DataFrame, versions: DataFrame, challenger: str,
-           min_improvement: float = MIN_IMPROVEMENT) -> DataFrame:
-    """One row: decision, champion_version (the winner), champion_r2,
-    challenger_r2. Both R² are measured on the same current rows.
+def version_board(metrics: DataFrame, versions: DataFrame, challenger: str,
+                  min_improvement: float = MIN_IMPROVEMENT) -> DataFrame:
+    """Every registered version with its current metrics and this run's
+    decision on each row, computed lazily (no fetch to the driver).
+
+    The decision is per model: window columns partitioned by ``model_name``
+    carry the challenger's and the champion's R² to every version row. A
+    model has a handful of versions, so each window partition is tiny.
 
     No champion → "promoted (first model)" with champion_r2 NULL; else the
     challenger wins only if its R² is strictly above champion R² +
     ``min_improvement``. A champion or challenger without metrics is an
     error, not a decision.
     """
-    m = versions.select(F.col("version").alias("model_version"), "alias").join(
-        metrics.select("model_version", "r2"), "model_version", "full")
-    v = F.col("model_version")
+    m = versions.join(
+        metrics.select(F.col("model_version").alias("version"), "r2"), "version", "left")
+    w = Window.partitionBy("model_name")
+    v = F.col("version")
     is_chal = v == F.lit(challenger)
     is_champ = (F.col("alias") == F.lit(CHAMPION_ALIAS)) & ~is_chal
-    agg = m.agg(
-        F.max(F.when(is_chal, F.col("r2"))).alias("challenger_r2"),
-        F.max(F.when(is_champ, v)).alias("_champion"),
-        F.max(F.when(is_champ, F.col("r2"))).alias("champion_r2"),
-        F.count_if(is_champ).alias("_n_champ"),
+    board = m.select(
+        "model_name", "version", "alias", "test_r2", "r2",
+        F.max(F.when(is_chal, F.col("r2"))).over(w).alias("challenger_r2"),
+        F.max(F.when(is_champ, v)).over(w).alias("_champion"),
+        F.max(F.when(is_champ, F.col("r2"))).over(w).alias("champion_r2"),
+        F.sum(F.when(is_champ, 1).otherwise(0)).over(w).alias("_n_champ"),
+        F.sum(F.when(is_chal, 1).otherwise(0)).over(w).alias("_n_chal"),
     )
-    has_champ = F.col("_n_champ") > 0
     decision = (
-        F.when(F.col("challenger_r2").isNull(),
+        F.when(F.col("_n_chal") == 0, F.lit(None).cast("string"))  # another model
+        .when(F.col("challenger_r2").isNull(),
                F.raise_error(F.lit(f"challenger {challenger} has no metrics")).cast("string"))
-        .when(~has_champ, F.lit(DECISION_FIRST))
+        .when(F.col("_n_champ") == 0, F.lit(DECISION_FIRST))
         .when(F.col("champion_r2").isNull(),
               F.raise_error(F.lit("champion has no metrics")).cast("string"))
         .when(F.col("challenger_r2") > F.col("champion_r2") + F.lit(float(min_improvement)),
               F.lit(DECISION_PROMOTED))
         .otherwise(F.lit(DECISION_KEPT))
     )
-    return agg.select(
-        decision.alias("decision"),
-        F.when(decision == F.lit(DECISION_KEPT), F.col("_champion"))
-        .otherwise(F.lit(challenger)).alias("champion_version"),
-        F.col("champion_r2"),
-        F.col("challenger_r2"),
-    )
+    winner = (F.when(F.col("decision") == F.lit(DECISION_KEPT), F.col("_champion"))
+              .otherwise(F.lit(challenger)))
+    return board.withColumn("decision", decision).withColumn("champion_version", winner)
 
 
-def promote(versions: DataFrame, decision: Mapping) -> DataFrame:
-    """Alias table after the decision (a fetched one-row result). On
-    promotion the winner takes Champion and the Challenger alias is removed;
-    when the champion is kept, every alias stays."""
-    if decision["decision"] == DECISION_KEPT:
-        return versions.select(*VERSION_COLUMNS)
-    winner = str(decision["champion_version"])
-    alias = (F.when(F.col("version") == F.lit(winner), F.lit(CHAMPION_ALIAS))
-             .when(F.col("alias").isin(CHAMPION_ALIAS, CHALLENGER_ALIAS), F.lit(None))
-             .otherwise(F.col("alias")))
-    return versions.select("model_name", "version", alias.cast("string").alias("alias"), "test_r2")
+def decide(metrics: DataFrame, versions: DataFrame, challenger: str,
+           min_improvement: float = MIN_IMPROVEMENT) -> DataFrame:
+    """One row: decision, champion_version (the winner), champion_r2,
+    challenger_r2 (the challenger must be registered in ``versions``)."""
+    return (version_board(metrics, versions, challenger, min_improvement)
+            .filter(F.col("version") == F.lit(challenger))
+            .select("decision", "champion_version", "champion_r2", "challenger_r2"))
+
+
+def promote(metrics: DataFrame, versions: DataFrame, challenger: str,
+            min_improvement: float = MIN_IMPROVEMENT) -> DataFrame:
+    """The alias table after the decision. On promotion the winner takes
+    Champion and the Challenger alias is removed; when the champion is kept,
+    every alias stays."""
+    board = version_board(metrics, versions, challenger, min_improvement)
+    alias = (
+        F.when(F.col("decision") == F.lit(DECISION_KEPT), F.col("alias"))
+        .when(F.col("version") == F.col("champion_version"), F.lit(CHAMPION_ALIAS))
+        .when(F.col("alias").isin(CHAMPION_ALIAS, CHALLENGER_ALIAS), F.lit(None))
+        .otherwise(F.col("alias"))
+    )
+    return board.select("model_name", "version", alias.cast("string").alias("alias"), "test_r2")
 
 
 def run_summary(features: DataFrame, preds: DataFrame, cut: str,
@@ -115,29 +129,33 @@ def run_summary(features: DataFrame, preds: DataFrame, cut: str,
                 target: str = TARGET_COL) -> DataFrame:
     """One row per model version: the feature-table fingerprint (rows,
     first/last day, target sum; replaces a storage version number), the cut
-    and split sizes, and the test metrics. The fingerprint and split sizes
-    come from one pass over the feature table."""
+    and split sizes, and the test metrics.
+
+    One job, no fetch: the fingerprint (one aggregate row) and the metrics
+    (one row per version) are unioned and the fingerprint is spread to the
+    version rows by a window over the run's cut date, whose partition holds
+    the version rows plus one.
+    """
     c = cut_date(cut)
+    snap_cols = ["feature_rows", "feature_min_date", "feature_max_date", "feature_target_sum",
+                 "train_rows", "test_rows"]
     snap = features.agg(
         F.count(F.lit(1)).alias("feature_rows"),
         F.min(date_col).alias("feature_min_date"),
         F.max(date_col).alias("feature_max_date"),
-        F.coalesce(F.sum(target), F.lit(0.0)).alias("feature_target_sum"),
+        F.coalesce(F.sum(target), F.lit(0.0)).cast("double").alias("feature_target_sum"),
         F.count_if(F.col(date_col) <= c).alias("train_rows"),
         F.count_if(F.col(date_col) > c).alias("test_rows"),
-    ).first()
-    cols = [
-        F.col("model_version"),
-        F.lit(snap["feature_rows"]).cast("bigint").alias("feature_rows"),
-        F.lit(snap["feature_min_date"]).cast("date").alias("feature_min_date"),
-        F.lit(snap["feature_max_date"]).cast("date").alias("feature_max_date"),
-        F.lit(snap["feature_target_sum"]).cast("double").alias("feature_target_sum"),
-        c.alias("train_end_date"),
-        F.lit(snap["train_rows"]).cast("bigint").alias("train_rows"),
-        F.lit(snap["test_rows"]).cast("bigint").alias("test_rows"),
-        "r2", "rmse", "mae",
-    ]
+    ).select(F.lit(None).cast("string").alias("model_version"), *snap_cols,
+             c.alias("train_end_date"))
+    mets = metrics_by_version(preds).select("model_version", "r2", "rmse", "mae",
+                                            c.alias("train_end_date"))
+    w = Window.partitionBy("train_end_date")
+    both = mets.unionByName(snap, allowMissingColumns=True)
+    cols = [F.col("model_version"), *[F.max(x).over(w).alias(x) for x in snap_cols[:4]],
+            F.col("train_end_date"), *[F.max(x).over(w).alias(x) for x in snap_cols[4:]],
+            "r2", "rmse", "mae"]
     if params is not None:
         cols.insert(1, F.create_map(*[F.lit(x) for kv in sorted(params.items())
                                       for x in (str(kv[0]), str(kv[1]))]).alias("params"))
-    return metrics_by_version(preds).select(*cols)
+    return both.select(*cols).filter(F.col("model_version").isNotNull())

@@ -397,16 +397,15 @@ def q_champion_challenger(s: Stages) -> DataFrame:
        from metrics m join ({_DECISION}) d on true""")
 def q_promote_aliases(s: Stages) -> DataFrame:
     metrics, versions = _scenario(s)
-    decision = decide(metrics, versions, SCENARIO_CHALLENGER).first().asDict()
-    return promote(versions, decision)
+    return promote(metrics, versions, SCENARIO_CHALLENGER)
 
 
 @query("champion_predictions",
        f"select p.* from preds p join ({_DECISION}) d on p.model_version = d.champion_version")
 def q_champion_predictions(s: Stages) -> DataFrame:
     metrics, versions = _scenario(s)
-    decision = decide(metrics, versions, SCENARIO_CHALLENGER).first().asDict()
-    return champion_predictions(s.predictions_long, promote(versions, decision))
+    return champion_predictions(s.predictions_long,
+                                promote(metrics, versions, SCENARIO_CHALLENGER))
 
 
 # ---- the distributed model (no SQL equivalent: rows-only) ----------------------

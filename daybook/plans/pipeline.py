@@ -114,7 +114,8 @@ def run_pipeline(spark: SparkSession, source_csv: str, out_dir: str, cut: str,
                                         VERSIONS_SCHEMA))
     decision = decide(metrics, versions, version, min_improvement).first().asDict()
     res.decision = decision
-    publish(promote(versions, decision).select(*VERSION_COLUMNS), paths["model_versions"])
+    publish(promote(metrics, versions, version, min_improvement).select(*VERSION_COLUMNS),
+            paths["model_versions"])
 
     params = {k: str(v) for k, v in MODEL_PARAMS.items()} | {"iterations": str(max_iter)}
     summary = run_summary(features, preds.filter(F.col("model_version") == version), cut, params)

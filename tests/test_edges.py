@@ -188,7 +188,7 @@ def test_first_model(spark):
     r = decide(metrics, versions, "1").first()
     assert r.decision == "promoted (first model)" and r.champion_r2 is None
     assert r.champion_version == "1"
-    after = {x.version: x.alias for x in promote(versions, r.asDict()).collect()}
+    after = {x.version: x.alias for x in promote(metrics, versions, "1").collect()}
     assert after == {"1": "Champion"}
 
 
@@ -198,7 +198,7 @@ def test_tie_keeps_champion(spark):
     metrics = spark.createDataFrame([("1", 10, 0.5, 1.0, 1.0), ("2", 10, 0.5, 1.0, 1.0)], METRICS)
     r = decide(metrics, versions, "2", min_improvement=0.0).first()
     assert r.decision == "kept champion" and r.champion_version == "1"
-    after = {x.version: x.alias for x in promote(versions, r.asDict()).collect()}
+    after = {x.version: x.alias for x in promote(metrics, versions, "2", 0.0).collect()}
     assert after == {"1": "Champion", "2": "Challenger"}
 
 
@@ -208,7 +208,7 @@ def test_better_challenger_promoted(spark):
     metrics = spark.createDataFrame([("1", 10, 0.5, 1.0, 1.0), ("2", 10, 0.6, 1.0, 1.0)], METRICS)
     r = decide(metrics, versions, "2").first()
     assert (r.decision, r.champion_version, r.champion_r2, r.challenger_r2) == ("promoted", "2", 0.5, 0.6)
-    after = {x.version: x.alias for x in promote(versions, r.asDict()).collect()}
+    after = {x.version: x.alias for x in promote(metrics, versions, "2").collect()}
     assert after == {"1": None, "2": "Champion"}
     # a required margin above the gain keeps the champion
     assert decide(metrics, versions, "2", min_improvement=0.2).first().decision == "kept champion"
