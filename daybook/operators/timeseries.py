@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from daybook.config import DATE_COL, KEY_COLUMNS, SERIES_KEYS, TARGET_COL, ZERO_FILLED
+from daybook.config import DATE_COL, SERIES_KEYS, TARGET_COL, ZERO_FILLED
 from daybook.operators.aggregate import series_extent
 
 DEFAULT_LAGS = {"demand_1": 1, "demand_7": 7}
@@ -116,11 +116,8 @@ def calendar_features(df: DataFrame, date_col: str = DATE_COL) -> DataFrame:
 
 
 def build_features(daily: DataFrame, series_keys: Sequence[str] = SERIES_KEYS,
-                   date_col: str = DATE_COL, target: str = TARGET_COL) -> DataFrame:
+                   date_col: str = DATE_COL, target: str = TARGET_COL,
+                   zero_filled: Sequence[str] = ZERO_FILLED) -> DataFrame:
     """Daily aggregate → gap-filled days → features (the feature table)."""
-    filled = gapfill_days(daily, series_keys, date_col)
+    filled = gapfill_days(daily, series_keys, date_col, zero_filled)
     return add_features(filled, series_keys, date_col, target)
-
-
-def feature_key_columns() -> list[str]:
-    return list(KEY_COLUMNS)

@@ -32,7 +32,7 @@ from daybook.operators.model import fit_gbt, require_split, split_by_date
 from daybook.operators.scoring import score
 from daybook.operators.timeseries import build_features
 from daybook.functions.metrics import regression_metrics
-from daybook.sources.files import publish, read_raw_csv, read_table
+from daybook.sources.files import _fs_path, publish, read_raw_csv, read_table
 
 VERSIONS_SCHEMA = "model_name string, version string, alias string, test_r2 double"
 
@@ -46,9 +46,8 @@ class PipelineResult:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p)
 
 
 def run_pipeline(spark: SparkSession, source_csv: str, out_dir: str, cut: str,

@@ -8,6 +8,7 @@ failed contract never replaces a good table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from daybook.config import RAW_SCHEMA
-from daybook.session import staging_path
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
@@ -55,31 +55,37 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     return int(obs.get["rows"])
 
 
-def _move(spark: SparkSession, src: str, dst: str) -> None:
-    """Replace ``dst`` by ``src`` with the file system of the path (a rename
-    on HDFS-like stores)."""
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src_p = jvm.org.apache.hadoop.fs.Path(src)
-    dst_p = jvm.org.apache.hadoop.fs.Path(dst)
-    fs = dst_p.getFileSystem(conf)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _move(spark: SparkSession, src: str, dst: str, fmt: str) -> None:
+    """Replace ``dst`` by ``src``: a rename on the shared file system (both
+    sit in the same folder), else a Spark copy of the staged table."""
+    fs, dst_p = _fs_path(spark, dst)
+    _, src_p = _fs_path(spark, src)
     if fs.exists(dst_p):
         fs.delete(dst_p, True)
-    parent = dst_p.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(src_p, dst_p):
-        raise OSError(f"could not move {src} to {dst}")
+    try:
+        if fs.rename(src_p, dst_p):
+            return
+    except Exception:  # e.g. a store without rename
+        pass
+    read_table(spark, src, fmt).write.mode("overwrite").format(fmt).save(dst)
 
 
 def publish(df: DataFrame, target: str, check: Callable[[DataFrame, int], None] | None = None,
             fmt: str = "parquet") -> int:
-    """Stage → check → publish. ``check(staged_df, rows_written)`` raises to
-    stop the publish; the target keeps its previous content then."""
+    """Stage → check → publish. The staged copy is written next to the
+    target (same shared file system), ``check(staged_df, rows_written)``
+    runs on the stored rows and raises to stop the publish; the target then
+    keeps its previous content and the staged copy stays for inspection."""
     spark = df.sparkSession
-    staged = staging_path(spark, "publish")
+    staged = f"{target.rstrip('/')}._staging-{uuid.uuid4().hex[:12]}"
     rows = write_table(df, staged, fmt)
     if check is not None:
         check(read_table(spark, staged, fmt), rows)
-    _move(spark, staged, target)
+    _move(spark, staged, target, fmt)
     return rows
