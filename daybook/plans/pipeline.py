@@ -1,23 +1,29 @@
 """The whole job, stage by stage: raw CSV → bronze → silver → daily →
 features → model → decision → predictions.
 
-Every layer is written once (stage → contract → publish) and the next
-layer reads the written table, so each contract checks stored data, a
-failed contract never replaces a published table, and lineage is cut at
-every layer: a lost executor recomputes at most one stage from stored
-files. Model versions, their aliases and run summaries are tables too.
+Each stage is a function that reads the previous stage's stored table and
+publishes its own (stage → contract → publish), like the six tasks of the
+original daily job; ``run_pipeline`` runs them in order. Because every
+layer is written once and the next layer reads the written table, each
+contract checks stored data, a failed contract never replaces a published
+table, and lineage is cut at every layer: a lost executor recomputes at
+most one stage from stored files. Model versions, their aliases and run
+summaries are tables too.
 """
 
 from __future__ import annotations
 
+import argparse
+import json
 import os
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.config import MIN_IMPROVEMENT, MODEL_PARAMS
+from daybook.config import CHAMPION_ALIAS, MIN_IMPROVEMENT, MODEL_PARAMS
+from daybook.functions.metrics import regression_metrics
 from daybook.operators import contracts as C
 from daybook.operators.aggregate import daily_agg, date_range
 from daybook.operators.clean import to_silver
@@ -31,10 +37,11 @@ from daybook.operators.lifecycle import (
 from daybook.operators.model import fit_gbt, require_split, split_by_date
 from daybook.operators.scoring import score
 from daybook.operators.timeseries import build_features
-from daybook.functions.metrics import regression_metrics
 from daybook.sources.files import _fs_path, publish, read_raw_csv, read_table
 
 VERSIONS_SCHEMA = "model_name string, version string, alias string, test_r2 double"
+LAYERS = ["bronze", "silver", "daily_agg", "features", "predictions", "model_versions", "runs",
+          "models"]
 
 
 @dataclass
@@ -45,66 +52,81 @@ class PipelineResult:
     version: str = ""
 
 
+def layer_paths(out_dir: str) -> dict[str, str]:
+    return {name: os.path.join(out_dir, name) for name in LAYERS}
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return fs.exists(p)
 
 
-def run_pipeline(spark: SparkSession, source_csv: str, out_dir: str, cut: str,
-                 model_name: str = "demand_model", max_iter: int = MODEL_PARAMS["iterations"],
-                 min_improvement: float = MIN_IMPROVEMENT) -> PipelineResult:
-    paths = {name: os.path.join(out_dir, name) for name in
-             ["bronze", "silver", "daily_agg", "features", "predictions", "model_versions",
-              "runs", "models"]}
-    res = PipelineResult(paths)
-    m = res.measures
+def _keep(measures: dict, key: str, check):
+    """A publish check that also records the measured values."""
+    def run(staged: DataFrame, rows: int):
+        measures[key] = check(staged, rows)
+    return run
+
 
-    # bronze: the file as it is; rows written = rows stored
+def run_bronze(spark: SparkSession, source_csv: str, paths: dict, m: dict,
+               fmt: str = "parquet") -> None:
+    """The file as it is; rows written must equal rows stored."""
     raw = read_raw_csv(spark, source_csv)
-    m["bronze_rows"] = publish(raw, paths["bronze"],
-                               lambda staged, n: C.require_rowcount(n, staged))
-    bronze = read_table(spark, paths["bronze"])
-    m["duplicates"] = C.duplicate_summary(bronze).first().asDict()
-
-    # silver: one row per id, dates parsed; invalid dates stop the run
-    m["silver"] = None
-    publish(to_silver(bronze), paths["silver"],
-            lambda staged, n: m.__setitem__("silver", C.require_silver(staged, n)))
-    silver = read_table(spark, paths["silver"])
-    m["date_range"] = date_range(silver).first().asDict()
-
-    # daily aggregate: unique grain, every transaction counted once
+    publish(raw, paths["bronze"], _keep(m, "bronze", lambda s, n: C.require_rowcount(n, s)), fmt)
+    m["duplicates"] = C.duplicate_summary(read_table(spark, paths["bronze"], fmt)).first().asDict()
+
+
+def run_silver(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet") -> None:
+    """One row per id, dates parsed; duplicate ids or invalid dates stop the run."""
+    bronze = read_table(spark, paths["bronze"], fmt)
+    publish(to_silver(bronze), paths["silver"], _keep(m, "silver", C.require_silver), fmt)
+    m["date_range"] = date_range(read_table(spark, paths["silver"], fmt)).first().asDict()
+
+
+def run_daily(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet") -> None:
+    """Daily aggregate: unique grain, every transaction counted once."""
+    silver = read_table(spark, paths["silver"], fmt)
     publish(daily_agg(silver), paths["daily_agg"],
-            lambda staged, n: m.__setitem__("daily", C.require_daily(staged, silver, n)))
-    daily = read_table(spark, paths["daily_agg"])
+            _keep(m, "daily", lambda s, n: C.require_daily(s, silver, n)), fmt)
 
-    # features: gap-filled days, lags, rolling mean, calendar; key contract
-    def feature_contract(staged, n):
-        m["features"] = C.require_features(staged, n)
+
+def run_features(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet") -> None:
+    """Gap-filled days, lags, rolling mean, calendar; feature and key contracts."""
+    daily = read_table(spark, paths["daily_agg"], fmt)
+
+    def check(staged: DataFrame, rows: int) -> dict:
         m["key"] = C.require_key(staged)
+        return C.require_features(staged, rows)
 
-    publish(build_features(daily), paths["features"], feature_contract)
-    features = read_table(spark, paths["features"])
-    m["feature_nulls"] = C.feature_null_summary(features).first().asDict()
+    publish(build_features(daily), paths["features"], _keep(m, "features", check), fmt)
+    m["feature_nulls"] = C.feature_null_summary(
+        read_table(spark, paths["features"], fmt)).first().asDict()
 
-    # model: fit the challenger on the training split
+
+def run_training(spark: SparkSession, paths: dict, m: dict, cut: str,
+                 model_name: str = "demand_model", max_iter: int = MODEL_PARAMS["iterations"],
+                 min_improvement: float = MIN_IMPROVEMENT, fmt: str = "parquet") -> tuple[str, dict]:
+    """Fit a challenger, score it and the champion on the same test rows,
+    decide, move the aliases and append the run summary. Returns the new
+    version and the decision."""
+    features = read_table(spark, paths["features"], fmt)
     m["split"] = require_split(features, cut)
     train, test = split_by_date(features, cut)
-    versions = (read_table(spark, paths["model_versions"]) if _exists(spark, paths["model_versions"])
+    versions = (read_table(spark, paths["model_versions"], fmt)
+                if _exists(spark, paths["model_versions"])
                 else spark.createDataFrame([], VERSIONS_SCHEMA))
     known = [r.version for r in versions.select("version").collect()]  # registry rows: a handful
     version = str(max([int(v) for v in known if v.isdigit()] or [0]) + 1)
-    res.version = version
     model = fit_gbt(train, max_iter=max_iter)
     model.write().overwrite().save(os.path.join(paths["models"], version))
 
-    # champion vs challenger, both scored on the same current test rows
-    champion = [r.version for r in versions.filter(F.col("alias") == "Champion").collect()]
+    champion = [r.version for r in versions.filter(F.col("alias") == CHAMPION_ALIAS).collect()]
     preds = score(model, test, version)
     if champion:
         old = PipelineModel.load(os.path.join(paths["models"], champion[0]))
         preds = preds.unionByName(score(old, test, champion[0]))
-    metrics = metrics_by_version(preds)
+    # a few rows, read three times below: stored once (reliable checkpoint)
+    metrics = metrics_by_version(preds).checkpoint(eager=True)
     chal_r2 = metrics.filter(F.col("model_version") == version).first()["r2"]
     # the Challenger alias moves to the new version (at most one holder)
     versions = versions.withColumn(
@@ -112,19 +134,89 @@ def run_pipeline(spark: SparkSession, source_csv: str, out_dir: str, cut: str,
     ).unionByName(spark.createDataFrame([(model_name, version, "Challenger", chal_r2)],
                                         VERSIONS_SCHEMA))
     decision = decide(metrics, versions, version, min_improvement).first().asDict()
-    res.decision = decision
     publish(promote(metrics, versions, version, min_improvement).select(*VERSION_COLUMNS),
-            paths["model_versions"])
+            paths["model_versions"], fmt=fmt)
 
     params = {k: str(v) for k, v in MODEL_PARAMS.items()} | {"iterations": str(max_iter)}
     summary = run_summary(features, preds.filter(F.col("model_version") == version), cut, params)
-    summary.write.mode("append").parquet(paths["runs"])
-
-    # predictions of the (possibly new) champion, with the scoring time
-    winner = str(decision["champion_version"])
-    best = model if winner == version else PipelineModel.load(os.path.join(paths["models"], winner))
-    out = score(best, test, winner, with_timestamp=True)
+    summary.write.mode("append").format(fmt).save(paths["runs"])
+    m["decision"] = decision
+    return version, decision
+
+
+def run_predictions(spark: SparkSession, paths: dict, m: dict, cut: str,
+                    fmt: str = "parquet") -> None:
+    """The champion's predictions on the test period, with the scoring time;
+    then R² recomputed from the stored table."""
+    versions = read_table(spark, paths["model_versions"], fmt)
+    holder = [r.version for r in versions.filter(F.col("alias") == CHAMPION_ALIAS).collect()]
+    if not holder:
+        raise LookupError("no version holds the Champion alias")
+    winner = holder[0]
+    model = PipelineModel.load(os.path.join(paths["models"], winner))
+    _, test = split_by_date(read_table(spark, paths["features"], fmt), cut)
+    out = score(model, test, winner, with_timestamp=True)
     publish(out, paths["predictions"],
-            lambda staged, n: m.__setitem__("predictions", C.require_predictions(staged, n)))
-    m["r2_from_table"] = regression_metrics(read_table(spark, paths["predictions"])).first()["r2"]
+            _keep(m, "predictions", lambda s, n: C.require_predictions(s, n)), fmt)
+    m["r2_from_table"] = regression_metrics(
+        read_table(spark, paths["predictions"], fmt)).first()["r2"]
+
+
+def run_pipeline(spark: SparkSession, source_csv: str, out_dir: str, cut: str,
+                 model_name: str = "demand_model", max_iter: int = MODEL_PARAMS["iterations"],
+                 min_improvement: float = MIN_IMPROVEMENT, fmt: str = "parquet") -> PipelineResult:
+    paths = layer_paths(out_dir)
+    res = PipelineResult(paths)
+    m = res.measures
+    run_bronze(spark, source_csv, paths, m, fmt)
+    run_silver(spark, paths, m, fmt)
+    run_daily(spark, paths, m, fmt)
+    run_features(spark, paths, m, fmt)
+    res.version, res.decision = run_training(spark, paths, m, cut, model_name, max_iter,
+                                             min_improvement, fmt)
+    run_predictions(spark, paths, m, cut, fmt)
     return res
+
+
+STAGES = ["bronze", "silver", "daily", "features", "training", "predictions", "all"]
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Run one stage (or all) from the command line, e.g. as a job task:
+
+        python -m daybook.plans.pipeline features --out /shared/demand
+    """
+    ap = argparse.ArgumentParser(prog="daybook")
+    ap.add_argument("stage", choices=STAGES)
+    ap.add_argument("--source", help="raw CSV file or folder (bronze / all)")
+    ap.add_argument("--out", required=True, help="folder of the layer tables")
+    ap.add_argument("--cut", default=None, help="last training day, yyyy-MM-dd")
+    ap.add_argument("--max-iter", type=int, default=MODEL_PARAMS["iterations"])
+    ap.add_argument("--min-improvement", type=float, default=MIN_IMPROVEMENT)
+    ap.add_argument("--format", default="parquet")
+    a = ap.parse_args(argv)
+
+    from daybook.session import build_session
+    spark = build_session()
+    paths, m = layer_paths(a.out), {}
+    if a.stage == "all":
+        m = run_pipeline(spark, a.source, a.out, a.cut, max_iter=a.max_iter,
+                         min_improvement=a.min_improvement, fmt=a.format).measures
+    elif a.stage == "bronze":
+        run_bronze(spark, a.source, paths, m, a.format)
+    elif a.stage == "silver":
+        run_silver(spark, paths, m, a.format)
+    elif a.stage == "daily":
+        run_daily(spark, paths, m, a.format)
+    elif a.stage == "features":
+        run_features(spark, paths, m, a.format)
+    elif a.stage == "training":
+        run_training(spark, paths, m, a.cut, max_iter=a.max_iter,
+                     min_improvement=a.min_improvement, fmt=a.format)
+    else:
+        run_predictions(spark, paths, m, a.cut, a.format)
+    print(json.dumps(m, default=str))
+
+
+if __name__ == "__main__":
+    main()

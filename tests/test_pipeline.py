@@ -18,7 +18,7 @@ def test_pipeline_runs_twice(spark, sf_small):
 
     first = run_pipeline(spark, src, out, FIXTURE_CUT_DATE, max_iter=3)
     m = first.measures
-    assert m["bronze_rows"] == 6000
+    assert m["bronze"] == {"source_rows": 6000, "table_rows": 6000}
     assert m["silver"]["rows"] == 4599 and m["silver"]["distinct_ids"] == 4599
     assert m["daily"]["total_transactions"] == 4599
     assert m["features"]["rows"] == 74064
@@ -41,3 +41,18 @@ def test_pipeline_runs_twice(spark, sf_small):
     preds = read_table(spark, second.paths["predictions"])
     assert {r.model_version for r in preds.select("model_version").distinct().collect()} == {"1"}
     assert "predicted_at" in preds.columns
+
+
+def test_stages_from_the_command_line(spark, sf_small, capsys):
+    import json
+
+    from daybook.plans.pipeline import main
+
+    root = tempfile.mkdtemp(prefix="daybook-cli-")
+    src = write_csv(transactions_from_star(spark, sf_small), os.path.join(root, "raw"))
+    out = os.path.join(root, "tables")
+    for stage in ["bronze", "silver", "daily", "features"]:
+        main([stage, "--source", src, "--out", out])
+    measures = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert measures["features"]["rows"] == 74064 and measures["key"]["null_product_name"] == 0
+    assert read_table(spark, os.path.join(out, "features")).count() == 74064
