@@ -227,3 +227,32 @@ def test_daily_agg_conservation(spark):
     assert (r.total_demand, r.avg_unit_price, r.total_inventory, r.transaction_count) == (6.0, 4.0, 3.0, 2)
     v = C.require_daily(daily, silver)
     assert v["silver_rows"] == 3 and v["total_transactions"] == 3 and v["rows"] == 2
+
+
+def test_silver_contract_rejects_invalid_dates_and_duplicates(spark):
+    raw = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-02-30")],
+                                "transaction_id string, transaction_date string")
+    with pytest.raises(DataContractError) as e:
+        C.require_silver(parse_dates(raw))
+    assert e.value.values["invalid_dates"] == 1
+    dup = spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("a", dt.date(2024, 1, 2))],
+                                "transaction_id string, transaction_date date")
+    with pytest.raises(DataContractError):
+        C.require_silver(dup)
+    assert C.require_silver(dedupe_by_key(dup))["rows"] == 1
+
+
+def test_plot_limits(spark):
+    from daybook.operators.scoring import plot_limits
+    df = spark.createDataFrame([(1.0, 3.0), (5.0, -2.0)], "actual_demand double, predicted_demand double")
+    r = plot_limits(df).first()
+    assert (r.lower, r.upper) == (-2.0, 5.0)
+
+
+def test_champion_predictions_zero_rows_without_champion(spark):
+    from daybook.operators.lifecycle import champion_predictions
+    preds = spark.createDataFrame([("1", 1.0), ("2", 2.0)], "model_version string, predicted_demand double")
+    versions = spark.createDataFrame([("m", "1", "Challenger", 0.1), ("m", "2", None, 0.2)], VERSIONS)
+    assert champion_predictions(preds, versions).count() == 0
+    versions = spark.createDataFrame([("m", "1", "Challenger", 0.1), ("m", "2", "Champion", 0.2)], VERSIONS)
+    assert [r.model_version for r in champion_predictions(preds, versions).collect()] == ["2"]
