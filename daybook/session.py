@@ -17,7 +17,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, app_name: str = "daybook",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  driver_memory: str | None = None) -> SparkSession:
     """A session with adaptive execution on (runtime re-plan, skew split,
     partition coalescing). On a cluster, ``master`` stays None and the
     launcher's settings win."""
@@ -34,6 +35,8 @@ def build_session(master: str | None = None, app_name: str = "daybook",
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:  # local mode: the driver JVM is the whole cluster
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     return spark
