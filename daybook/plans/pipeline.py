@@ -196,9 +196,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--format", default="parquet")
     a = ap.parse_args(argv)
 
-    from daybook.session import build_session
+    from daybook.session import build_session, size_shuffles
     spark = build_session()
     paths, m = layer_paths(a.out), {}
+    # size the first shuffle from the stage's input (raw file or bronze table)
+    sized_by = a.source if a.stage in ("bronze", "all") else paths["bronze"]
+    if sized_by and _exists(spark, sized_by):
+        m["shuffle_partitions"] = size_shuffles(spark, sized_by)
     if a.stage == "all":
         m = run_pipeline(spark, a.source, a.out, a.cut, max_iter=a.max_iter,
                          min_improvement=a.min_improvement, fmt=a.format).measures

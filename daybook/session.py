@@ -59,3 +59,32 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one written table."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "staging", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+DEFAULT_SHUFFLE_PARTITIONS = "200"
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def shuffle_partitions_for(total_bytes: int, target_bytes: int = 256 << 20,
+                           floor: int = 200, cap: int = 200_000) -> int:
+    """Partitions for the first (largest) shuffle so that each holds about
+    ``target_bytes`` of input; AQE coalesces the later, smaller shuffles."""
+    return max(floor, min(cap, -(-total_bytes // target_bytes)))
+
+
+def size_shuffles(spark: SparkSession, path: str, target_bytes: int = 256 << 20) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input size, unless the
+    session was given a value of its own. Returns the value in force."""
+    current = spark.conf.get("spark.sql.shuffle.partitions")
+    if current != DEFAULT_SHUFFLE_PARTITIONS:
+        return int(current)
+    n = shuffle_partitions_for(input_bytes(spark, path), target_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

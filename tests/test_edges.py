@@ -256,3 +256,10 @@ def test_champion_predictions_zero_rows_without_champion(spark):
     assert champion_predictions(preds, versions).count() == 0
     versions = spark.createDataFrame([("m", "1", "Challenger", 0.1), ("m", "2", "Champion", 0.2)], VERSIONS)
     assert [r.model_version for r in champion_predictions(preds, versions).collect()] == ["2"]
+
+
+def test_shuffle_partitions_from_input_size():
+    from daybook.session import shuffle_partitions_for
+    assert shuffle_partitions_for(10 << 20) == 200                 # small input: the floor
+    assert shuffle_partitions_for(1 << 40) == 4096                 # 1 TiB / 256 MiB
+    assert shuffle_partitions_for(100 << 40) == 200_000            # 100 TiB: capped
