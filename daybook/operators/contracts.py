@@ -50,13 +50,21 @@ def grain_check(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> DataFrame:
     )
 
 
-def silver_check(silver: DataFrame, key: str = ID_COL, date_col: str = DATE_COL) -> DataFrame:
-    """rows, distinct_ids, date_type (the stored type name of the date)."""
+def silver_measures(silver: DataFrame, key: str = ID_COL, date_col: str = DATE_COL) -> DataFrame:
+    """rows, distinct_ids, date_type (the stored type name of the date) and
+    invalid_dates (NULL dates), all from one key pre-grouping."""
     date_type = silver.schema[date_col].dataType.simpleString()
-    return key_grouping(silver, [key]).agg(
+    g = key_grouping(silver, [key], _bad=F.when(F.col(date_col).isNull(), 1).otherwise(0))
+    return g.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
         F.count(F.lit(1)).alias("distinct_ids"),
-    ).select("rows", "distinct_ids", F.lit(date_type).alias("date_type"))
+        F.coalesce(F.sum("_bad"), F.lit(0)).cast("bigint").alias("invalid_dates"),
+    ).select("rows", "distinct_ids", F.lit(date_type).alias("date_type"), "invalid_dates")
+
+
+def silver_check(silver: DataFrame, key: str = ID_COL, date_col: str = DATE_COL) -> DataFrame:
+    """rows, distinct_ids, date_type."""
+    return silver_measures(silver, key, date_col).select("rows", "distinct_ids", "date_type")
 
 
 def conservation_check(silver: DataFrame, daily: DataFrame,
@@ -108,11 +116,12 @@ def missing_columns_frame(df: DataFrame, required: Sequence[str] = (*NUMERIC_FEA
         "rows", F.lit(n_missing).cast("int").alias("missing_columns"))
 
 
-def feature_check(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS,
-                  required: Sequence[str] = (*NUMERIC_FEATURES,),
-                  calendar: Sequence[str] = CALENDAR_COLUMNS) -> DataFrame:
-    """rows, distinct_keys, null_keys, null_calendar, missing_columns in one
-    pass (per-key counts first, then a global sum)."""
+def feature_measures(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS,
+                     required: Sequence[str] = (*NUMERIC_FEATURES,),
+                     calendar: Sequence[str] = CALENDAR_COLUMNS) -> DataFrame:
+    """rows, distinct_keys, null_keys, null_calendar, missing_columns and
+    NULLs per key column, in one pass (per-key counts first, then a global
+    sum): the feature contract and the key contract together."""
     n_missing = len(missing_columns(df, required))
     cal = [c for c in calendar if c in df.columns]
     extra = {"_cal": F.when(_any_null(cal), 1).otherwise(0)} if cal else {}
@@ -123,9 +132,19 @@ def feature_check(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS,
         F.count(F.lit(1)).alias("distinct_keys"),
         F.coalesce(F.sum(F.when(_any_null(keys), F.col("_n"))), F.lit(0)).cast("bigint").alias("null_keys"),
         null_cal.cast("bigint").alias("null_calendar"),
+        *[F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
+          .alias(f"null_{k}") for k in keys],
     ).select("*", F.lit(n_missing).cast("int").alias("missing_columns"))
 
 
+def feature_check(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS,
+                  required: Sequence[str] = (*NUMERIC_FEATURES,),
+                  calendar: Sequence[str] = CALENDAR_COLUMNS) -> DataFrame:
+    """rows, distinct_keys, null_keys, null_calendar, missing_columns."""
+    return feature_measures(df, keys, required, calendar).select(
+        "rows", "distinct_keys", "null_keys", "null_calendar", "missing_columns")
+
+
 def feature_null_summary(df: DataFrame, cols: Sequence[str] = LAG_COLUMNS) -> DataFrame:
     """NULLs per lag / rolling column (expected: the first days of each series)."""
     return df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in cols])
@@ -170,8 +189,7 @@ def require_rowcount(source_rows: int, table: DataFrame) -> dict:
 
 def require_silver(silver: DataFrame, expected_rows: int | None = None, key: str = ID_COL,
                    date_col: str = DATE_COL) -> dict:
-    v = _fetch(silver_check(silver, key, date_col))
-    v["invalid_dates"] = _fetch(silver.agg(F.count_if(F.col(date_col).isNull()).alias("n")))["n"]
+    v = _fetch(silver_measures(silver, key, date_col))
     if expected_rows is not None and v["rows"] != expected_rows:
         raise DataContractError("silver", "row count mismatch", v)
     if v["distinct_ids"] != v["rows"]:
@@ -197,7 +215,8 @@ def require_daily(daily: DataFrame, silver: DataFrame, expected_rows: int | None
 
 def require_features(df: DataFrame, expected_rows: int | None = None,
                      keys: Sequence[str] = KEY_COLUMNS) -> dict:
-    v = _fetch(feature_check(df, keys))
+    """Feature contract and key contract from one pass."""
+    v = _fetch(feature_measures(df, keys))
     if expected_rows is not None and v["rows"] != expected_rows:
         raise DataContractError("features", "row count mismatch", v)
     if v["distinct_keys"] != v["rows"]:
