@@ -72,8 +72,13 @@ def run_bronze(spark: SparkSession, source_csv: str, paths: dict, m: dict,
                fmt: str = "parquet") -> None:
     """The file as it is; rows written must equal rows stored."""
     raw = read_raw_csv(spark, source_csv)
-    publish(raw, paths["bronze"], _keep(m, "bronze", lambda s, n: C.require_rowcount(n, s)), fmt)
-    m["duplicates"] = C.duplicate_summary(read_table(spark, paths["bronze"], fmt)).first().asDict()
+
+    def check(staged: DataFrame, rows: int) -> dict:
+        v = C.require_rowcount(rows, staged, with_duplicates=True)
+        m["duplicates"] = {k: v[k] for k in ["total_rows", "distinct_rows", "duplicate_rows"]}
+        return {k: v[k] for k in ["source_rows", "table_rows"]}
+
+    publish(raw, paths["bronze"], _keep(m, "bronze", check), fmt)
 
 
 def run_silver(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet") -> None:

@@ -263,3 +263,17 @@ def test_shuffle_partitions_from_input_size():
     assert shuffle_partitions_for(10 << 20) == 200                 # small input: the floor
     assert shuffle_partitions_for(1 << 40) == 4096                 # 1 TiB / 256 MiB
     assert shuffle_partitions_for(100 << 40) == 200_000            # 100 TiB: capped
+
+
+def test_daily_measures_one_job_equals_parts(spark):
+    raw = spark.createDataFrame(
+        [("a", "2024-01-01", "p", "c", 2.0, 3.0, 1.0), ("b", "2024-01-01", "p", "c", 4.0, 5.0, 2.0),
+         ("c", "2024-01-03", "p", "c", 1.0, 1.0, 1.0)],
+        "transaction_id string, transaction_date string, product_name string, "
+        "destination_city string, demand_quantity double, unit_price_usd double, "
+        "available_inventory double")
+    silver = parse_dates(raw)
+    daily = daily_agg(silver)
+    one = C.daily_measures(daily, silver).first().asDict()
+    parts = C.grain_check(daily).first().asDict() | C.conservation_check(silver, daily).first().asDict()
+    assert one == parts == {"rows": 2, "distinct_keys": 2, "total_transactions": 3, "silver_rows": 3}
