@@ -25,11 +25,12 @@ def dedupe_by_key(df: DataFrame, key: str | Sequence[str] = ID_COL,
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = df.columns
-    order = list(order_by) if order_by else cols
-    rest = [c for c in cols if c not in order]
+    # the key is equal inside a group, so it is left out of the compared row
+    order = [c for c in (order_by or cols) if c not in keys]
+    rest = [c for c in cols if c not in order and c not in keys]
     row = F.struct(*[F.col(c) for c in order + rest])
     return df.groupBy(*keys).agg(F.min(row).alias("_row")).select(
-        *[F.col(f"_row.{c}").alias(c) for c in cols]
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in cols]
     )
 
 
