@@ -82,6 +82,10 @@ class ColumnPredictor:
         return df.withColumn(self.prediction_col, F.col(self.column).cast("double"))
 
 
+# Above this many values a categorical feature is split as an ordered index.
+MAX_CATEGORIES = 1024
+
+
 def _fill_statement(fills: dict[str, float], numeric: Sequence[str]) -> str:
     parts = [f"coalesce(`{c}`, {float(fills[c])!r}) AS `{c}__f`" for c in numeric]
     return "SELECT *, " + ", ".join(parts) + " FROM __THIS__"
@@ -121,16 +125,26 @@ def fit_gbt(train: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES,
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed,
                                     handleInvalid="keep"))
+    if max_card + 1 > MAX_CATEGORIES:
+        # Too many values for categorical splits (every bin is held per node):
+        # use the frequency-ordered index as an ordered feature instead. The
+        # arithmetic drops the nominal metadata the indexer attached.
+        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
+            f"`{c}` + 0.0 AS `{c}__ord`" for c in indexed) + " FROM __THIS__"))
+        indexed = [f"{c}__ord" for c in indexed]
+        bins = 32
+    else:
+        bins = max(32, max_card + 2)
     stages.append(VectorAssembler(inputCols=filled + indexed, outputCol="features"))
     stages.append(GBTRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
                                maxIter=max_iter, maxDepth=max_depth, stepSize=step_size, seed=seed,
-                               maxBins=max(32, max_card + 2), checkpointInterval=10))
+                               maxBins=bins, checkpointInterval=10))
     return Pipeline(stages=stages).fit(train)
 
 
 def model_feature_names(model: PipelineModel) -> list[str]:
     assembler = [s for s in model.stages if isinstance(s, VectorAssembler)][0]
-    return [c.rsplit("__", 1)[0] for c in assembler.getInputCols()]
+    return [c.split("__", 1)[0] for c in assembler.getInputCols()]
 
 
 def feature_importance(model: PipelineModel) -> DataFrame:

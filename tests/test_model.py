@@ -112,3 +112,18 @@ def test_unseen_category_and_null_features(spark, signal_features):
         "demand_7 double, rolling_7_day_avg double, month int, day_of_week int, total_demand double")
     r = score(model, odd, "a").first()
     assert r.predicted_demand is not None
+
+
+def test_many_categories_become_an_ordered_index(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(3000).select(
+        F.concat(F.lit("p"), F.col("id").cast("string")).alias("product_name"),
+        F.lit("X").alias("destination_city"),
+        (F.col("id") % 7).cast("double").alias("demand_1"),
+        (F.col("id") % 5).cast("double").alias("demand_7"),
+        (F.col("id") % 3).cast("double").alias("rolling_7_day_avg"),
+        F.lit(1).alias("month"), F.lit(2).alias("day_of_week"),
+        (F.col("id") % 7 * 2.0).alias("total_demand"))
+    model = fit_gbt(df, max_iter=2, max_depth=3)
+    assert model.stages[-1].getMaxBins() == 32
+    assert len(feature_importance(model).collect()) == 7
