@@ -41,7 +41,7 @@ from daybook.plans.stages import (
     Stages,
 )
 from daybook.session import staging_path
-from daybook.sources.files import read_raw_csv, read_table, write_csv, write_table
+from daybook.sources.files import publish, read_raw_csv, read_table, write_csv, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,8 +84,9 @@ def q_ingest_rowcount(s: Stages) -> DataFrame:
 
 @query("table_roundtrip", "select * from silver")
 def q_table_roundtrip(s: Stages) -> DataFrame:
+    # the layer sink as the job uses it: stage, check the stored rows, publish
     path = staging_path(s.spark, "silver")
-    write_table(s.silver, path)
+    publish(s.silver, path, lambda staged, rows: C.require_silver(staged, rows))
     return read_table(s.spark, path)
 
 
