@@ -150,6 +150,26 @@ def feature_null_summary(df: DataFrame, cols: Sequence[str] = LAG_COLUMNS) -> Da
     return df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in cols])
 
 
+KEY_METADATA = "key_position"
+
+
+def declare_key(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> DataFrame:
+    """Record the primary key in the column metadata (position 0, 1, …). The
+    metadata is stored with the table's schema and comes back on read, so
+    the declared key travels with the dataset (the re-aimed form of a
+    catalog PRIMARY KEY constraint, which path-based tables lack)."""
+    pos = {k: i for i, k in enumerate(keys)}
+    return df.select(*[F.col(c).alias(c, metadata={KEY_METADATA: pos[c]}) if c in pos else F.col(c)
+                       for c in df.columns])
+
+
+def declared_key(df: DataFrame) -> list[str]:
+    """The key recorded by :func:`declare_key`, in order (empty if none)."""
+    marked = [(f.metadata[KEY_METADATA], f.name) for f in df.schema.fields
+              if KEY_METADATA in (f.metadata or {})]
+    return [name for _, name in sorted(marked)]
+
+
 def key_contract(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> DataFrame:
     """The declared key (in order), rows, distinct keys and NULLs per key
     column: the measured form of NOT NULL + PRIMARY KEY."""
@@ -255,6 +275,10 @@ def require_features(df: DataFrame, expected_rows: int | None = None,
 
 
 def require_key(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> dict:
+    declared = declared_key(df)
+    if declared and declared != list(keys):
+        raise DataContractError("key", "declared key differs", {"declared": declared,
+                                                                "expected": list(keys)})
     v = _fetch(key_contract(df, keys))
     nulls = {k: v[f"null_{k}"] for k in keys if v[f"null_{k}"]}
     if nulls:

@@ -22,7 +22,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.config import CHAMPION_ALIAS, MIN_IMPROVEMENT, MODEL_PARAMS
+from daybook.config import CHAMPION_ALIAS, KEY_COLUMNS, MIN_IMPROVEMENT, MODEL_PARAMS
+from daybook.errors import DataContractError
 from daybook.functions.metrics import regression_metrics
 from daybook.operators import contracts as C
 from daybook.operators.aggregate import daily_agg, date_range
@@ -100,13 +101,16 @@ def run_features(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet"
     daily = read_table(spark, paths["daily_agg"], fmt)
 
     def check(staged: DataFrame, rows: int) -> dict:
+        if C.declared_key(staged) != KEY_COLUMNS:
+            raise DataContractError("key", "declared key lost", {"declared": C.declared_key(staged)})
         v = C.require_features(staged, rows)  # includes the key contract
         m["key"] = {k: v[k] for k in ["rows", "distinct_keys"]
                     + [c for c in v if c.startswith("null_") and c != "null_keys"
                        and c != "null_calendar"]}
         return v
 
-    publish(build_features(daily), paths["features"], _keep(m, "features", check), fmt)
+    publish(C.declare_key(build_features(daily)), paths["features"], _keep(m, "features", check),
+            fmt)
     m["feature_nulls"] = C.feature_null_summary(
         read_table(spark, paths["features"], fmt)).first().asDict()
 

@@ -277,3 +277,14 @@ def test_daily_measures_one_job_equals_parts(spark):
     one = C.daily_measures(daily, silver).first().asDict()
     parts = C.grain_check(daily).first().asDict() | C.conservation_check(silver, daily).first().asDict()
     assert one == parts == {"rows": 2, "distinct_keys": 2, "total_transactions": 3, "silver_rows": 3}
+
+
+def test_declared_key_travels_with_the_table(spark):
+    feats = C.declare_key(build_features(daily_rows(spark, [(1, "p", "c", 1), (3, "p", "c", 2)])))
+    path = os.path.join(tempfile.mkdtemp(prefix="daybook-key-"), "features")
+    feats.write.parquet(path)
+    back = read_table(spark, path)
+    assert C.declared_key(back) == ["transaction_date", "product_name", "destination_city"]
+    assert C.require_key(back)["rows"] == 3
+    with pytest.raises(DataContractError):
+        C.require_key(back, ["product_name", "transaction_date", "destination_city"])
