@@ -68,7 +68,9 @@ def gapfill_days(daily: DataFrame, series_keys: Sequence[str] = SERIES_KEYS,
     keys = [date_col, *series_keys]
     measures = [c for c in daily.columns if c not in keys]
     w = Window.partitionBy(*series_keys).orderBy(date_col)
-    last = F.coalesce(F.date_sub(F.lead(date_col).over(w), 1), F.col(date_col))
+    # greatest(): a repeated day (non-unique input) must not run backwards
+    last = F.greatest(F.col(date_col),
+                      F.coalesce(F.date_sub(F.lead(date_col).over(w), 1), F.col(date_col)))
     exploded = daily.select("*", last.alias("_last")).select(
         "*", F.explode(F.sequence(F.col(date_col), F.col("_last"))).alias("_day")
     )
