@@ -68,3 +68,43 @@ def test_gapfill_and_features(spark, data):
                 assert abs(r.rolling_7_day_avg - sum(window) / len(window)) < 1e-12
             else:
                 assert r.rolling_7_day_avg is None
+
+
+def _none_first(row):
+    return tuple((v is not None, v if v is not None else 0) for v in row)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]),
+                          st.one_of(st.none(), st.integers(0, 3)),
+                          st.sampled_from(["x", "y", None])), min_size=1, max_size=30),
+       st.integers(1, 4))
+def test_dedupe_matches_brute_force(spark, rows, parts):
+    from daybook.operators.clean import dedupe_by_key
+    df = spark.createDataFrame(rows, "k string, v int, w string").repartition(parts)
+    got = sorted(map(tuple, dedupe_by_key(df, "k").collect()), key=_none_first)
+    best = {}
+    for r in rows:
+        if r[0] not in best or _none_first(r[1:]) < _none_first(best[r[0]][1:]):
+            best[r[0]] = r
+    assert got == sorted(best.values(), key=_none_first)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 50), st.integers(0, 50)), min_size=1, max_size=40))
+def test_metrics_match_brute_force(spark, pairs):
+    from daybook.functions.metrics import regression_metrics
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in pairs],
+                               "actual_demand double, predicted_demand double")
+    m = regression_metrics(df, digits=None).first()
+    y = [float(a) for a, _ in pairs]
+    p = [float(b) for _, b in pairs]
+    n = len(y)
+    mean = sum(y) / n
+    sse = sum((a - b) ** 2 for a, b in zip(y, p))
+    sst = sum((a - mean) ** 2 for a in y)
+    r2 = (1.0 if sse == 0 else 0.0) if sst == 0 else 1 - sse / sst
+    assert m["n"] == n
+    assert abs(m["r2"] - r2) < 1e-9 * max(1.0, abs(r2))
+    assert abs(m["rmse"] - (sse / n) ** 0.5) < 1e-9
+    assert abs(m["mae"] - sum(abs(a - b) for a, b in zip(y, p)) / n) < 1e-9
