@@ -29,3 +29,7 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:3] == ["transaction_date", "product_name", "destination_city"]
     assert df.count() > 0
+
+
+def test_entry_schema_is_stable(spark):
+    assert E.entry(spark).schema == E.entry(spark).schema
