@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import tempfile
@@ -59,9 +60,22 @@ def release_shuffles(spark: SparkSession) -> None:
     """Let the context cleaner delete the shuffle files of plans that nothing
     refers to any more (it acts on the driver's garbage collection, which a
     mostly idle driver heap may not run for a long time)."""
+    gc.collect()  # this side's references first
     spark.sparkContext._jvm.System.gc()
 
 
+def rows_by_id(docs: DataFrame, wanted: DataFrame, buckets: int = 1 << 18) -> DataFrame:
+    """The rows of ``docs`` (``_id``, ``_text``) whose id is among ``wanted``'s
+    (``_want``, distinct; NULL finds NULL), with the columns of both. A table
+    of at most ``buckets`` hash buckets, a proven bound, keeps most other texts
+    out of the shuffle."""
+    bucket = (lambda c: F.pmod(F.xxhash64(c), F.lit(buckets).cast("long")))
+    marked = wanted.select(bucket("_want").alias("_bucket")).distinct()
+    near = (docs.withColumn("_bucket", bucket("_id"))
+            .join(F.broadcast(marked), "_bucket", "left_semi").drop("_bucket"))
+    return near.join(wanted, near["_id"].eqNullSafe(wanted["_want"]))
+
+
 def sha256_hex(s: str) -> str:
     return hashlib.sha256(s.encode("utf-8")).hexdigest()
 

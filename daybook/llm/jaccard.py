@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import id_text, release_shuffles, stored
+from daybook.llm.common import id_text, release_shuffles, rows_by_id, stored
 
 WORDS = 5
 #: Bands below this one (sets of fewer than 64 shingles) use one-deletion rows.
@@ -276,74 +276,83 @@ def _near_sizes(x: str, y: str):
     return 5 * F.least(x, y) >= 4 * F.greatest(x, y)
 
 
+def shared_rows(docs: DataFrame) -> DataFrame:
+    """sig, k1, role, many: the rows whose content at least two sets hold (how
+    many do) and some set may look up."""
+    by = Window.partitionBy("sig")
+    before = F.lag("ref").over(by.orderBy("ref"))
+    role = F.col("ref").bitwiseAND(7)
+    return (docs.mapInArrow(_signatures, "sig long, ref long")
+            .withColumn("_before", before)  # copies in other tasks repeat rows
+            .filter(F.col("_before").isNull() | (F.col("_before") != F.col("ref")))
+            .select("sig", F.shiftright("ref", 3).alias("k1"), role.alias("role"),
+                    F.count(F.lit(1)).over(by).alias("many"), F.max(role).over(by).alias("_asked"))
+            .filter((F.col("many") > 1) & (F.col("_asked") >= PROBE)).drop("_asked"))
+
+
 def linked_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
     """(v, label) of the classes of equal sets that have a link to another."""
     spark = docs.sparkSession
-    signature = docs.mapInArrow(_signatures, "sig long, ref long")
-    by = Window.partitionBy("sig").orderBy("ref")
-    alone = F.lag("ref").over(by).isNull() & F.lead("ref").over(by).isNull()
-    # copies in other tasks repeat rows; then rows that meet no other row go
-    shared = (signature.withColumn("_before", F.lag("ref").over(by))
-              .filter(F.col("_before").isNull() | (F.col("_before") != F.col("ref")))
-              .withColumn("_alone", alone).filter(~F.col("_alone"))
-              .select("sig", F.shiftright("ref", 3).alias("k1"),
-                      F.col("ref").bitwiseAND(7).alias("role")))
-    shared = stored(shared)
+    shared = stored(shared_rows(docs))
     release_shuffles(spark)
 
+    # allocation: of a set's own contents the most frequent are given up, as
+    # many as it can do without; the others and the forced ones are looked up
     classes = described.filter("n > 0").groupBy("k1", "k2").agg(
         F.min("n").alias("n"), F.min("slack").alias("slack"), F.min("doc_id").alias("doc"))
-    frequency = shared.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("many"),
-        F.max(F.when(F.col("role") >= PROBE, 1).otherwise(0)).alias("asked"))
-    rows = (shared.join(frequency.filter("asked = 1 and many > 1").drop("asked"), "sig")
-            .join(classes, "k1").withColumn("v", _class()))
-    # allocation: the most frequent contents are given up, as many as can be
-    rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("many"), "sig"))
-    optional = rows.filter(F.col("role").bitwiseAND(PROBE) != 0)
-    chosen = optional.withColumn("_rank", rank).filter("_rank > greatest(slack, 0)").drop("_rank")
-    probes = stored(chosen.unionByName(rows.filter(F.col("role").bitwiseAND(FORCED) != 0))
-                    .select("sig", "v", "n").distinct())
-    asked = probes.select("sig").distinct()
-    members = stored(rows.join(asked, "sig", "left_semi")
-                     .select("sig", "v", "n", "doc", "role").distinct())
-
-    wanted = members.groupBy("v").agg(F.min("doc").alias("doc"))
-    texts = docs.join(wanted, docs["_id"].eqNullSafe(wanted["doc"])).select(
-        "v.k1", "v.k2", "_text")
-    sets = (texts.mapInArrow(_sets, "k1 long, k2 long, items array<long>")
-            .groupBy("k1", "k2").agg(F.first("items").alias("items"))
-            .select(_class().alias("v"), "items"))
-    sets = stored(sets)
+    optional = F.col("role").bitwiseAND(PROBE) != 0
+    rank = F.row_number().over(Window.partitionBy("k1", "k2", optional)
+                               .orderBy(F.desc("many"), "sig"))
+    probe = ((optional & (rank > F.greatest("slack", F.lit(0))))
+             | (F.col("role").bitwiseAND(FORCED) != 0))
+    rows = (shared.join(classes, "k1")
+            .select("sig", _class().alias("v"), "n", "doc", "role", probe.alias("probe"))
+            .groupBy("sig", "v").agg(F.min("n").alias("n"), F.min("doc").alias("doc"),
+                                     F.max("probe").alias("probe"),
+                                     F.max(F.col("role").bitwiseAND(INDEX) != 0).alias("index")))
+    by = Window.partitionBy("sig")
+    rows = (rows.withColumn("_asked", F.max("probe").over(by)).withColumn("p", F.min(
+        F.struct("v", "n")).over(by)).withColumn("_last", F.max("v").over(by))
+        .filter(F.col("_asked") & (F.col("p.v") != F.col("_last")))
+        .drop("_asked", "_last"))
+    rows = stored(rows)
+    del shared
+    release_shuffles(spark)
+
+    wanted = rows.groupBy("v").agg(F.min("doc").alias("_want"))
+    heads = wanted.groupBy("_want").agg(F.collect_set("v").alias("_vs"))  # one class for each text
+    texts = rows_by_id(docs, heads).select(F.explode("_vs").alias("v"), "_text")
+    sets = stored(texts.select("v.k1", "v.k2", "_text")
+                  .mapInArrow(_sets, "k1 long, k2 long, items array<long>")
+                  .groupBy("k1", "k2").agg(F.first("items").alias("items"))
+                  .select(_class().alias("v"), "items"))
+    release_shuffles(spark)
 
     # first round: every member of a row group against the group's least class
-    least = members.groupBy("sig").agg(F.min(F.struct("v", "n")).alias("p"))
-    star = (members.join(least, "sig").filter(F.col("p.v") != F.col("v"))
-            .filter(_near_sizes("n", "p.n"))
-            .select(F.col("p.v").alias("a"), F.col("v").alias("b")).distinct())
+    star = stored(rows.filter((F.col("p.v") != F.col("v")) & _near_sizes("n", "p.n"))
+                  .select(F.col("p.v").alias("a"), F.col("v").alias("b")).distinct())
     first = stored(_verified(star, sets))
+    release_shuffles(spark)
     label = components(first)
 
     # second round: between components, what the allocated segments bring together
-    def labelled(df: DataFrame) -> DataFrame:
-        return (df.join(label, "v", "left")
-                .withColumn("label", F.coalesce("label", "v")))
-
-    index = stored(labelled(members.filter(F.col("role").bitwiseAND(INDEX) != 0)
-                            .select("sig", "v", "n").distinct()))
-    asking = labelled(probes)
-    mixed = (index.groupBy("sig").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"))
-             .filter("_lo != _hi").select("sig"))
-    parts = index.join(mixed, "sig", "left_semi").select("sig", F.col("label").alias("to")).distinct()
-    asking = asking.join(mixed, "sig", "left_semi")
-    ways = (asking.select("sig", "label").distinct().join(parts, "sig")
+    named = (rows.drop("p", "doc").join(label, "v", "left")
+             .withColumn("label", F.coalesce("label", "v")))
+    mixed = stored(named.withColumn("_lo", F.min("label").over(by))
+                   .withColumn("_hi", F.max("label").over(by))
+                   .filter(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi"))
+    index = mixed.filter("index").select("sig", F.col("label").alias("to"),
+                                         F.col("v").alias("w"), F.col("n").alias("m"))
+    asking = mixed.filter("probe").select("sig", "label", "v", "n")
+    ways = (asking.select("sig", "label").distinct()
+            .join(index.select("sig", "to").distinct(), "sig")
             .filter(F.col("label") != F.col("to")))
-    other = index.select("sig", F.col("label").alias("to"), F.col("v").alias("w"), F.col("n").alias("m"))
-    pairs = (asking.join(ways, ["sig", "label"]).join(other, ["sig", "to"])
+    pairs = (asking.join(ways, ["sig", "label"]).join(index, ["sig", "to"])
              .filter((F.col("n") <= F.col("m")) & _near_sizes("n", "m"))
              .select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct())
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = stored(_verified(pairs.join(tried, ["a", "b"], "left_anti"), sets))
+    second = stored(_verified(pairs.join(star, ["a", "b"], "left_anti"), sets))
+    if second.isEmpty():
+        return label
     return components(first.unionByName(second))
 
 
