@@ -23,9 +23,11 @@ whose contents are most frequent among all sets are given up first, so
 passages that many documents share make few candidates.
 
 Links are needed up to connected components only. Equal sets are one class
-from the start. Candidates are verified on the exact sets: first each class
-against the least class of its row group; then, between components that still
-differ, all candidates that the allocated segments bring together. Pairs
+from the start. Candidates are verified on the exact sets: first the members
+of a row group against one of them, which joins groups of near copies. The
+classes in groups that still hold several components are few; among them the
+universe is cut into single shingles, each set looks up its rarest ones, and
+all pairs between components that this brings together are verified. Pairs
 inside a component are never made.
 
 Defined results: NULL, empty or blank texts have no shingles, n_shingles 0 and
@@ -42,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import id_text, release_shuffles, rows_by_id, stored
@@ -56,6 +58,8 @@ SPARE = 1.2
 BAND_BUCKETS = 1024
 CACHE_WORDS = 300_000
 CHUNK_ROWS = 200_000
+#: Rounds of stars before all remaining candidates are made, at most.
+STARS = 4
 
 INDEX, PROBE, FORCED = 1, 2, 4
 
@@ -311,16 +315,15 @@ def linked_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
                                      F.max("probe").alias("probe"),
                                      F.max(F.col("role").bitwiseAND(INDEX) != 0).alias("index")))
     by = Window.partitionBy("sig")
-    rows = (rows.withColumn("_asked", F.max("probe").over(by)).withColumn("p", F.min(
-        F.struct("v", "n")).over(by)).withColumn("_last", F.max("v").over(by))
-        .filter(F.col("_asked") & (F.col("p.v") != F.col("_last")))
-        .drop("_asked", "_last"))
-    rows = stored(rows)
+    rows = stored(rows.withColumn("_asked", F.max("probe").over(by))
+                  .withColumn("_lo", F.min("v").over(by)).withColumn("_hi", F.max("v").over(by))
+                  .filter(F.col("_asked") & (F.col("_lo") != F.col("_hi")))
+                  .drop("_asked", "_lo", "_hi"))
     del shared
     release_shuffles(spark)
 
-    wanted = rows.groupBy("v").agg(F.min("doc").alias("_want"))
-    heads = wanted.groupBy("_want").agg(F.collect_set("v").alias("_vs"))  # one class for each text
+    heads = (rows.groupBy("v").agg(F.min("doc").alias("_want"))
+             .groupBy("_want").agg(F.collect_set("v").alias("_vs")))  # one class for each text
     texts = rows_by_id(docs, heads).select(F.explode("_vs").alias("v"), "_text")
     sets = stored(texts.select("v.k1", "v.k2", "_text")
                   .mapInArrow(_sets, "k1 long, k2 long, items array<long>")
@@ -328,32 +331,72 @@ def linked_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
                   .select(_class().alias("v"), "items"))
     release_shuffles(spark)
 
-    # first round: every member of a row group against the group's least class
-    star = stored(rows.filter((F.col("p.v") != F.col("v")) & _near_sizes("n", "p.n"))
-                  .select(F.col("p.v").alias("a"), F.col("v").alias("b")).distinct())
-    first = stored(_verified(star, sets))
+    # stars: the members of a row group against one of them, the smallest at
+    # first, then others in turn for the groups that still differ
+    tried = stored(_star(rows, F.col("n")).distinct())
+    edges = stored(_verified(tried, sets))
+    label = components(edges)
+    mixed = stored(_mixed(rows.drop("doc"), label))
     release_shuffles(spark)
-    label = components(first)
-
-    # second round: between components, what the allocated segments bring together
-    named = (rows.drop("p", "doc").join(label, "v", "left")
-             .withColumn("label", F.coalesce("label", "v")))
-    mixed = stored(named.withColumn("_lo", F.min("label").over(by))
-                   .withColumn("_hi", F.max("label").over(by))
-                   .filter(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi"))
-    index = mixed.filter("index").select("sig", F.col("label").alias("to"),
-                                         F.col("v").alias("w"), F.col("n").alias("m"))
-    asking = mixed.filter("probe").select("sig", "label", "v", "n")
+    for turn in range(1, STARS):
+        again = stored(_star(mixed, F.xxhash64("v", F.lit(turn))).distinct()
+                       .join(tried, ["a", "b"], "left_anti"))
+        more = stored(_verified(again, sets))
+        if more.isEmpty():
+            break
+        tried, edges = tried.unionByName(again), stored(edges.unionByName(more))
+        label = components(edges)
+        mixed = stored(_mixed(mixed.drop("label"), label))
+
+    # what is left: the same with the universe cut into single shingles
+    last = stored(_verified(_single_shingles(mixed, sets), sets))
+    return label if last.isEmpty() else components(edges.unionByName(last))
+
+
+def _star(rows: DataFrame, order: Column) -> DataFrame:
+    """Pairs (a < b) of one member of each row group that looks it up, the
+    first by ``order``, and the members that it can be similar to."""
+    first = F.min(F.when(F.col("probe"), F.struct(order.alias("o"), "n", "v"))).over(
+        Window.partitionBy("sig"))
+    if "label" in rows.columns:  # inside a component nothing is left to find
+        first = F.min(F.when(F.col("probe"), F.struct(order.alias("o"), "n", "v", "label"))).over(
+            Window.partitionBy("sig"))
+        rows = rows.withColumn("p", first).filter(F.col("p.label") != F.col("label"))
+    else:
+        rows = rows.withColumn("p", first)
+    return (rows.filter((F.col("p.v") != F.col("v")) & _near_sizes("n", "p.n")
+                    & (F.col("probe") | (F.col("p.n") <= F.col("n"))))
+            .select(F.least("p.v", "v").alias("a"), F.greatest("p.v", "v").alias("b")))
+
+
+def _mixed(rows: DataFrame, label: DataFrame, group: str = "sig") -> DataFrame:
+    """The rows, with their component, of groups that hold several components."""
+    by = Window.partitionBy(group)
+    return (rows.join(label, "v", "left").withColumn("label", F.coalesce("label", "v"))
+            .withColumn("_lo", F.min("label").over(by)).withColumn("_hi", F.max("label").over(by))
+            .filter(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi"))
+
+
+def _single_shingles(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Candidate pairs between components among the classes of ``mixed``: every
+    shingle is a segment, and of its n shingles a set looks up the n // 4 + 1
+    that fewest of these classes hold."""
+    classes = mixed.groupBy("v").agg(F.min("n").alias("n"), F.min("label").alias("label"))
+    by = Window.partitionBy("sig")
+    rows = (classes.join(sets, "v").select("v", "n", "label", F.explode("items").alias("sig"))
+            .withColumn("many", F.count(F.lit(1)).over(by))
+            .withColumn("_lo", F.min("label").over(by)).withColumn("_hi", F.max("label").over(by))
+            .filter(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi"))
+    rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("many"), "sig"))
+    rows = stored(rows.withColumn("probe", rank > F.col("n") - F.floor(F.col("n") / 4) - 1))
+    index = rows.select("sig", F.col("label").alias("to"), F.col("v").alias("w"), F.col("n").alias("m"))
+    asking = rows.filter("probe").select("sig", "label", "v", "n")
     ways = (asking.select("sig", "label").distinct()
             .join(index.select("sig", "to").distinct(), "sig")
             .filter(F.col("label") != F.col("to")))
-    pairs = (asking.join(ways, ["sig", "label"]).join(index, ["sig", "to"])
-             .filter((F.col("n") <= F.col("m")) & _near_sizes("n", "m"))
-             .select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct())
-    second = stored(_verified(pairs.join(star, ["a", "b"], "left_anti"), sets))
-    if second.isEmpty():
-        return label
-    return components(first.unionByName(second))
+    return (asking.join(ways, ["sig", "label"]).join(index, ["sig", "to"])
+            .filter((F.col("n") <= F.col("m")) & _near_sizes("n", "m"))
+            .select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct())
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
