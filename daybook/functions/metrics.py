@@ -23,8 +23,9 @@ def _valid(label: str, prediction: str) -> F.Column:
 
 def regression_metrics(df: DataFrame, label: str = "actual_demand",
                        prediction: str = "predicted_demand",
-                       group_by: Sequence[str] = (), digits: int | None = 6) -> DataFrame:
-    """One row per group: n, r2, rmse, mae."""
+                       group_by: Sequence[str] = (), digits: int | None = None) -> DataFrame:
+    """One row per group: n, r2, rmse, mae, in full precision unless ``digits``
+    is given (for display; decisions are made on full doubles)."""
     y = F.col(label).cast("double")
     p = F.col(prediction).cast("double")
     sums = (

@@ -179,7 +179,7 @@ def key_contract(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> DataFrame:
         F.count(F.lit(1)).alias("distinct_keys"),
         *[F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
           .alias(f"null_{k}") for k in keys],
-    ).select(F.lit(",".join(keys)).alias("key_columns"), "*")
+    ).select(F.lit(",".join(declared_key(df)) or None).alias("key_columns"), "*")
 
 
 def prediction_check(preds: DataFrame, keys: Sequence[str] = KEY_COLUMNS,
@@ -276,7 +276,7 @@ def require_features(df: DataFrame, expected_rows: int | None = None,
 
 def require_key(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> dict:
     declared = declared_key(df)
-    if declared and declared != list(keys):
+    if declared != list(keys):
         raise DataContractError("key", "declared key differs", {"declared": declared,
                                                                 "expected": list(keys)})
     v = _fetch(key_contract(df, keys))
@@ -298,7 +298,3 @@ def require_predictions(preds: DataFrame, expected_rows: int | None = None,
     if v["distinct_keys"] != v["rows"]:
         raise DataContractError("predictions", "duplicate keys", v)
     return v
-
-
-def prediction_missing_total(preds: DataFrame, col: str = "predicted_demand") -> DataFrame:
-    return preds.agg(missing_count(col).alias("missing_predictions"))

@@ -31,8 +31,10 @@ VERSION_COLUMNS = ["model_name", "version", "alias", "test_r2"]
 
 
 def metrics_by_version(preds: DataFrame) -> DataFrame:
-    """n, r2, rmse, mae per model version (rounded to 6 digits)."""
-    return regression_metrics(preds, group_by=["model_version"])
+    """n, r2, rmse, mae per model version, in full precision; per model too if
+    the predictions carry a ``model_name``."""
+    names = [c for c in ("model_name", "model_version") if c in preds.columns]
+    return regression_metrics(preds, group_by=names)
 
 
 def assign_versions(metrics: DataFrame, model_name: str, champion: str | None,
@@ -57,7 +59,8 @@ def champion_predictions(preds: DataFrame, versions: DataFrame,
 
 
 def version_board(metrics: DataFrame, versions: DataFrame, challenger: str,
-                  min_improvement: float = MIN_IMPROVEMENT) -> DataFrame:
+                  min_improvement: float = MIN_IMPROVEMENT,
+                  model_name: str | None = None) -> DataFrame:
     """Every registered version with its current metrics and this run's
     decision on each row, computed lazily (no fetch to the driver).
 
@@ -68,13 +71,19 @@ def version_board(metrics: DataFrame, versions: DataFrame, challenger: str,
     No champion → "promoted (first model)" with champion_r2 NULL; else the
     challenger wins only if its R² is strictly above champion R² +
     ``min_improvement``. A champion or challenger without metrics is an
-    error, not a decision.
+    error, not a decision; so are two champions of one model. Metrics belong to
+    ``model_name`` (they may carry it as a column); with None, the challenger's
+    version must exist in one model only. Versions of other models have no
+    decision.
     """
-    m = versions.join(
-        metrics.select(F.col("model_version").alias("version"), "r2"), "version", "left")
+    keys = ["model_name", "version"] if "model_name" in metrics.columns else ["version"]
+    r2 = metrics.select(*[F.col(k if k == "model_name" else "model_version").alias(k) for k in keys],
+                        "r2")
+    mine = F.lit(True) if model_name is None else F.col("model_name") == F.lit(model_name)
+    m = versions.join(r2, keys, "left")
     w = Window.partitionBy("model_name")
     v = F.col("version")
-    is_chal = v == F.lit(challenger)
+    is_chal = (v == F.lit(challenger)) & mine
     is_champ = (F.col("alias") == F.lit(CHAMPION_ALIAS)) & ~is_chal
     board = m.select(
         "model_name", "version", "alias", "test_r2", "r2",
@@ -86,6 +95,7 @@ def version_board(metrics: DataFrame, versions: DataFrame, challenger: str,
     )
     decision = (
         F.when(F.col("_n_chal") == 0, F.lit(None).cast("string"))  # another model
+        .when(F.col("_n_champ") > 1, F.raise_error(F.lit("two champions of one model")).cast("string"))
         .when(F.col("challenger_r2").isNull(),
                F.raise_error(F.lit(f"challenger {challenger} has no metrics")).cast("string"))
         .when(F.col("_n_champ") == 0, F.lit(DECISION_FIRST))
@@ -101,22 +111,24 @@ def version_board(metrics: DataFrame, versions: DataFrame, challenger: str,
 
 
 def decide(metrics: DataFrame, versions: DataFrame, challenger: str,
-           min_improvement: float = MIN_IMPROVEMENT) -> DataFrame:
+           min_improvement: float = MIN_IMPROVEMENT, model_name: str | None = None) -> DataFrame:
     """One row: decision, champion_version (the winner), champion_r2,
     challenger_r2 (the challenger must be registered in ``versions``)."""
-    return (version_board(metrics, versions, challenger, min_improvement)
-            .filter(F.col("version") == F.lit(challenger))
+    return (version_board(metrics, versions, challenger, min_improvement, model_name)
+            .filter((F.col("version") == F.lit(challenger)) & F.col("decision").isNotNull())
             .select("decision", "champion_version", "champion_r2", "challenger_r2"))
 
 
 def promote(metrics: DataFrame, versions: DataFrame, challenger: str,
-            min_improvement: float = MIN_IMPROVEMENT) -> DataFrame:
-    """The alias table after the decision. On promotion the winner takes
+            min_improvement: float = MIN_IMPROVEMENT, model_name: str | None = None) -> DataFrame:
+    """The alias table after the decision; other models' aliases stay as they
+    are. On promotion the winner takes
     Champion and the Challenger alias is removed; when the champion is kept,
     every alias stays."""
-    board = version_board(metrics, versions, challenger, min_improvement)
+    board = version_board(metrics, versions, challenger, min_improvement, model_name)
     alias = (
-        F.when(F.col("decision") == F.lit(DECISION_KEPT), F.col("alias"))
+        F.when(F.col("decision").isNull() | (F.col("decision") == F.lit(DECISION_KEPT)),
+               F.col("alias"))
         .when(F.col("version") == F.col("champion_version"), F.lit(CHAMPION_ALIAS))
         .when(F.col("alias").isin(CHAMPION_ALIAS, CHALLENGER_ALIAS), F.lit(None))
         .otherwise(F.col("alias"))

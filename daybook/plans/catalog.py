@@ -43,6 +43,7 @@ from daybook.plans.stages import (
 from daybook.session import staging_path
 from daybook.sources.files import publish, read_raw_csv, read_table, write_csv, write_table
 
+OTHER_MODEL = "other_model"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -302,7 +303,7 @@ def q_feature_check(s: Stages) -> DataFrame:
        "count(*) filter (where product_name is null) as null_product_name, "
        "count(*) filter (where destination_city is null) as null_destination_city from feat")
 def q_key_contract(s: Stages) -> DataFrame:
-    return C.key_contract(s.features)
+    return C.key_contract(C.declare_key(s.features))
 
 
 # ---- scoring, metrics, model versions ----------------------------------------
@@ -318,6 +319,14 @@ _DECISION = f"""
 """
 
 
+def _rounded(df: DataFrame) -> DataFrame:
+    """Metric columns with 6 digits, as the SQL prints them (decisions have
+    been made on full precision)."""
+    names = [c for c in ("r2", "rmse", "mae", "test_r2", "champion_r2", "challenger_r2")
+             if c in df.columns]
+    return df.withColumns({c: F.round(c, 6) for c in names})
+
+
 def _scenario(s: Stages):
     metrics = metrics_by_version(s.predictions_long)
     versions = assign_versions(metrics, MODEL_NAME, SCENARIO_CHAMPION, SCENARIO_CHALLENGER)
@@ -344,7 +353,7 @@ def q_prediction_check(s: Stages) -> DataFrame:
 @query("regression_metrics",
        f"select n, r2, rmse, mae from metrics where model_version = '{SCENARIO_CHALLENGER}'")
 def q_regression_metrics(s: Stages) -> DataFrame:
-    return regression_metrics(s.predictions(SCENARIO_CHALLENGER))
+    return _rounded(regression_metrics(s.predictions(SCENARIO_CHALLENGER)))
 
 
 @query("r2_recheck", f"select r2 from metrics where model_version = '{SCENARIO_CHALLENGER}'")
@@ -352,7 +361,7 @@ def q_r2_recheck(s: Stages) -> DataFrame:
     path = staging_path(s.spark, "predictions")
     write_table(score(s.baseline(SCENARIO_CHALLENGER), s.test, SCENARIO_CHALLENGER,
                       with_timestamp=True), path)
-    return regression_metrics(read_table(s.spark, path)).select("r2")
+    return _rounded(regression_metrics(read_table(s.spark, path)).select("r2"))
 
 
 @query("actual_vs_predicted",
@@ -364,7 +373,7 @@ def q_actual_vs_predicted(s: Stages) -> DataFrame:
 
 @query("metrics_by_version", "select * from metrics")
 def q_metrics_by_version(s: Stages) -> DataFrame:
-    return metrics_by_version(s.predictions_long)
+    return _rounded(metrics_by_version(s.predictions_long))
 
 
 @query("run_summary",
@@ -379,13 +388,13 @@ def q_metrics_by_version(s: Stages) -> DataFrame:
            count(*) filter (where transaction_date > {CUT}) as test_rows
          from feat) f on true""")
 def q_run_summary(s: Stages) -> DataFrame:
-    return run_summary(s.features, s.predictions_long, s.cut)
+    return _rounded(run_summary(s.features, s.predictions_long, s.cut))
 
 
 @query("champion_challenger", _DECISION)
 def q_champion_challenger(s: Stages) -> DataFrame:
     metrics, versions = _scenario(s)
-    return decide(metrics, versions, SCENARIO_CHALLENGER)
+    return _rounded(decide(metrics, versions, SCENARIO_CHALLENGER))
 
 
 @query("promote_aliases",
@@ -398,7 +407,57 @@ def q_champion_challenger(s: Stages) -> DataFrame:
        from metrics m join ({_DECISION}) d on true""")
 def q_promote_aliases(s: Stages) -> DataFrame:
     metrics, versions = _scenario(s)
-    return promote(metrics, versions, SCENARIO_CHALLENGER)
+    return _rounded(promote(metrics, versions, SCENARIO_CHALLENGER))
+
+
+def _two_models(s: Stages) -> tuple[DataFrame, DataFrame]:
+    """The scenario and a second model with the same version numbers, whose
+    champion is its version 1."""
+    metrics, versions = _scenario(s)
+    other = versions.select(
+        F.lit(OTHER_MODEL).alias("model_name"), "version",
+        F.when(F.col("version") == SCENARIO_CHALLENGER, F.lit("Champion")).alias("alias"), "test_r2")
+    return metrics, versions.unionByName(other)
+
+
+@query("promote_aliases_two_models",
+       f"""select '{MODEL_NAME}' as model_name, m.model_version as version,
+         case when m.model_version = d.champion_version then 'Champion'
+              when d.decision = 'kept champion' and m.model_version = '{SCENARIO_CHALLENGER}'
+                then 'Challenger'
+              else null end as alias,
+         m.r2 as test_r2
+       from metrics m join ({_DECISION}) d on true
+       union all
+       select '{OTHER_MODEL}', m.model_version,
+         case when m.model_version = '{SCENARIO_CHALLENGER}' then 'Champion' else null end, m.r2
+       from metrics m""")
+def q_promote_aliases_two_models(s: Stages) -> DataFrame:
+    metrics, versions = _two_models(s)
+    return _rounded(promote(metrics, versions, SCENARIO_CHALLENGER, model_name=MODEL_NAME))
+
+
+@query("champion_challenger_kept",
+       f"""select 'kept champion' as decision, '{SCENARIO_CHALLENGER}' as champion_version,
+         champ.r2 as champion_r2, chal.r2 as challenger_r2
+       from metrics chal join metrics champ
+         on chal.model_version = '{SCENARIO_CHAMPION}' and champ.model_version = '{SCENARIO_CHALLENGER}'
+       where not chal.r2 > champ.r2 + 0.0""")
+def q_champion_challenger_kept(s: Stages) -> DataFrame:
+    # the roles swapped: the better version is the champion already
+    metrics, _ = _scenario(s)
+    versions = assign_versions(metrics, MODEL_NAME, SCENARIO_CHALLENGER, SCENARIO_CHAMPION)
+    return _rounded(decide(metrics, versions, SCENARIO_CHAMPION))
+
+
+@query("champion_challenger_first",
+       f"""select 'promoted (first model)' as decision, '{SCENARIO_CHALLENGER}' as champion_version,
+         cast(null as double) as champion_r2, r2 as challenger_r2
+       from metrics where model_version = '{SCENARIO_CHALLENGER}'""")
+def q_champion_challenger_first(s: Stages) -> DataFrame:
+    metrics, _ = _scenario(s)
+    versions = assign_versions(metrics, MODEL_NAME, None, SCENARIO_CHALLENGER)
+    return _rounded(decide(metrics, versions, SCENARIO_CHALLENGER))
 
 
 @query("champion_predictions",

@@ -22,7 +22,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.config import CHAMPION_ALIAS, KEY_COLUMNS, MIN_IMPROVEMENT, MODEL_PARAMS
+from daybook.config import CHALLENGER_ALIAS, CHAMPION_ALIAS, KEY_COLUMNS, MIN_IMPROVEMENT, MODEL_PARAMS
 from daybook.errors import DataContractError
 from daybook.functions.metrics import regression_metrics
 from daybook.operators import contracts as C
@@ -127,45 +127,50 @@ def run_training(spark: SparkSession, paths: dict, m: dict, cut: str,
     versions = (read_table(spark, paths["model_versions"], fmt)
                 if _exists(spark, paths["model_versions"])
                 else spark.createDataFrame([], VERSIONS_SCHEMA))
-    known = [r.version for r in versions.select("version").collect()]  # registry rows: a handful
+    if not _exists(spark, paths["model_versions"]) and _exists(spark, paths["models"]):
+        raise DataContractError("registry", "models exist but the registry is absent", paths)
+    registry = versions.filter(F.col("model_name") == model_name)
+    known = [r.version for r in registry.select("version").collect()]  # registry rows: a handful
     version = str(max([int(v) for v in known if v.isdigit()] or [0]) + 1)
     model = fit_gbt(train, max_iter=max_iter)
-    model.write().overwrite().save(os.path.join(paths["models"], version))
+    model.write().overwrite().save(os.path.join(paths["models"], model_name, version))
 
-    champion = [r.version for r in versions.filter(F.col("alias") == CHAMPION_ALIAS).collect()]
+    champion = [r.version for r in registry.filter(F.col("alias") == CHAMPION_ALIAS).collect()]
     preds = score(model, test, version)
     if champion:
-        old = PipelineModel.load(os.path.join(paths["models"], champion[0]))
+        old = PipelineModel.load(os.path.join(paths["models"], model_name, champion[0]))
         preds = preds.unionByName(score(old, test, champion[0]))
     # a few rows, read three times below: stored once (reliable checkpoint)
     metrics = metrics_by_version(preds).checkpoint(eager=True)
     chal_r2 = metrics.filter(F.col("model_version") == version).first()["r2"]
     # the Challenger alias moves to the new version (at most one holder)
     versions = versions.withColumn(
-        "alias", F.when(F.col("alias") != "Challenger", F.col("alias"))
-    ).unionByName(spark.createDataFrame([(model_name, version, "Challenger", chal_r2)],
+        "alias", F.when((F.col("model_name") != model_name) | (F.col("alias") != CHALLENGER_ALIAS),
+                        F.col("alias"))
+    ).unionByName(spark.createDataFrame([(model_name, version, CHALLENGER_ALIAS, chal_r2)],
                                         VERSIONS_SCHEMA))
-    decision = decide(metrics, versions, version, min_improvement).first().asDict()
-    publish(promote(metrics, versions, version, min_improvement).select(*VERSION_COLUMNS),
-            paths["model_versions"], fmt=fmt)
-
+    decision = decide(metrics, versions, version, min_improvement, model_name).first().asDict()
     params = {k: str(v) for k, v in MODEL_PARAMS.items()} | {"iterations": str(max_iter)}
     summary = run_summary(features, preds.filter(F.col("model_version") == version), cut, params)
+    # the run first: a failure before the registry leaves no promoted version without a run
     summary.write.mode("append").format(fmt).save(paths["runs"])
+    publish(promote(metrics, versions, version, min_improvement, model_name).select(*VERSION_COLUMNS),
+            paths["model_versions"], fmt=fmt)
     m["decision"] = decision
     return version, decision
 
 
 def run_predictions(spark: SparkSession, paths: dict, m: dict, cut: str,
-                    fmt: str = "parquet") -> None:
+                    fmt: str = "parquet", model_name: str = "demand_model") -> None:
     """The champion's predictions on the test period, with the scoring time;
     then R² recomputed from the stored table."""
     versions = read_table(spark, paths["model_versions"], fmt)
-    holder = [r.version for r in versions.filter(F.col("alias") == CHAMPION_ALIAS).collect()]
+    holder = [r.version for r in versions.filter(
+        (F.col("model_name") == model_name) & (F.col("alias") == CHAMPION_ALIAS)).collect()]
     if not holder:
         raise LookupError("no version holds the Champion alias")
     winner = holder[0]
-    model = PipelineModel.load(os.path.join(paths["models"], winner))
+    model = PipelineModel.load(os.path.join(paths["models"], model_name, winner))
     _, test = split_by_date(read_table(spark, paths["features"], fmt), cut)
     out = score(model, test, winner, with_timestamp=True)
     publish(out, paths["predictions"],
@@ -186,7 +191,7 @@ def run_pipeline(spark: SparkSession, source_csv: str, out_dir: str, cut: str,
     run_features(spark, paths, m, fmt)
     res.version, res.decision = run_training(spark, paths, m, cut, model_name, max_iter,
                                              min_improvement, fmt)
-    run_predictions(spark, paths, m, cut, fmt)
+    run_predictions(spark, paths, m, cut, fmt, model_name)
     return res
 
 
@@ -203,20 +208,24 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source", help="raw CSV file or folder (bronze / all)")
     ap.add_argument("--out", required=True, help="folder of the layer tables")
     ap.add_argument("--cut", default=None, help="last training day, yyyy-MM-dd")
+    ap.add_argument("--model-name", default="demand_model")
     ap.add_argument("--max-iter", type=int, default=MODEL_PARAMS["iterations"])
     ap.add_argument("--min-improvement", type=float, default=MIN_IMPROVEMENT)
     ap.add_argument("--format", default="parquet")
     a = ap.parse_args(argv)
+    if a.cut is None and a.stage in ("training", "predictions", "all"):
+        ap.error(f"{a.stage} needs --cut")
 
     from daybook.session import build_session, size_shuffles
     spark = build_session()
     paths, m = layer_paths(a.out), {}
-    # size the first shuffle from the stage's input (raw file or bronze table)
-    sized_by = a.source if a.stage in ("bronze", "all") else paths["bronze"]
+    # size the first shuffle from the stage's own input
+    sized_by = {"bronze": a.source, "all": a.source, "silver": paths["bronze"],
+                "daily": paths["silver"], "features": paths["daily_agg"]}.get(a.stage, paths["features"])
     if sized_by and _exists(spark, sized_by):
         m["shuffle_partitions"] = size_shuffles(spark, sized_by)
     if a.stage == "all":
-        m = run_pipeline(spark, a.source, a.out, a.cut, max_iter=a.max_iter,
+        m = run_pipeline(spark, a.source, a.out, a.cut, a.model_name, max_iter=a.max_iter,
                          min_improvement=a.min_improvement, fmt=a.format).measures
     elif a.stage == "bronze":
         run_bronze(spark, a.source, paths, m, a.format)
@@ -227,10 +236,10 @@ def main(argv: list[str] | None = None) -> None:
     elif a.stage == "features":
         run_features(spark, paths, m, a.format)
     elif a.stage == "training":
-        run_training(spark, paths, m, a.cut, max_iter=a.max_iter,
+        run_training(spark, paths, m, a.cut, a.model_name, max_iter=a.max_iter,
                      min_improvement=a.min_improvement, fmt=a.format)
     else:
-        run_predictions(spark, paths, m, a.cut, a.format)
+        run_predictions(spark, paths, m, a.cut, a.format, a.model_name)
     print(json.dumps(m, default=str))
 
 

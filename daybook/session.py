@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not path:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="daybook-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
@@ -73,17 +75,18 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 
 def shuffle_partitions_for(total_bytes: int, target_bytes: int = 256 << 20,
-                           floor: int = 200, cap: int = 200_000) -> int:
+                           floor: int = 200) -> int:
     """Partitions for the first (largest) shuffle so that each holds about
     ``target_bytes`` of input; AQE coalesces the later, smaller shuffles."""
-    return max(floor, min(cap, -(-total_bytes // target_bytes)))
+    return max(floor, -(-total_bytes // target_bytes))
 
 
 def size_shuffles(spark: SparkSession, path: str, target_bytes: int = 256 << 20) -> int:
     """Set ``spark.sql.shuffle.partitions`` from the input size, unless the
     session was given a value of its own. Returns the value in force."""
+    given = spark.sparkContext.getConf().get("spark.sql.shuffle.partitions", None)
     current = spark.conf.get("spark.sql.shuffle.partitions")
-    if current != DEFAULT_SHUFFLE_PARTITIONS:
+    if given is not None or current != DEFAULT_SHUFFLE_PARTITIONS:
         return int(current)
     n = shuffle_partitions_for(input_bytes(spark, path), target_bytes)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))

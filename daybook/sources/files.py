@@ -41,16 +41,13 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None) -> int:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Full overwrite of ``path``; returns the rows written, measured by an
     ``Observation`` in the same job as the write (no second scan)."""
     obs = Observation("rows_written")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     writer.save(path)
     return int(obs.get["rows"])
 
@@ -62,18 +59,25 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def _move(spark: SparkSession, src: str, dst: str, fmt: str) -> None:
-    """Replace ``dst`` by ``src``: a rename on the shared file system (both
-    sit in the same folder), else a Spark copy of the staged table."""
+    """Replace ``dst`` by ``src`` on the shared file system (both sit in the
+    same folder): the old table is moved aside, the new one into its place, and
+    the old one back if that fails. Only then is the old one deleted."""
     fs, dst_p = _fs_path(spark, dst)
     _, src_p = _fs_path(spark, src)
-    if fs.exists(dst_p):
-        fs.delete(dst_p, True)
+    _, aside = _fs_path(spark, f"{dst.rstrip('/')}._old-{uuid.uuid4().hex[:12]}")
+    old = fs.exists(dst_p)
+    if old and not fs.rename(dst_p, aside):
+        raise OSError(f"can't move {dst} aside; {src} holds the new table")
+    done = False
     try:
-        if fs.rename(src_p, dst_p):
-            return
-    except Exception:  # e.g. a store without rename
-        pass
-    read_table(spark, src, fmt).write.mode("overwrite").format(fmt).save(dst)
+        done = fs.rename(src_p, dst_p)
+    finally:
+        if old and not done:  # the old table goes back, whatever went wrong
+            fs.rename(aside, dst_p)
+    if not done:
+        raise OSError(f"can't move {src} to {dst}; the old table is in place")
+    if old:
+        fs.delete(aside, True)
 
 
 def publish(df: DataFrame, target: str, check: Callable[[DataFrame, int], None] | None = None,

@@ -262,7 +262,7 @@ def test_shuffle_partitions_from_input_size():
     from daybook.session import shuffle_partitions_for
     assert shuffle_partitions_for(10 << 20) == 200                 # small input: the floor
     assert shuffle_partitions_for(1 << 40) == 4096                 # 1 TiB / 256 MiB
-    assert shuffle_partitions_for(100 << 40) == 200_000            # 100 TiB: capped
+    assert shuffle_partitions_for(100 << 40) == 409_600            # 100 TiB: no cap
 
 
 def test_daily_measures_one_job_equals_parts(spark):
