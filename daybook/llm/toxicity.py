@@ -76,7 +76,7 @@ class Model:
 
 
 def fit(texts: list[str], labels: list[int], share: float | None = None, alpha: float = 1.0,
-        l2: float = 1e-4, steps: int = 100) -> Model:
+        l2: float = 1e-2, steps: int = 100) -> Model:
     """Fit on the given rows. ``share`` is the toxic share among all training
     rows; the bias is moved by the difference to the share in the rows given."""
     y = np.asarray(labels, dtype=np.float64)
