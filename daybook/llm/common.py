@@ -53,7 +53,11 @@ def stored(df: DataFrame) -> DataFrame:
     """The rows, written once to the shared checkpoint folder and read back:
     lineage is cut, and a lost executor costs a re-read, not a recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    # plans that are done, with their broadcast tables, stay at the driver as
+    # long as this process refers to them
+    gc.collect()
+    return out
 
 
 def release_shuffles(spark: SparkSession) -> None:

@@ -59,7 +59,7 @@ BAND_BUCKETS = 1024
 CACHE_WORDS = 300_000
 CHUNK_ROWS = 200_000
 #: Rounds of stars before all remaining candidates are made, at most.
-STARS = 4
+STARS = 3
 
 INDEX, PROBE, FORCED = 1, 2, 4
 
