@@ -94,6 +94,3 @@ ZERO_FILLED = ["total_demand", "transaction_count"]
 
 # Cut date used with the test tables (about 80 % of rows on or before it).
 FIXTURE_CUT_DATE = "2000-06-30"
-
-# Model used in queries: the reference's depth, rate and seed, fewer rounds.
-QUERY_GBT_ITERATIONS = 20

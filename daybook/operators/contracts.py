@@ -9,10 +9,12 @@ and NULL keys count as one value, as ``distinct`` does.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from daybook.config import (
     DATE_COL,
@@ -20,6 +22,7 @@ from daybook.config import (
     ID_COL,
     KEY_COLUMNS,
     NUMERIC_FEATURES,
+    TARGET_COL,
 )
 from daybook.errors import DataContractError
 from daybook.functions.metrics import missing_count
@@ -116,15 +119,25 @@ def missing_columns_frame(df: DataFrame, required: Sequence[str] = (*NUMERIC_FEA
         "rows", F.lit(n_missing).cast("int").alias("missing_columns"))
 
 
+def _plain(df: DataFrame, col: str) -> F.Column:
+    """The column; NaN counts as NULL, as gap filling reads it."""
+    c = F.col(col)
+    return F.nanvl(c, F.lit(None)) if isinstance(df.schema[col].dataType, (DoubleType, FloatType)) else c
+
+
 def feature_measures(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS,
                      required: Sequence[str] = (*NUMERIC_FEATURES,),
-                     calendar: Sequence[str] = CALENDAR_COLUMNS) -> DataFrame:
-    """rows, distinct_keys, null_keys, null_calendar, missing_columns and
+                     calendar: Sequence[str] = CALENDAR_COLUMNS, target: str = TARGET_COL,
+                     count_col: str = "transaction_count") -> DataFrame:
+    """rows, distinct_keys, null_keys, null_calendar, missing_columns, Σ of
+    the target, Σ of the transaction count and
     NULLs per key column, in one pass (per-key counts first, then a global
     sum): the feature contract and the key contract together."""
     n_missing = len(missing_columns(df, required))
     cal = [c for c in calendar if c in df.columns]
     extra = {"_cal": F.when(_any_null(cal), 1).otherwise(0)} if cal else {}
+    for name, c in (("_y", target), ("_c", count_col)):
+        extra[name] = _plain(df, c) if c in df.columns else F.lit(0)
     g = key_grouping(df, keys, **extra)
     null_cal = F.coalesce(F.sum("_cal"), F.lit(0)) if cal else F.lit(0)
     return g.agg(
@@ -134,15 +147,19 @@ def feature_measures(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS,
         null_cal.cast("bigint").alias("null_calendar"),
         *[F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
           .alias(f"null_{k}") for k in keys],
+        F.coalesce(F.sum("_y"), F.lit(0)).cast("double").alias("total_demand"),
+        F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("total_transactions"),
     ).select("*", F.lit(n_missing).cast("int").alias("missing_columns"))
 
 
 def feature_check(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS,
                   required: Sequence[str] = (*NUMERIC_FEATURES,),
                   calendar: Sequence[str] = CALENDAR_COLUMNS) -> DataFrame:
-    """rows, distinct_keys, null_keys, null_calendar, missing_columns."""
+    """rows, distinct_keys, null_keys, null_calendar, missing_columns,
+    total_demand, total_transactions."""
     return feature_measures(df, keys, required, calendar).select(
-        "rows", "distinct_keys", "null_keys", "null_calendar", "missing_columns")
+        "rows", "distinct_keys", "null_keys", "null_calendar", "missing_columns",
+        "total_demand", "total_transactions")
 
 
 def feature_null_summary(df: DataFrame, cols: Sequence[str] = LAG_COLUMNS) -> DataFrame:
@@ -258,8 +275,9 @@ def require_daily(daily: DataFrame, silver: DataFrame, expected_rows: int | None
 
 
 def require_features(df: DataFrame, expected_rows: int | None = None,
-                     keys: Sequence[str] = KEY_COLUMNS) -> dict:
-    """Feature contract and key contract from one pass."""
+                     keys: Sequence[str] = KEY_COLUMNS, daily: DataFrame | None = None) -> dict:
+    """Feature contract and key contract from one pass. With ``daily``, gap
+    filling must also have kept its demand and its transactions."""
     v = _fetch(feature_measures(df, keys))
     if expected_rows is not None and v["rows"] != expected_rows:
         raise DataContractError("features", "row count mismatch", v)
@@ -271,6 +289,13 @@ def require_features(df: DataFrame, expected_rows: int | None = None,
         raise DataContractError("features", "NULL key values", v)
     if v["null_calendar"]:
         raise DataContractError("features", "NULL calendar values", v)
+    if daily is not None:
+        d = _fetch(daily.agg(
+            F.coalesce(F.sum(_plain(daily, TARGET_COL)), F.lit(0)).cast("double").alias("demand"),
+            F.coalesce(F.sum("transaction_count"), F.lit(0)).cast("bigint").alias("transactions")))
+        if (d["transactions"] != v["total_transactions"]
+                or not math.isclose(d["demand"], v["total_demand"], rel_tol=1e-9, abs_tol=1e-9)):
+            raise DataContractError("features", "demand or transactions not conserved", v | d)
     return v
 
 

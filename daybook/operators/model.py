@@ -2,18 +2,22 @@
 gradient-boosted regressor (Spark ML) and its feature importance.
 
 The fit runs on the executors (``GBTRegressor``); nothing is collected to
-the driver except a handful of scalars (fill values, category counts).
+the driver except a handful of scalars (fill values, the prior). Categories
+enter the model as ordered target statistics, at every number of categories.
 """
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from daybook.config import (
     CATEGORICAL_FEATURES,
@@ -24,7 +28,7 @@ from daybook.config import (
     TARGET_COL,
 )
 from daybook.errors import DataContractError
-from daybook.session import ensure_checkpoint_dir
+from daybook.session import ensure_checkpoint_dir, staging_path
 
 
 def cut_date(value: str) -> F.Column:
@@ -82,76 +86,213 @@ class ColumnPredictor:
         return df.withColumn(self.prediction_col, F.col(self.column).cast("double"))
 
 
-# Above this many values a categorical feature is split as an ordered index.
-MAX_CATEGORIES = 1024
+# Weight of the prior, in rows, in a category's smoothed target mean.
+PRIOR_WEIGHT = 1.0
 
 
-def _fill_statement(fills: dict[str, float], numeric: Sequence[str]) -> str:
-    parts = [f"coalesce(`{c}`, {float(fills[c])!r}) AS `{c}__f`" for c in numeric]
-    return "SELECT *, " + ", ".join(parts) + " FROM __THIS__"
+def category_target_stats(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEATURES,
+                          target: str = TARGET_COL, date_col: str = DATE_COL,
+                          prior_weight: float = PRIOR_WEIGHT) -> DataFrame:
+    """Ordered target statistics: one row per (feature, category, day) with
+    the rows and target sum of the *earlier* days of the category, the target
+    mean of all earlier days (``prior``) and the smoothed mean ``encoded``.
+
+    A training row never sees its own day's target. On the first day there is
+    no earlier row of any kind: ``prior`` is NULL, and so is ``encoded``. NULL
+    is a category; rows with a NULL or NaN target count in no statistic. The
+    windows run over pre-aggregated rows, at most one per category and day;
+    the prior's over one row per day, so its single task is as long as the
+    calendar, whatever the number of rows.
+    """
+    y = _number(train, target)
+    days = train.groupBy(date_col).agg(F.count(y).alias("_n"), F.sum(y).alias("_s"))
+    before = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
+    prior = days.select(F.col(date_col).alias("_day"),
+                        (F.sum("_s").over(before)
+                         / F.nullif(F.sum("_n").over(before), F.lit(0))).alias("prior"))
+    earlier = (Window.partitionBy("feature", "category").orderBy(date_col)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    # one pass over the training rows for all categorical features
+    long = train.select(F.col(date_col), y.alias("_y"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category"))
+        for c in categorical])).alias("_c"))
+    stats = (long.groupBy("_c.feature", "_c.category", date_col)
+             .agg(F.count("_y").alias("_n"), F.sum("_y").alias("_s"))
+             .select("feature", "category", date_col,
+                     F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("earlier_rows"),
+                     F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("earlier_sum")))
+    return (stats.join(prior, stats[date_col].eqNullSafe(prior["_day"])).drop("_day")
+            .withColumn("encoded", _smoothed("earlier_sum", "earlier_rows", F.col("prior"),
+                                             prior_weight)))
+
+
+def category_totals(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEATURES,
+                    target: str = TARGET_COL) -> DataFrame:
+    """(feature, category, rows, target_sum) over all training rows: what rows
+    after the training period are encoded with."""
+    y = _number(train, target)
+    long = train.select(y.alias("_y"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category"))
+        for c in categorical])).alias("_c"))
+    return long.groupBy("_c.feature", "_c.category").agg(
+        F.count("_y").alias("rows"), F.coalesce(F.sum("_y"), F.lit(0.0)).alias("target_sum"))
+
+
+def _number(df: DataFrame, col: str) -> Column:
+    """The column as a double; NaN counts as missing."""
+    c = F.col(col).cast("double")
+    return F.nanvl(c, F.lit(None).cast("double")) if isinstance(
+        df.schema[col].dataType, (DoubleType, FloatType)) else c
+
+
+def _smoothed(total: str, rows: str, prior: Column, weight: float) -> Column:
+    return (F.col(total) + F.lit(weight) * prior) / (F.col(rows) + F.lit(weight))
+
+
+def _encoded_name(col: str) -> str:
+    return f"_enc_{col}"
+
+
+def _filled_name(col: str) -> str:
+    return f"_num_{col}"
+
+
+@dataclass(frozen=True)
+class ModelSettings:
+    """The scalars of a fitted model."""
+
+    numeric: list[str]
+    categorical: list[str]
+    fills: dict[str, float]
+    prior: float
+    prior_weight: float
+
+
+class DemandModel:
+    """A fitted model: category totals (a table, never on the driver), fill
+    values, and the boosted trees. Lazy ``transform``, ``save`` and ``load``."""
+
+    def __init__(self, settings: ModelSettings, totals: DataFrame, gbt: GBTRegressionModel,
+                 prediction_col: str = "prediction"):
+        self.settings = settings
+        self.totals = totals
+        self.gbt = gbt
+        self.prediction_col = prediction_col
+
+    @property
+    def feature_names(self) -> list[str]:
+        return [*self.settings.numeric, *self.settings.categorical]
+
+    def _encode(self, df: DataFrame) -> DataFrame:
+        """Categories as the smoothed means of the training period; a category
+        that it lacks gets the prior. A left join per feature, on distinct keys."""
+        s = self.settings
+        for i, c in enumerate(s.categorical):
+            t = self.totals.filter(F.col("feature") == c).select(
+                F.col("category").alias(f"_cat{i}"),
+                _smoothed("target_sum", "rows", F.lit(s.prior), s.prior_weight)
+                .alias(_encoded_name(c)))
+            df = df.join(t, F.col(c).cast("string").eqNullSafe(F.col(f"_cat{i}")), "left").withColumn(
+                _encoded_name(c), F.coalesce(_encoded_name(c), F.lit(s.prior))).drop(f"_cat{i}")
+        return df
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with the prediction; its rows and other columns are kept."""
+        ready = _assembled(self._encode(df), self.settings)
+        return self.gbt.transform(ready).select(*df.columns, F.col("prediction").alias(self.prediction_col))
+
+    def save(self, path: str) -> None:
+        """Trees, totals and settings under ``path`` (any file system of Spark)."""
+        spark = self.totals.sparkSession
+        self.gbt.write().overwrite().save(os.path.join(path, "trees"))
+        self.totals.write.mode("overwrite").parquet(os.path.join(path, "totals"))
+        spark.createDataFrame([(json.dumps(asdict(self.settings)),)], "settings string").coalesce(
+            1).write.mode("overwrite").parquet(os.path.join(path, "settings"))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> DemandModel:
+        settings = spark.read.parquet(os.path.join(path, "settings")).first()["settings"]
+        return cls(ModelSettings(**json.loads(settings)),
+                   spark.read.parquet(os.path.join(path, "totals")),
+                   GBTRegressionModel.load(os.path.join(path, "trees")))
+
+
+def _assembled(df: DataFrame, s: ModelSettings) -> DataFrame:
+    """Missing numbers (NULL or NaN) filled, then one vector of all inputs in
+    model order."""
+    filled = df.withColumns({
+        _filled_name(c): F.coalesce(_number(df, c), F.lit(s.fills[c])) for c in s.numeric
+    } | {_encoded_name(c): F.coalesce(_encoded_name(c), F.lit(s.fills[c])) for c in s.categorical})
+    inputs = [_filled_name(c) for c in s.numeric] + [_encoded_name(c) for c in s.categorical]
+    return VectorAssembler(inputCols=inputs, outputCol="_features").transform(filled)
 
 
 def fit_gbt(train: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES,
             categorical: Sequence[str] = CATEGORICAL_FEATURES, target: str = TARGET_COL,
-            max_iter: int = MODEL_PARAMS["iterations"], max_depth: int = MODEL_PARAMS["depth"],
-            step_size: float = MODEL_PARAMS["learning_rate"],
-            seed: int = MODEL_PARAMS["random_seed"]) -> PipelineModel:
-    """Fit fill → index → assemble → GBT on the training rows.
-
-    Missing numeric values are placed below every observed value (filled
-    with min − 1 of the training split); unseen categories at scoring time
-    get their own index (``handleInvalid='keep'``). ``maxBins`` covers the
-    largest category count. Fill values and category counts come from one
-    aggregation.
-
-    The training rows are checkpointed first (to the shared checkpoint
-    folder): the statistics, the indexer fit and every boosting round then
-    read stored rows, and a lost executor recomputes from those files, not
-    from the whole upstream plan. The split is one row per series and day,
-    so its size follows the calendar, not the raw input.
+            date_col: str = DATE_COL, max_iter: int = MODEL_PARAMS["iterations"],
+            max_depth: int = MODEL_PARAMS["depth"], step_size: float = MODEL_PARAMS["learning_rate"],
+            seed: int = MODEL_PARAMS["random_seed"],
+            prior_weight: float = PRIOR_WEIGHT) -> DemandModel:
+    """Fit encode → fill → assemble → GBT on the training rows.
+
+    Categories are encoded by :func:`category_target_stats` (earlier days
+    only), the same way for ten values and for ten million. Missing values
+    are placed below every observed value (min − 1 of the training split).
+    Fill values and the prior come from one aggregation.
+
+    The encoded rows are written to the shared checkpoint folder first: the
+    statistics and every boosting round then read stored rows, and a lost
+    executor recomputes from those files, not from the whole upstream plan.
+    The split is one row per series and day, so its size follows the
+    calendar, not the raw input. Rows without a target train nothing.
     """
-    ensure_checkpoint_dir(train.sparkSession)
-    train = train.checkpoint(eager=True)
-    stats = train.agg(
-        *[(F.min(c) - 1).alias(f"min_{c}") for c in numeric],
-        *[F.count_distinct(c).alias(f"card_{c}") for c in categorical],
-    ).first().asDict()
-    fills = {c: (stats[f"min_{c}"] if stats[f"min_{c}"] is not None else -1.0) for c in numeric}
-    max_card = max([stats[f"card_{c}"] for c in categorical] or [0])
-
-    filled = [f"{c}__f" for c in numeric]
-    indexed = [f"{c}__idx" for c in categorical]
-    stages = [SQLTransformer(statement=_fill_statement(fills, numeric))]
-    if categorical:
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed,
-                                    handleInvalid="keep"))
-    if max_card + 1 > MAX_CATEGORIES:
-        # Too many values for categorical splits (every bin is held per node):
-        # use the frequency-ordered index as an ordered feature instead. The
-        # arithmetic drops the nominal metadata the indexer attached.
-        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
-            f"`{c}` + 0.0 AS `{c}__ord`" for c in indexed) + " FROM __THIS__"))
-        indexed = [f"{c}__ord" for c in indexed]
-        bins = 32
-    else:
-        bins = max(32, max_card + 2)
-    stages.append(VectorAssembler(inputCols=filled + indexed, outputCol="features"))
-    stages.append(GBTRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
-                               maxIter=max_iter, maxDepth=max_depth, stepSize=step_size, seed=seed,
-                               maxBins=bins, checkpointInterval=10))
-    return Pipeline(stages=stages).fit(train)
-
-
-def model_feature_names(model: PipelineModel) -> list[str]:
-    assembler = [s for s in model.stages if isinstance(s, VectorAssembler)][0]
-    return [c.split("__", 1)[0] for c in assembler.getInputCols()]
-
-
-def feature_importance(model: PipelineModel) -> DataFrame:
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    y = _number(train, target)
+    train = train.select(date_col, *numeric, *categorical, y.alias(target)).filter(
+        F.col(target).isNotNull()).checkpoint(eager=True)
+    stats = category_target_stats(train, categorical, target, date_col, prior_weight).checkpoint(
+        eager=True) if categorical else None
+    rows = train
+    for i, c in enumerate(categorical):
+        t = stats.filter(F.col("feature") == c).select(
+            F.col("category").alias(f"_cat{i}"), F.col(date_col).alias(f"_day{i}"),
+            F.col("encoded").alias(_encoded_name(c)))
+        rows = rows.join(t, F.col(c).cast("string").eqNullSafe(F.col(f"_cat{i}"))
+                         & F.col(date_col).eqNullSafe(F.col(f"_day{i}"))).drop(f"_cat{i}", f"_day{i}")
+    rows = rows.checkpoint(eager=True)
+    least = rows.agg(F.avg(target).alias("prior"),
+                     *[(F.min(_number(rows, c)) - 1).alias(c) for c in numeric],
+                     *[(F.min(_encoded_name(c)) - 1).alias(c) for c in categorical]).first().asDict()
+    settings = ModelSettings(list(numeric), list(categorical),
+                             {c: -1.0 if least[c] is None else float(least[c])
+                              for c in [*numeric, *categorical]},
+                             float(least["prior"] or 0.0), prior_weight)
+    totals = category_totals(train, categorical, target) if categorical else spark.createDataFrame(
+        [], "feature string, category string, rows long, target_sum double")
+    path = staging_path(spark, "category-totals")
+    totals.write.parquet(path)
+    gbt = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction",
+                       maxIter=max_iter, maxDepth=max_depth, stepSize=step_size, seed=seed,
+                       checkpointInterval=10)
+    model = gbt.fit(_assembled(rows, settings).select("_features", target))
+    return DemandModel(settings, spark.read.parquet(path), model)
+
+
+def feature_importance(model: DemandModel) -> DataFrame:
     """(feature, importance), most important first. The vector has one entry
     per model input (seven here): model metadata, not data."""
-    names = model_feature_names(model)
-    values = model.stages[-1].featureImportances.toArray().tolist()
-    df = SparkSession.getActiveSession().createDataFrame(list(zip(names, [float(v) for v in values])),
-                                 "feature string, importance double")
+    values = model.gbt.featureImportances.toArray().tolist()
+    df = model.totals.sparkSession.createDataFrame(
+        list(zip(model.feature_names, [float(v) for v in values])),
+        "feature string, importance double")
     return df.orderBy(F.desc("importance"), F.asc("feature"))
+
+
+def importance_check(importance: DataFrame) -> DataFrame:
+    """One row: names, distinct names, Σ importance rounded to 6 digits and
+    whether all values lie between 0 and 1."""
+    return importance.agg(
+        F.count(F.lit(1)).alias("features"), F.count_distinct("feature").alias("distinct_features"),
+        F.round(F.sum("importance"), 6).alias("total_importance"),
+        F.min(F.col("importance").between(0, 1 + 1e-9)).alias("in_range"))

@@ -44,10 +44,12 @@ def gapfill_days_join(daily: DataFrame, series_keys: Sequence[str] = SERIES_KEYS
                       date_col: str = DATE_COL,
                       zero_filled: Sequence[str] = ZERO_FILLED) -> DataFrame:
     """Gap filling as spine ⟕ daily aggregate. Kept to cross-check
-    :func:`gapfill_days`; it needs a join and more exchanges."""
+    :func:`gapfill_days`; it needs a join and more exchanges. Rows without a
+    date belong to no day of the spine and are kept as they are."""
     keys = [date_col, *series_keys]
     spine = date_spine(daily, series_keys, date_col)
     joined = spine.join(daily, keys, "left")
+    joined = joined.unionByName(daily.filter(F.col(date_col).isNull()).select(*joined.columns))
     return joined.select(
         *[(_zero(daily, c).cast(daily.schema[c].dataType).alias(c) if c in zero_filled else F.col(c))
           for c in joined.columns]
@@ -62,8 +64,9 @@ def gapfill_days(daily: DataFrame, series_keys: Sequence[str] = SERIES_KEYS,
     Each observed day is exploded into itself plus the missing days up to
     the next observed day of the series (``lead``). On filled days the
     ``zero_filled`` measures are 0 and the others NULL; on observed days
-    NULL (and NaN) in ``zero_filled`` measures becomes 0. One shuffle on the
-    series keys; the feature windows that follow reuse it.
+    NULL (and NaN) in ``zero_filled`` measures becomes 0. A row without a
+    date is kept, for the feature contract to count and reject. One shuffle on
+    the series keys; the feature windows that follow reuse it.
     """
     keys = [date_col, *series_keys]
     measures = [c for c in daily.columns if c not in keys]
@@ -72,9 +75,9 @@ def gapfill_days(daily: DataFrame, series_keys: Sequence[str] = SERIES_KEYS,
     last = F.greatest(F.col(date_col),
                       F.coalesce(F.date_sub(F.lead(date_col).over(w), 1), F.col(date_col)))
     exploded = daily.select("*", last.alias("_last")).select(
-        "*", F.explode(F.sequence(F.col(date_col), F.col("_last"))).alias("_day")
+        "*", F.explode_outer(F.sequence(F.col(date_col), F.col("_last"))).alias("_day")
     )
-    observed = F.col("_day") == F.col(date_col)
+    observed = F.col("_day").eqNullSafe(F.col(date_col))
     out = [F.col("_day").alias(date_col), *[F.col(k) for k in series_keys]]
     for m in measures:
         dtype = daily.schema[m].dataType

@@ -10,10 +10,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.config import FEATURE_COLUMNS, KEY_COLUMNS, NUMERIC_FEATURES, RAW_SCHEMA
+from daybook.config import (
+    CATEGORICAL_FEATURES,
+    FEATURE_COLUMNS,
+    KEY_COLUMNS,
+    NUMERIC_FEATURES,
+    RAW_SCHEMA,
+)
 from daybook.functions.metrics import regression_metrics
 from daybook.operators import contracts as C
-from daybook.operators.aggregate import date_range, series_extent
+from daybook.operators.aggregate import daily_agg, date_range, series_extent
 from daybook.operators.clean import parse_dates
 from daybook.operators.lifecycle import (
     assign_versions,
@@ -23,7 +29,14 @@ from daybook.operators.lifecycle import (
     promote,
     run_summary,
 )
-from daybook.operators.model import feature_importance, split_counts, xy_projection
+from daybook.operators.model import (
+    PRIOR_WEIGHT,
+    category_target_stats,
+    feature_importance,
+    importance_check,
+    split_counts,
+    xy_projection,
+)
 from daybook.operators.scoring import actual_vs_predicted, score
 from daybook.operators.timeseries import (
     calendar_features,
@@ -201,7 +214,11 @@ def q_date_range(s: Stages) -> DataFrame:
        "select (select count(*) from silver) as silver_rows, "
        "(select cast(coalesce(sum(transaction_count), 0) as bigint) from agg) as total_transactions")
 def q_conservation_check(s: Stages) -> DataFrame:
-    return C.conservation_check(s.silver, s.daily)
+    # on the stored table, as the job does: the input is read once
+    path = staging_path(s.spark, "silver")
+    write_table(s.silver, path)
+    silver = read_table(s.spark, path)
+    return C.conservation_check(silver, daily_agg(silver))
 
 
 @query("grain_check",
@@ -290,7 +307,9 @@ def q_missing_columns(s: Stages) -> DataFrame:
        "count(*) filter (where transaction_date is null or product_name is null "
        "or destination_city is null) as null_keys, "
        "count(*) filter (where month is null or day_of_week is null) as null_calendar, "
-       f"cast({len(NUMERIC_FEATURES)} - {_PRESENT} as int) as missing_columns from feat")
+       f"cast({len(NUMERIC_FEATURES)} - {_PRESENT} as int) as missing_columns, "
+       "(select cast(coalesce(sum(demand_quantity), 0) as double) from silver) as total_demand, "
+       "(select count(*) from silver) as total_transactions from feat")
 def q_feature_check(s: Stages) -> DataFrame:
     return C.feature_check(s.features)
 
@@ -470,6 +489,47 @@ def q_champion_predictions(s: Stages) -> DataFrame:
 
 # ---- the distributed model (no SQL equivalent: rows-only) ----------------------
 
+_STATS_OF = """
+  select '{c}' as feature, cast({c} as varchar) as category, transaction_date,
+    count(total_demand) as n, sum(total_demand) as s
+  from feat where transaction_date <= {cut} group by 2, 3"""
+
+
+@query("category_target_stats",
+       f"""select c.feature, c.category, c.transaction_date,
+         coalesce(sum(c.n) over w, 0)::bigint as earlier_rows,
+         coalesce(sum(c.s) over w, 0.0)::double as earlier_sum, p.prior,
+         (coalesce(sum(c.s) over w, 0.0) + {PRIOR_WEIGHT} * p.prior)
+           / (coalesce(sum(c.n) over w, 0) + {PRIOR_WEIGHT}) as encoded
+       from ({" union all ".join(_STATS_OF.format(c=c, cut=CUT) for c in CATEGORICAL_FEATURES)}) c
+       join (
+         select transaction_date, sum(s) over d / sum(n) over d as prior from (
+           select transaction_date, sum(total_demand) as s, count(total_demand) as n
+           from feat where transaction_date <= {CUT} group by 1)
+         window d as (order by transaction_date rows between unbounded preceding and 1 preceding)
+       ) p on p.transaction_date = c.transaction_date
+       window w as (partition by c.feature, c.category order by c.transaction_date
+         rows between unbounded preceding and 1 preceding)""")
+def q_category_target_stats(s: Stages) -> DataFrame:
+    return category_target_stats(s.train)
+
+
+@query("gbt_check",
+       f"select count(*) as rows, cast(0 as bigint) as missing_predictions, "
+       f"(select count(*) from (select distinct {_KEYS} from test_rows)) as distinct_keys "
+       "from test_rows")
+def q_gbt_check(s: Stages) -> DataFrame:
+    return C.prediction_check(score(s.gbt(), s.test, "gbt"))
+
+
+@query("feature_importance_check",
+       f"select cast({len(FEATURE_COLUMNS)} as bigint) as features, "
+       f"cast({len(FEATURE_COLUMNS)} as bigint) as distinct_features, "
+       "cast(1.0 as double) as total_importance, true as in_range")
+def q_feature_importance_check(s: Stages) -> DataFrame:
+    return importance_check(feature_importance(s.gbt()))
+
+
 @query("gbt_predictions")
 def q_gbt_predictions(s: Stages) -> DataFrame:
     return score(s.gbt(), s.test, "gbt")

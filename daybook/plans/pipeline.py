@@ -18,7 +18,6 @@ import json
 import os
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +34,7 @@ from daybook.operators.lifecycle import (
     promote,
     run_summary,
 )
-from daybook.operators.model import fit_gbt, require_split, split_by_date
+from daybook.operators.model import DemandModel, fit_gbt, require_split, split_by_date
 from daybook.operators.scoring import score
 from daybook.operators.timeseries import build_features
 from daybook.sources.files import _fs_path, publish, read_raw_csv, read_table
@@ -103,7 +102,7 @@ def run_features(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet"
     def check(staged: DataFrame, rows: int) -> dict:
         if C.declared_key(staged) != KEY_COLUMNS:
             raise DataContractError("key", "declared key lost", {"declared": C.declared_key(staged)})
-        v = C.require_features(staged, rows)  # includes the key contract
+        v = C.require_features(staged, rows, daily=daily)  # includes the key contract
         m["key"] = {k: v[k] for k in ["rows", "distinct_keys"]
                     + [c for c in v if c.startswith("null_") and c != "null_keys"
                        and c != "null_calendar"]}
@@ -133,12 +132,12 @@ def run_training(spark: SparkSession, paths: dict, m: dict, cut: str,
     known = [r.version for r in registry.select("version").collect()]  # registry rows: a handful
     version = str(max([int(v) for v in known if v.isdigit()] or [0]) + 1)
     model = fit_gbt(train, max_iter=max_iter)
-    model.write().overwrite().save(os.path.join(paths["models"], model_name, version))
+    model.save(os.path.join(paths["models"], model_name, version))
 
     champion = [r.version for r in registry.filter(F.col("alias") == CHAMPION_ALIAS).collect()]
     preds = score(model, test, version)
     if champion:
-        old = PipelineModel.load(os.path.join(paths["models"], model_name, champion[0]))
+        old = DemandModel.load(spark, os.path.join(paths["models"], model_name, champion[0]))
         preds = preds.unionByName(score(old, test, champion[0]))
     # a few rows, read three times below: stored once (reliable checkpoint)
     metrics = metrics_by_version(preds).checkpoint(eager=True)
@@ -170,7 +169,7 @@ def run_predictions(spark: SparkSession, paths: dict, m: dict, cut: str,
     if not holder:
         raise LookupError("no version holds the Champion alias")
     winner = holder[0]
-    model = PipelineModel.load(os.path.join(paths["models"], model_name, winner))
+    model = DemandModel.load(spark, os.path.join(paths["models"], model_name, winner))
     _, test = split_by_date(read_table(spark, paths["features"], fmt), cut)
     out = score(model, test, winner, with_timestamp=True)
     publish(out, paths["predictions"],

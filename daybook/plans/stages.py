@@ -12,10 +12,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.config import FIXTURE_CUT_DATE, QUERY_GBT_ITERATIONS
+from daybook.config import FIXTURE_CUT_DATE, MODEL_PARAMS
 from daybook.operators.aggregate import daily_agg
 from daybook.operators.clean import dedupe_by_key, parse_dates
-from daybook.operators.model import ColumnPredictor, fit_gbt, split_by_date
+from daybook.operators.model import ColumnPredictor, DemandModel, fit_gbt, split_by_date
 from daybook.operators.scoring import score
 from daybook.operators.timeseries import build_features
 from daybook.sources.fixtures import transactions_from_star
@@ -28,6 +28,8 @@ BASELINES = {"1": "rolling_7_day_avg", "2": "demand_7"}
 SCENARIO_CHAMPION = "2"
 SCENARIO_CHALLENGER = "1"
 
+_FITTED: dict[tuple, DemandModel] = {}
+
 
 class Stages:
     """All layers of the job as lazy DataFrames over the star-schema tables."""
@@ -91,5 +93,9 @@ class Stages:
             "transaction_date", "product_name", "destination_city", "actual_demand",
             "_p.predicted_demand", "_p.model_version")
 
-    def gbt(self, max_iter: int = QUERY_GBT_ITERATIONS):
-        return fit_gbt(self.train, max_iter=max_iter)
+    def gbt(self, max_iter: int = MODEL_PARAMS["iterations"]) -> DemandModel:
+        """The model of these tables, fitted once for each application."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.cut, max_iter)
+        if key not in _FITTED:
+            _FITTED[key] = fit_gbt(self.train, max_iter=max_iter)
+        return _FITTED[key]

@@ -50,7 +50,7 @@ def main() -> None:
     print(f"# Plan shapes ({sf_dir}, static plans, AQE off)\n")
     print("| query | shuffles | reused | broadcasts | SMJ | BHJ | hash agg | sort agg | windows | Python | oracle |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    skip = {"gbt_predictions", "feature_importance"}  # their plans include a fit
+    skip = {"gbt_predictions", "gbt_check", "feature_importance", "feature_importance_check"}  # their plans include a fit
     for name, fn in QUERIES.items():
         if name in skip:
             continue

@@ -16,7 +16,7 @@ from daybook.operators.aggregate import daily_agg
 from daybook.operators.clean import dedupe_by_key, parse_dates
 from daybook.operators.lifecycle import decide, promote
 from daybook.functions.metrics import regression_metrics
-from daybook.operators.timeseries import build_features
+from daybook.operators.timeseries import build_features, gapfill_days, gapfill_days_join
 from daybook.sources.files import publish, read_raw_csv, read_table
 
 DAILY_SCHEMA = ("transaction_date date, product_name string, destination_city string, "
@@ -288,3 +288,21 @@ def test_declared_key_travels_with_the_table(spark):
     assert C.require_key(back)["rows"] == 3
     with pytest.raises(DataContractError):
         C.require_key(back, ["product_name", "transaction_date", "destination_city"])
+
+
+def test_gap_filling_keeps_rows_without_a_date(spark):
+    daily = spark.createDataFrame(
+        [(dt.date(2023, 1, 1), "A", "X", 2.0, 1.0, 1.0, 1), (dt.date(2023, 1, 3), "A", "X", 3.0, 1.0, 1.0, 1),
+         (None, "A", "X", 5.0, 1.0, 1.0, 2)],
+        "transaction_date date, product_name string, destination_city string, total_demand double, "
+        "avg_unit_price double, total_inventory double, transaction_count bigint")
+    one, other = gapfill_days(daily), gapfill_days_join(daily)
+    assert one.count() == 4 and one.agg(F.sum("total_demand")).first()[0] == 10.0
+    assert one.exceptAll(other.select(*one.columns)).isEmpty()
+    features = build_features(daily)
+    assert C.feature_check(features).first()["null_keys"] == 1
+    with pytest.raises(DataContractError):
+        C.require_features(features, daily=daily)
+    dated = daily.filter("transaction_date is not null")
+    with pytest.raises(DataContractError, match="conserved"):
+        C.require_features(build_features(dated), daily=dated.unionByName(dated))

@@ -8,11 +8,13 @@ import os
 import tempfile
 
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 from daybook.config import FEATURE_COLUMNS, TARGET_COL
 from daybook.functions.metrics import regression_metrics
 from daybook.operators.model import (
+    DemandModel,
+    category_target_stats,
     feature_importance,
     fit_gbt,
     split_by_date,
@@ -98,8 +100,8 @@ def test_fit_repeatable_and_save_load(signal_features):
     p2 = score(m2, test, "a").select(*p1.columns)
     assert p1.exceptAll(p2).count() == 0 and p2.exceptAll(p1).count() == 0
     path = os.path.join(tempfile.mkdtemp(prefix="daybook-model-"), "m")
-    m1.write().overwrite().save(path)
-    p3 = score(PipelineModel.load(path), test, "a").select(*p1.columns)
+    m1.save(path)
+    p3 = score(DemandModel.load(m1.totals.sparkSession, path), test, "a").select(*p1.columns)
     assert p1.exceptAll(p3).count() == 0
 
 
@@ -114,16 +116,46 @@ def test_unseen_category_and_null_features(spark, signal_features):
     assert r.predicted_demand is not None
 
 
-def test_many_categories_become_an_ordered_index(spark):
-    from pyspark.sql import functions as F
-    df = spark.range(3000).select(
-        F.concat(F.lit("p"), F.col("id").cast("string")).alias("product_name"),
+def _categories(spark, n):
+    return spark.range(max(n, 3000)).select(
+        F.date_add(F.lit("2023-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("transaction_date"),
+        F.concat(F.lit("p"), (F.col("id") % n).cast("string")).alias("product_name"),
         F.lit("X").alias("destination_city"),
         (F.col("id") % 7).cast("double").alias("demand_1"),
         (F.col("id") % 5).cast("double").alias("demand_7"),
         (F.col("id") % 3).cast("double").alias("rolling_7_day_avg"),
         F.lit(1).alias("month"), F.lit(2).alias("day_of_week"),
         (F.col("id") % 7 * 2.0).alias("total_demand"))
+
+
+@pytest.mark.parametrize("n", [10, 50_000])
+def test_any_number_of_categories_takes_the_same_path(spark, n):
+    df = _categories(spark, n)
     model = fit_gbt(df, max_iter=2, max_depth=3)
-    assert model.stages[-1].getMaxBins() == 32
+    assert model.gbt.getMaxBins() == 32 and model.gbt.numFeatures == 7
+    assert model.totals.filter(F.col("feature") == "product_name").count() == n
     assert len(feature_importance(model).collect()) == 7
+    assert score(model, df, "a").count() == df.count()
+
+
+def test_target_stats_see_earlier_days_only(spark):
+    rows = [("2023-01-01", "a", 10.0), ("2023-01-01", "b", 2.0), ("2023-01-02", "a", 4.0),
+            ("2023-01-02", "a", None), ("2023-01-02", "a", float("nan")), ("2023-01-03", None, 1.0),
+            ("2023-01-03", "a", 7.0)]
+    df = spark.createDataFrame(rows, "d string, c string, y double").withColumn("d", F.to_date("d"))
+    got = {(str(r.d), r.category): (r.earlier_rows, r.earlier_sum, r.prior, r.encoded)
+           for r in category_target_stats(df, ["c"], "y", "d").collect()}
+    prior = 16.0 / 3
+    assert got == {
+        ("2023-01-01", "a"): (0, 0.0, None, None), ("2023-01-01", "b"): (0, 0.0, None, None),
+        ("2023-01-02", "a"): (1, 10.0, 6.0, 8.0),
+        ("2023-01-03", "a"): (2, 14.0, prior, (14.0 + prior) / 3),
+        ("2023-01-03", None): (0, 0.0, prior, prior)}
+
+
+def test_nan_features_and_odd_names(spark):
+    df = _categories(spark, 10).withColumn("a__b", F.lit(float("nan")))
+    model = fit_gbt(df, numeric=["demand_1", "a__b"], max_iter=2, max_depth=3)
+    assert {r.feature for r in feature_importance(model).collect()} == {
+        "demand_1", "a__b", "product_name", "destination_city"}
+    assert score(model, df, "a").filter("predicted_demand is null").count() == 0
