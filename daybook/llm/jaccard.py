@@ -26,9 +26,9 @@ Links are needed up to connected components only. Equal sets are one class
 from the start. Candidates are verified on the exact sets: first the members
 of a row group against one of them, which joins groups of near copies. The
 classes in groups that still hold several components are few; among them the
-universe is cut into single shingles, each set looks up its rarest ones, and
-all pairs between components that this brings together are verified. Pairs
-inside a component are never made.
+universe is cut into single shingles, each set indexes and looks up only its
+rarest ones, and all pairs between components that this brings together are
+verified. Pairs inside a component are never verified there.
 
 Defined results: NULL, empty or blank texts have no shingles, n_shingles 0 and
 their own id as component; a text of one to four words is one shingle; a
@@ -379,8 +379,11 @@ def _mixed(rows: DataFrame, label: DataFrame, group: str = "sig") -> DataFrame:
 
 def _single_shingles(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     """Candidate pairs between components among the classes of ``mixed``: every
-    shingle is a segment, and of its n shingles a set looks up the n // 4 + 1
-    that fewest of these classes hold."""
+    shingle is a segment, and a set indexes and looks up the first n // 5 + 1
+    of its n shingles. The order is the same for all sets: shingles within one
+    component first, then those that fewest of these classes hold. Similar
+    sets share at least 4/5 of either one's shingles, so the first shared one
+    is among those of both; between components it is none of the former."""
     classes = mixed.groupBy("v").agg(F.min("n").alias("n"), F.min("label").alias("label"))
     by = Window.partitionBy("sig")
     rows = (classes.join(sets, "v").select("v", "n", "label", F.explode("items").alias("sig"))
@@ -388,15 +391,14 @@ def _single_shingles(mixed: DataFrame, sets: DataFrame) -> DataFrame:
             .withColumn("_lo", F.min("label").over(by)).withColumn("_hi", F.max("label").over(by))
             .filter(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi"))
     rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("many"), "sig"))
-    rows = stored(rows.withColumn("probe", rank > F.col("n") - F.floor(F.col("n") / 4) - 1))
-    index = rows.select("sig", F.col("label").alias("to"), F.col("v").alias("w"), F.col("n").alias("m"))
-    asking = rows.filter("probe").select("sig", "label", "v", "n")
-    ways = (asking.select("sig", "label").distinct()
-            .join(index.select("sig", "to").distinct(), "sig")
-            .filter(F.col("label") != F.col("to")))
-    return (asking.join(ways, ["sig", "label"]).join(index, ["sig", "to"])
-            .filter((F.col("n") <= F.col("m")) & _near_sizes("n", "m"))
-            .select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct())
+    rows = stored(rows.withColumn("_rank", rank)
+                  .filter(F.col("_rank") > F.col("n") - F.floor(F.col("n") / 5) - 1)
+                  .select("sig", "v", "n", "label"))
+    release_shuffles(rows.sparkSession)
+    other = rows.select("sig", F.col("label").alias("to"), F.col("v").alias("w"), F.col("n").alias("m"))
+    return (rows.join(other, "sig")
+            .filter((F.col("label") != F.col("to")) & (F.col("v") < F.col("w")) & _near_sizes("n", "m"))
+            .select(F.col("v").alias("a"), F.col("w").alias("b")).distinct())
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
