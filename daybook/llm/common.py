@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import daybook
-from daybook.session import ensure_checkpoint_dir
+from daybook.session import ensure_checkpoint_dir, staging_path
 
 _SHIPPED: set[str] = set()
 
@@ -60,6 +60,15 @@ def stored(df: DataFrame) -> DataFrame:
     return out
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder. For loops: a
+    checkpoint hands its plan's constraints on to the next round, whose number
+    multiplies from round to round; a table read back has none."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let the context cleaner delete the shuffle files of plans that nothing
     refers to any more (it acts on the driver's garbage collection, which a

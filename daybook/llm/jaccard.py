@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import id_text, release_shuffles, rows_by_id, stored
+from daybook.llm.common import id_text, release_shuffles, rows_by_id, stored, written
 
 WORDS = 5
 #: Bands below this one (sets of fewer than 64 shingles) use one-deletion rows.
@@ -242,18 +242,18 @@ def components(edges: DataFrame) -> DataFrame:
     vertices of ``edges`` (a, b). Every round each vertex takes the least label
     among its own and its neighbours', then the label of that label; rounds
     end when no label changes."""
-    both = stored(edges.select("a", "b").unionByName(
-        edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("least")).select(
-        F.col("a").alias("v"), F.least("a", "least").alias("label")))
+    both = written(edges.select("a", "b").unionByName(
+        edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    labels = written(both.groupBy("a").agg(F.min("b").alias("least")).select(
+        F.col("a").alias("v"), F.least("a", "least").alias("label")), "labels")
     while True:
         near = (both.join(labels, both["b"] == labels["v"])
                 .groupBy("a").agg(F.min("label").alias("near")))
         new = labels.join(near, labels["v"] == near["a"]).select(
             "v", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         hop = labels.select(F.col("v").alias("_v"), F.col("label").alias("_hop"))
-        new = stored(new.join(hop, new["label"] == hop["_v"], "left").select(
-            "v", "was", F.least("label", F.coalesce("_hop", "label")).alias("label")))
+        new = written(new.join(hop, new["label"] == hop["_v"], "left").select(
+            "v", "was", F.least("label", F.coalesce("_hop", "label")).alias("label")), "labels")
         changed = new.filter(F.col("label") != F.col("was")).limit(1).count()
         labels = new.select("v", "label")
         if not changed:
