@@ -88,6 +88,12 @@ class WordHashes(dict):
         return h
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; np.unique hashes 64-bit integers, which is slower here."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def shingle_set(text: str, hashes: dict, k: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the text's k-word shingles."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # ASCII case, ASCII white space
@@ -98,7 +104,7 @@ def shingle_set(text: str, hashes: dict, k: int = WORDS) -> np.ndarray:
     s = np.full(len(h) - n + 1, n, dtype=np.uint64)
     for i in range(n):
         s += h[i:len(h) - n + 1 + i] * _FACTORS[i]
-    return np.unique(mix(s))
+    return distinct(mix(s))
 
 
 def set_key(s: np.ndarray) -> tuple[int, int]:
