@@ -58,6 +58,8 @@ SPARE = 1.2
 BAND_BUCKETS = 1024
 CACHE_WORDS = 300_000
 CHUNK_ROWS = 200_000
+#: 64-bit words of a set's sketch.
+SKETCH_WORDS = 8
 #: Rounds of stars before all remaining candidates are made, at most.
 STARS = 3
 
@@ -113,6 +115,14 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
     return d & ((1 << 60) - 1), (d >> 65) & ((1 << 63) - 1)
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Bit i tells whether an odd number of the shingles fall on i. Two sketches
+    differ in no more bits than the sets do in shingles."""
+    held = np.bincount((s & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64),
+                       minlength=64 * SKETCH_WORDS)
+    return np.packbits((held & 1).astype(np.uint8)).view(np.int64)
+
+
 def segments(band: int) -> int:
     """How many segments the universe is cut into for the sets of a band."""
     needed = ((2 << band) - 1) // 4 + 1
@@ -227,18 +237,19 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(k1, k2, text) to (k1, k2, set), where the text is of that class."""
+    """(k1, k2, text) to (k1, k2, set, sketch), where the text is of that class."""
     hashes = WordHashes()
     for b in batches:
         rows = []
         for k1, k2, text in zip(*(c.to_pylist() for c in b.columns)):
             s = shingle_set(text, hashes)
             if set_key(s) == (k1, k2):
-                rows.append((k1, k2, s.view(np.int64)))
-        columns = list(zip(*rows)) or [[]] * 3
+                rows.append((k1, k2, s.view(np.int64), sketch(s)))
+        columns = list(zip(*rows)) or [[]] * 4
         yield pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-             pa.array(columns[2], pa.list_(pa.int64()))], names=["k1", "k2", "items"])
+             *(pa.array(c, pa.list_(pa.int64())) for c in columns[2:])],
+            names=["k1", "k2", "items", "sketch"])
 
 
 # ---- components ------------------------------------------------------------------
@@ -286,6 +297,12 @@ def _near_sizes(x: str, y: str):
     return 5 * F.least(x, y) >= 4 * F.greatest(x, y)
 
 
+def _near_sketches(x: str, y: str, n: str, m: str) -> Column:
+    """Sets of n and m shingles are similar if they differ in (n + m) / 9 at most."""
+    bits = sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    return 9 * bits <= F.col(n) + F.col(m)
+
+
 def shared_rows(docs: DataFrame) -> DataFrame:
     """sig, k1, role, many: the rows whose content at least two sets hold (how
     many do) and some set may look up."""
@@ -332,9 +349,10 @@ def linked_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
              .groupBy("_want").agg(F.collect_set("v").alias("_vs")))  # one class for each text
     texts = rows_by_id(docs, heads).select(F.explode("_vs").alias("v"), "_text")
     sets = stored(texts.select("v.k1", "v.k2", "_text")
-                  .mapInArrow(_sets, "k1 long, k2 long, items array<long>")
-                  .groupBy("k1", "k2").agg(F.first("items").alias("items"))
-                  .select(_class().alias("v"), "items"))
+                  .mapInArrow(_sets, "k1 long, k2 long, items array<long>, sketch array<long>")
+                  .groupBy("k1", "k2").agg(F.first("items").alias("items"),
+                                           F.first("sketch").alias("sketch"))
+                  .select(_class().alias("v"), "items", "sketch"))
     release_shuffles(spark)
 
     # stars: the members of a row group against one of them, the smallest at
@@ -389,7 +407,8 @@ def _single_shingles(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     of its n shingles. The order is the same for all sets: shingles within one
     component first, then those that fewest of these classes hold. Similar
     sets share at least 4/5 of either one's shingles, so the first shared one
-    is among those of both; between components it is none of the former."""
+    is among those of both; between components it is none of the former. Pairs
+    whose sketches differ too much cannot be similar and are not made."""
     classes = mixed.groupBy("v").agg(F.min("n").alias("n"), F.min("label").alias("label"))
     by = Window.partitionBy("sig")
     rows = (classes.join(sets, "v").select("v", "n", "label", F.explode("items").alias("sig"))
@@ -399,11 +418,14 @@ def _single_shingles(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("many"), "sig"))
     rows = stored(rows.withColumn("_rank", rank)
                   .filter(F.col("_rank") > F.col("n") - F.floor(F.col("n") / 5) - 1)
-                  .select("sig", "v", "n", "label"))
+                  .join(sets.select("v", "sketch"), "v")
+                  .select("sig", "v", "n", "label", "sketch"))
     release_shuffles(rows.sparkSession)
-    other = rows.select("sig", F.col("label").alias("to"), F.col("v").alias("w"), F.col("n").alias("m"))
+    other = rows.select("sig", F.col("label").alias("to"), F.col("v").alias("w"),
+                        F.col("n").alias("m"), F.col("sketch").alias("other"))
     return (rows.join(other, "sig")
-            .filter((F.col("label") != F.col("to")) & (F.col("v") < F.col("w")) & _near_sizes("n", "m"))
+            .filter((F.col("label") != F.col("to")) & (F.col("v") < F.col("w")) & _near_sizes("n", "m")
+                    & _near_sketches("sketch", "other", "n", "m"))
             .select(F.col("v").alias("a"), F.col("w").alias("b")).distinct())
 
 

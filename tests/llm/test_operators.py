@@ -494,3 +494,15 @@ def test_pipeline_stages(spark, sf_small):
     assert all(x.columns == columns for x in (a, b, c, d)) and d.count() == b.count()
     last = P.run(spark, sf_small)
     assert last.select("doc_id").distinct().count() == d.count()
+
+
+def test_jaccard_sketches_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for n in (1, 30, 400, 3000):
+        a = jaccard.distinct(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        for change in (0, 1, n // 9, n // 2):
+            b = jaccard.distinct(np.concatenate([a[change:], rng.integers(0, 1 << 63, change).astype(np.uint64)]))
+            bits = sum(int(x).bit_count() for x in (jaccard.sketch(a) ^ jaccard.sketch(b)).view(np.uint64))
+            assert bits <= len(np.setxor1d(a, b))
+    assert not jaccard.sketch(np.zeros(0, dtype=np.uint64)).any()
+    assert len(jaccard.distinct(np.zeros(0, dtype=np.uint64))) == 0
