@@ -24,7 +24,7 @@ passages that many documents share make few candidates.
 
 Links are needed up to connected components only. Equal sets are one class
 from the start. Candidates are verified on the exact sets: first the members
-of a row group against one of them, which joins groups of near copies. The
+of a row group against two of them, which joins groups of near copies. The
 classes in groups that still hold several components are few; among them the
 universe is cut into single shingles, each set indexes and looks up only its
 rarest ones, and all pairs between components that this brings together are
@@ -60,8 +60,6 @@ CACHE_WORDS = 300_000
 CHUNK_ROWS = 200_000
 #: 64-bit words of a set's sketch.
 SKETCH_WORDS = 8
-#: Rounds of stars before all remaining candidates are made, at most.
-STARS = 3
 
 INDEX, PROBE, FORCED = 1, 2, 4
 
@@ -355,40 +353,28 @@ def linked_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
                   .select(_class().alias("v"), "items", "sketch"))
     release_shuffles(spark)
 
-    # stars: the members of a row group against one of them, the smallest at
-    # first, then others in turn for the groups that still differ
-    tried = stored(_star(rows, F.col("n")).distinct())
-    edges = stored(_verified(tried, sets))
+    # stars: the members of a row group against two of them
+    edges = stored(_verified(_stars(rows).distinct(), sets))
     label = components(edges)
     mixed = stored(_mixed(rows.drop("doc"), label))
     release_shuffles(spark)
-    for turn in range(1, STARS):
-        again = stored(_star(mixed, F.xxhash64("v", F.lit(turn))).distinct()
-                       .join(tried, ["a", "b"], "left_anti"))
-        more = stored(_verified(again, sets))
-        if more.isEmpty():
-            break
-        tried, edges = tried.unionByName(again), stored(edges.unionByName(more))
-        label = components(edges)
-        mixed = stored(_mixed(mixed.drop("label"), label))
 
     # what is left: the same with the universe cut into single shingles
     last = stored(_verified(_single_shingles(mixed, sets), sets))
     return label if last.isEmpty() else components(edges.unionByName(last))
 
 
-def _star(rows: DataFrame, order: Column) -> DataFrame:
-    """Pairs (a < b) of one member of each row group that looks it up, the
-    first by ``order``, and the members that it can be similar to."""
-    first = F.min(F.when(F.col("probe"), F.struct(order.alias("o"), "n", "v"))).over(
-        Window.partitionBy("sig"))
-    if "label" in rows.columns:  # inside a component nothing is left to find
-        first = F.min(F.when(F.col("probe"), F.struct(order.alias("o"), "n", "v", "label"))).over(
+def _stars(rows: DataFrame) -> DataFrame:
+    """Pairs (a < b) of the heads of each row group, members that look it up,
+    and the members that they can be similar to. The heads are the smallest
+    member and one in a random order that is the same for all groups."""
+    def head(order: Column) -> Column:
+        return F.min(F.when(F.col("probe"), F.struct(order.cast("long").alias("o"), "n", "v"))).over(
             Window.partitionBy("sig"))
-        rows = rows.withColumn("p", first).filter(F.col("p.label") != F.col("label"))
-    else:
-        rows = rows.withColumn("p", first)
-    return (rows.filter((F.col("p.v") != F.col("v")) & _near_sizes("n", "p.n")
+
+    return (rows.withColumn("_heads", F.array(head(F.col("n")), head(F.xxhash64("v"))))
+            .withColumn("p", F.explode("_heads"))
+            .filter((F.col("p.v") != F.col("v")) & _near_sizes("n", "p.n")
                     & (F.col("probe") | (F.col("p.n") <= F.col("n"))))
             .select(F.least("p.v", "v").alias("a"), F.greatest("p.v", "v").alias("b")))
 
