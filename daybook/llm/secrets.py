@@ -2,9 +2,10 @@
 
 The text is the first layer. Each layer is scanned, then unwrapped: URL
 escapes, Unicode escapes, base64 runs, and compressed data (gzip, zlib, bz2,
-xz, zstd) inside them. Every new layer goes onto the worklist, unless its
-content has been seen in this document (cycle detection), and every finding
-is mapped back, layer by layer, to code points of the text: through URL and
+xz, zstd) inside them. Every content is scanned and unwrapped once in a
+document, but knows all places where it stands; a finding goes up to each of
+them, unless it is known there (which ends cycles), and so is mapped back,
+layer by layer, to code points of the text: through URL and
 Unicode escapes to the escapes' exact places, through base64 to the
 characters that carry the bytes, through compressed data to the whole run.
 
@@ -166,51 +167,88 @@ def _unpack(data: bytes, limit: int) -> tuple[bytes, bool] | None:
 Back = Callable[[int, int], tuple[int, int]]
 
 
+class _Layer:
+    """The findings of one content and every place where it stands."""
+
+    __slots__ = ("found", "up")
+
+    def __init__(self) -> None:
+        self.found: set[Span] = set()
+        self.up: list[tuple[_Layer, Back]] = []
+
+
+def _all(s: int, e: int) -> tuple[int, int]:
+    return 0, 1
+
+
 class Scan:
     """All findings of one text."""
 
     def __init__(self, text: str, layer_bytes: int = LAYER_BYTES):
         self.layer_bytes = layer_bytes
         self.base = ordered(base_spans(text))
-        found: set[Span] = set(self.base)
         self.layers, self.cut = 0, 0
-        self.seen: set[int] = set()
-        self.work: deque[tuple[str, Back]] = deque()
-        self._push(text, lambda s, e: (s, e))
+        self.known: dict[int, _Layer] = {}
+        self.work: deque[Callable[[], None]] = deque()
+        root = self._text_layer(text)
         while self.work:
-            layer, back = self.work.popleft()
-            if self.layers:  # the text itself is done
-                found.update((k, *back(s, e)) for k, s, e in base_spans(layer))
-            self.layers += 1
-            self._unwrap(layer, back)
-        self.spans = ordered(found)
-
-    def _push(self, text: str, back: Back) -> None:
+            self.work.popleft()()
+        self.spans = ordered(root.found)
+
+    def _text_layer(self, text: str) -> _Layer:
+        """The layer of this content, scanned and unwrapped once."""
         key = xxhash.xxh3_128_intdigest(text.encode("utf-8", "surrogatepass"))
-        if text and key not in self.seen:
-            self.seen.add(key)
-            self.work.append((text, back))
-
-    def _push_bytes(self, data: bytes, text_back: Callable[[str], Back], whole: Back) -> None:
-        """A run's bytes: text becomes a layer; compressed data is unpacked
-        until it is text, something else, or something seen before."""
-        packed = False
-        while (got := _unpack(data, self.layer_bytes)) is not None:
-            key = xxhash.xxh3_128_intdigest(data) ^ 1
-            if key in self.seen:
+        if key not in self.known:
+            layer = self.known[key] = _Layer()
+
+            def scan() -> None:
+                self.layers += 1
+                self._report(layer, set(base_spans(text)))
+                self._unwrap(text, layer)
+
+            self.work.append(scan)
+        return self.known[key]
+
+    def _report(self, layer: _Layer, spans: set[Span]) -> None:
+        """New findings go up to every place of the layer; what a layer has
+        already goes no further, which ends cycles."""
+        todo = [(layer, spans)]
+        while todo:
+            layer, spans = todo.pop()
+            new = spans - layer.found
+            if new:
+                layer.found |= new
+                todo += [(up, {(k, *back(s, e)) for k, s, e in new}) for up, back in layer.up]
+
+    def _link(self, layer: _Layer, up: _Layer, back: Back) -> None:
+        layer.up.append((up, back))
+        self._report(up, {(k, *back(s, e)) for k, s, e in layer.found})
+
+    def _push(self, text: str, up: _Layer, back: Back) -> None:
+        if text:
+            self._link(self._text_layer(text), up, back)
+
+    def _push_bytes(self, data: bytes, up: _Layer, text_back: Callable[[str], Back], whole: Back) -> None:
+        """A run's bytes: text becomes a layer; compressed data is a layer of
+        one place, whose content is unpacked until it is text or something else."""
+        key = xxhash.xxh3_128_intdigest(data) ^ 1
+        if key not in self.known:
+            got = _unpack(data, self.layer_bytes)
+            if got is None:
+                text = _readable(data)
+                if text:
+                    self._push(text, up, text_back(text))
                 return
-            self.seen.add(key)
-            data, packed = got[0], True
+            layer = self.known[key] = _Layer()
             self.cut += got[1]
-        text = _readable(data)
-        if text:
-            self._push(text, whole if packed else text_back(text))
+            self.work.append(lambda: self._push_bytes(got[0], layer, lambda t: _all, _all))
+        self._link(self.known[key], up, whole)
 
-    def _unwrap(self, layer: str, back: Back) -> None:
+    def _unwrap(self, layer: str, up: _Layer) -> None:
         if "%" in layer:
-            self._unquote(layer, back)
+            self._unquote(layer, up)
         if ("\\" in layer or "&#" in layer) and (made := _unescape(layer)):
-            self._push("".join(made.parts), lambda s, e, m=made: back(*m.back(s, e)))
+            self._push("".join(made.parts), up, made.back)
         for m in _BASE64.finditer(layer):
             run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
             run = run[: len(run) - (len(run) % 4 == 1)]
@@ -224,12 +262,12 @@ class Scan:
                 def bytes_back(s: int, e: int) -> tuple[int, int]:
                     a = len(text[:s].encode())
                     b = a + len(text[s:e].encode())
-                    return back(start + a * 4 // 3, min(end, start + -(-b * 4 // 3)))
+                    return start + a * 4 // 3, min(end, start + -(-b * 4 // 3))
                 return bytes_back
 
-            self._push_bytes(data, text_back, lambda s, e, a=start, b=end: back(a, b))
+            self._push_bytes(data, up, text_back, lambda s, e, a=start, b=end: (a, b))
 
-    def _unquote(self, layer: str, back: Back) -> None:
+    def _unquote(self, layer: str, up: _Layer) -> None:
         out, at = _Pieces(), 0
         for m in _URL.finditer(layer):
             data = bytes.fromhex(m[0].replace("%", ""))
@@ -237,8 +275,8 @@ class Scan:
                 text = data.decode("utf-8")
             except UnicodeDecodeError:
                 a, b = m.span()
-                self._push_bytes(data, lambda t, a=a, b=b: lambda s, e: back(a, b),
-                                 lambda s, e, a=a, b=b: back(a, b))
+                self._push_bytes(data, up, lambda t, a=a, b=b: lambda s, e: (a, b),
+                                 lambda s, e, a=a, b=b: (a, b))
                 continue
             out.add(layer[at:m.start()], at, 0)
             source = m.start()
@@ -249,7 +287,7 @@ class Scan:
             at = m.end()
         if at:
             out.add(layer[at:], at, 0)
-            self._push("".join(out.parts), lambda s, e: back(*out.back(s, e)))
+            self._push("".join(out.parts), up, out.back)
 
 
 # ---- tables ------------------------------------------------------------------

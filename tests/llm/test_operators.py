@@ -66,6 +66,23 @@ def test_nested_layers_are_mapped_back():
     assert secrets.Scan(bomb, layer_bytes=1000).cut == 1
 
 
+def test_repeated_blobs_are_found_at_every_place():
+    secret = "token=abcdefgh12345678"
+    plain = base64.b64encode(secret.encode()).decode()
+    packed = base64.b64encode(gzip.compress(secret.encode())).decode()
+    outer = base64.b64encode(f"< {packed} >".encode()).decode()  # a packed blob at two depths
+    url = "password%3Dabcdefgh%31%32"
+    for blob in (plain, packed, outer, url):
+        text = f"a {blob} b {blob} c {packed} d {blob}"
+        spans = secrets.Scan(text).spans
+        for m in re.finditer(re.escape(blob), text):
+            assert any(k == "assign" and m.start() <= s < e <= m.end() for k, s, e in spans), (blob, m)
+        at = text.index(f" c {packed}") + 3
+        assert ("assign", at, at + len(packed)) in spans
+    scan = secrets.Scan(" ".join([packed] * 50))
+    assert len(scan.spans) == 50 and scan.layers == 2  # unpacked once
+
+
 def test_secret_table_and_redaction(spark):
     rows = [*ODD, (9, "my password = hunter2hunter2 ok"), (9, "my password = hunter2hunter2 ok")]
     got = secrets.secret_scan(table(spark, rows)).collect()
