@@ -22,16 +22,22 @@ Cost-based allocation: a set needs no more than d + 1 of its segments. Those
 whose contents are most frequent among all sets are given up first, so
 passages that many documents share make few candidates.
 
-Links are needed up to connected components only. Equal sets are one class
-from the start. Candidates are verified on the exact sets: first the members
-of a row group against two of them, which joins groups of near copies. The
-classes in groups that still hold several components are few; among them the
-universe is cut into single shingles, each set indexes and looks up only its
-rarest ones, and all pairs between components that this brings together are
-verified. Pairs inside a component are never verified there.
-
-Defined results: NULL, empty or blank texts have no shingles, n_shingles 0 and
-their own id as component; a text of one to four words is one shingle; a
+Components come first. Equal sets are one class from the start. Candidates
+are verified on the exact sets: first the members of a row group against two
+of them, which joins groups of near copies. The classes in groups that still
+hold several components are few; among them the universe is cut into single
+shingles, each set indexes and looks up only its rarest ones, and all pairs
+between components that this brings together are verified.
+
+Links come from the components, as similar sets are always in one: two classes
+of a component of two are linked; in a larger one all pairs of classes are
+compared exactly, in pairs of blocks of an expected ``LINK_BLOCK`` classes by
+matrix products, so a component of any size is dealt over many tasks and no
+row is made for a pair. A document's links are the other rows whose set has
+similarity 0.8 or more with its own, equal ones included.
+
+Defined results: NULL, empty or blank texts have no shingles, n_shingles 0, no
+links and their own id as component; a text of one to four words is one shingle; a
 NULL id takes part, but is nobody's component id; repeated rows share a
 component; an empty table gives no rows; texts are read whole. Other columns
 may have any names.
@@ -58,6 +64,8 @@ SPARE = 1.2
 BAND_BUCKETS = 1024
 CACHE_WORDS = 300_000
 CHUNK_ROWS = 200_000
+#: Expected classes in a block of a component, and shingles in one matrix product.
+LINK_BLOCK, LINK_SHINGLES = 256, 4096
 #: 64-bit words of a set's sketch.
 SKETCH_WORDS = 8
 
@@ -250,6 +258,62 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["k1", "k2", "items", "sketch"])
 
 
+def similar(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Which sets of ``a`` (rows) are similar to which of ``b`` (columns)."""
+    sizes = np.array([len(x) for x in [*a, *b]], dtype=np.int64)
+    items, place, held = np.unique(np.concatenate([*a, *b]), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    shared = held > 1
+    number = np.cumsum(shared) - 1
+    use = shared[place]
+    place, owner = number[place[use]], owner[use]
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    common = np.zeros((len(a), len(b)), dtype=np.int64)
+    for low in range(0, int(shared.sum()), LINK_SHINGLES):
+        i, j = np.searchsorted(place, (low, low + LINK_SHINGLES))
+        width = min(LINK_SHINGLES, int(shared.sum()) - low)
+        has = np.zeros((len(sizes), width), dtype=np.float32)
+        has[owner[i:j], place[i:j] - low] = 1
+        common += (has[:len(a)] @ has[len(a):].T).astype(np.int64)  # exact: at most 4096
+    union = sizes[:len(a), None] + sizes[None, len(a):] - common
+    return 100 * common >= 80 * union
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by component and pair of blocks, to (k1, k2, links): for each
+    class the rows of those linked to it in this pair of blocks."""
+    def out(key: tuple, rows: list[tuple]) -> pa.RecordBatch:
+        first, second = key[2], key[3]
+        sides = [[r for r in rows if r[0] == block] for block in (first, second)]
+        a, b = sides
+        names, links = [], []
+        if a and b:
+            near = similar([r[4] for r in a], [r[4] for r in b])
+            if first == second:
+                np.fill_diagonal(near, False)
+            names, links = a, near @ np.array([r[3] for r in b], dtype=np.int64)
+            if first != second:
+                names = a + b
+                links = np.concatenate([links, near.T @ np.array([r[3] for r in a], dtype=np.int64)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[1] for r in names], pa.int64()), pa.array([r[2] for r in names], pa.int64()),
+             pa.array(links, pa.int64())], names=["k1", "k2", "links"])
+
+    key, rows = None, []
+    for batch in batches:
+        items = batch.column(8)
+        flat, at = items.values.to_numpy(zero_copy_only=False), items.offsets.to_numpy()
+        for i, r in enumerate(zip(*(c.to_pylist() for c in batch.columns[:8]))):
+            if r[:4] != key:
+                if len(rows) > 1:
+                    yield out(key, rows)
+                key, rows = r[:4], []
+            rows.append((*r[4:], flat[at[i]:at[i + 1]].copy()))
+    if len(rows) > 1:
+        yield out(key, rows)
+
+
 # ---- components ------------------------------------------------------------------
 
 def components(edges: DataFrame) -> DataFrame:
@@ -315,8 +379,9 @@ def shared_rows(docs: DataFrame) -> DataFrame:
             .filter((F.col("many") > 1) & (F.col("_asked") >= PROBE)).drop("_asked"))
 
 
-def linked_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
-    """(v, label) of the classes of equal sets that have a link to another."""
+def linked_classes(docs: DataFrame, described: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(v, label) of the classes of equal sets that have a link to another, and
+    the sets (v, items, sketch) of these and others."""
     spark = docs.sparkSession
     shared = stored(shared_rows(docs))
     release_shuffles(spark)
@@ -361,7 +426,29 @@ def linked_classes(docs: DataFrame, described: DataFrame) -> DataFrame:
 
     # what is left: the same with the universe cut into single shingles
     last = stored(_verified(_single_shingles(mixed, sets), sets))
-    return label if last.isEmpty() else components(edges.unionByName(last))
+    return (label if last.isEmpty() else components(edges.unionByName(last))), sets
+
+
+def class_links(label: DataFrame, sets: DataFrame, copies: DataFrame) -> DataFrame:
+    """k1, k2, links: for the classes of ``label`` the rows of all classes
+    linked to them, where ``copies`` (v, copies) has the rows of a class."""
+    members = label.join(copies, "v")
+    whole = members.groupBy("label").agg(F.count(F.lit(1)).alias("_classes"), F.sum("copies").alias("_rows"))
+    members = stored(members.join(whole, "label"))
+    pairs = members.filter("_classes = 2").select(
+        "v.k1", "v.k2", (F.col("_rows") - F.col("copies")).alias("links"))
+    blocks = F.ceil(F.col("_classes") / LINK_BLOCK)
+    block = F.pmod(F.xxhash64("v"), F.col("_blocks"))
+    keys = ["l1", "l2", "first", "second"]
+    dealt = (members.filter("_classes > 2").withColumn("_blocks", blocks).withColumn("block", block)
+             .join(sets.select("v", "items"), "v")
+             .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+             .select(F.col("label.k1").alias("l1"), F.col("label.k2").alias("l2"),
+                     F.least("block", "_other").alias("first"), F.greatest("block", "_other").alias("second"),
+                     "block", "v.k1", "v.k2", "copies", "items"))
+    found = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+        _block_links, "k1 long, k2 long, links long")
+    return pairs.unionByName(found).groupBy("k1", "k2").agg(F.sum("links").alias("links"))
 
 
 def _stars(rows: DataFrame) -> DataFrame:
@@ -415,21 +502,33 @@ def _single_shingles(mixed: DataFrame, sets: DataFrame) -> DataFrame:
             .select(F.col("v").alias("a"), F.col("w").alias("b")).distinct())
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every document."""
+def _components(docs: DataFrame, links: bool) -> DataFrame:
+    """doc_id, n_shingles, component_id and, if wanted, n_links for every document."""
     docs = id_text(docs)
     described = stored(docs.mapInArrow(
         _describe, "doc_id long, k1 long, k2 long, n long, slack long"))
-    label = linked_classes(docs, described)
-    least = described.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("_doc"))
+    label, sets = linked_classes(docs, described)
+    least = described.filter("n > 0").groupBy("k1", "k2").agg(
+        F.min("doc_id").alias("_doc"), F.count(F.lit(1)).alias("copies"))
     named = (least.withColumn("v", _class()).join(label, "v", "left")
              .withColumn("label", F.coalesce("label", "v")))
     heads = named.groupBy("label").agg(F.min("_doc").alias("component_id"))
-    classes = named.join(heads, "label").select("k1", "k2", "component_id")
+    classes = named.join(heads, "label").select("k1", "k2", "component_id", "copies")
+    counted = []
+    if links:
+        near = class_links(label, sets, least.select(_class().alias("v"), "copies"))
+        classes = classes.join(near, ["k1", "k2"], "left")
+        counted = [F.when(F.col("n") == 0, F.lit(0)).otherwise(
+            F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links")]
     return (described.join(classes, ["k1", "k2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id"))
-                    .otherwise(F.col("component_id")).alias("component_id")))
+                    .otherwise(F.col("component_id")).alias("component_id"), *counted))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links for every document."""
+    return _components(docs, links=True)
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
@@ -437,7 +536,7 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     A document whose id is NULL stays if its group has no other id; of rows
     that repeat an id and a text one stays."""
     columns = docs.columns
-    keep = jaccard_components(docs).filter(
+    keep = _components(docs, links=False).filter(
         F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_keep")).distinct()
     kept = docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["_keep"]))

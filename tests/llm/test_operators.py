@@ -205,6 +205,24 @@ def test_join_equals_brute_force(spark):
     assert got == brute_components(rows)
 
 
+def test_links_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = edited(rng, 25)
+    base = [f"n{i}" for i in range(80)]
+    for i in range(60):  # one group: near copies, not all similar to one another
+        words = [w if rng.random() > 0.03 else f"z{rng.randrange(10 ** 6)}" for w in base]
+        rows.append((20_000 + i, " ".join(words)))
+    rows += [(30_000 + i, rows[-1][1]) for i in range(3)] + [(40_000, ""), (40_001, None)]
+    hashes = jaccard.WordHashes()
+    sets = [(d, frozenset(jaccard.shingle_set(t or "", hashes).tolist())) for d, t in rows]
+    want = {d: sum(100 * len(s & r) >= 80 * len(s | r) for e, r in sets if e != d and s) for d, s in sets}
+    for block in (256, 8):
+        monkeypatch.setattr(jaccard, "LINK_BLOCK", block)
+        monkeypatch.setattr(jaccard, "LINK_SHINGLES", 4096 if block > 8 else 50)
+        got = {r.doc_id: r.n_links for r in jaccard.jaccard_components(table(spark, rows)).collect()}
+        assert got == want
+
+
 def test_join_of_odd_rows(spark):
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in
                               jaccard.jaccard_components(table(spark, ODD)).collect())
