@@ -11,6 +11,10 @@ characters that carry the bytes, through compressed data to the whole run.
 
 Kinds (fixed patterns): ``assign``, ``access``, ``hex``.
 
+Decoded bytes are never dropped: what is not UTF-8 is read as Latin-1, and
+bytes with NULs as UTF-16, too. A reading in which nothing can be found is not
+counted as a layer unless it is printable text.
+
 Defined results: NULL texts are empty and hold nothing; a finding in a layer
 that maps to a span already reported for its kind is reported once; repeated
 rows are judged row by row; texts are read whole, whatever their length; an
@@ -31,6 +35,7 @@ from bisect import bisect_right
 from collections import deque
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -132,12 +137,49 @@ def _unescape(text: str) -> _Pieces | None:
     return out if at else None
 
 
-def _readable(data: bytes) -> str | None:
+#: What a layer must hold for a finding or a further layer.
+_HOLDS = re.compile(r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{32}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|"
+                    + _BASE64.pattern)
+
+
+def _readable(text: str) -> bool:
+    return text.isprintable() or all(c.isprintable() or c in "\t\n\r" for c in text)
+
+
+def _texts(data: bytes) -> Iterator[tuple[str, str, int]]:
+    """(text, encoding, bytes before it): every reading of the bytes that
+    is text or holds anything. No byte is dropped: what is not UTF-8 is read
+    as Latin-1, and bytes with NULs as UTF-16 of both orders, too."""
     try:
-        text = data.decode("utf-8")
+        text, encoding = data.decode("utf-8"), "utf-8"
+        fine = _readable(text)
     except UnicodeDecodeError:
-        return None
-    return text if text.isprintable() or all(c.isprintable() or c in "\t\n\r" for c in text) else None
+        text, encoding = data.decode("latin-1"), "latin-1"
+        fine = False
+    if fine or _HOLDS.search(text):
+        yield text, encoding, 0
+    if b"\0" in data:
+        for skip in (0, 1):
+            for encoding in ("utf-16-le", "utf-16-be"):
+                text = data[skip:len(data) - (len(data) - skip) % 2].decode(encoding, "surrogatepass")
+                if _HOLDS.search(text):
+                    yield text, encoding, skip
+
+
+def _byte_back(text: str, encoding: str, skip: int, back: Back) -> Back:
+    """From places in a text to places of its bytes' parent."""
+    if encoding == "latin-1" or encoding == "utf-8" and text.isascii():
+        return back
+    ends: list[np.ndarray] = []
+
+    def at(s: int, e: int) -> tuple[int, int]:
+        if not ends:
+            codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            width = (1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF) if encoding == "utf-8"
+                     else 2 + 2 * (codes > 0xFFFF))
+            ends.append(np.concatenate([[0], np.cumsum(width)]) + skip)
+        return back(int(ends[0][s]), int(ends[0][e]))
+    return at
 
 
 def _unpack(data: bytes, limit: int) -> tuple[bytes, bool] | None:
@@ -228,20 +270,19 @@ class Scan:
         if text:
             self._link(self._text_layer(text), up, back)
 
-    def _push_bytes(self, data: bytes, up: _Layer, text_back: Callable[[str], Back], whole: Back) -> None:
-        """A run's bytes: text becomes a layer; compressed data is a layer of
-        one place, whose content is unpacked until it is text or something else."""
+    def _push_bytes(self, data: bytes, up: _Layer, back: Back, whole: Back) -> None:
+        """A run's bytes: each reading as text becomes a layer; compressed data is a
+        layer of one place, whose content is unpacked until it is text."""
         key = xxhash.xxh3_128_intdigest(data) ^ 1
         if key not in self.known:
             got = _unpack(data, self.layer_bytes)
             if got is None:
-                text = _readable(data)
-                if text:
-                    self._push(text, up, text_back(text))
+                for text, encoding, skip in _texts(data):
+                    self._push(text, up, _byte_back(text, encoding, skip, back))
                 return
             layer = self.known[key] = _Layer()
             self.cut += got[1]
-            self.work.append(lambda: self._push_bytes(got[0], layer, lambda t: _all, _all))
+            self.work.append(lambda: self._push_bytes(got[0], layer, _all, _all))
         self._link(self.known[key], up, whole)
 
     def _unwrap(self, layer: str, up: _Layer) -> None:
@@ -258,31 +299,26 @@ class Scan:
                 continue
             start, end = m.span()
 
-            def text_back(text: str, start: int = start, end: int = end) -> Back:
-                def bytes_back(s: int, e: int) -> tuple[int, int]:
-                    a = len(text[:s].encode())
-                    b = a + len(text[s:e].encode())
-                    return start + a * 4 // 3, min(end, start + -(-b * 4 // 3))
-                return bytes_back
+            def bytes_back(s: int, e: int, start: int = start, end: int = end) -> tuple[int, int]:
+                return start + s * 4 // 3, min(end, start + -(-e * 4 // 3))
 
-            self._push_bytes(data, up, text_back, lambda s, e, a=start, b=end: (a, b))
+            self._push_bytes(data, up, bytes_back, lambda s, e, a=start, b=end: (a, b))
 
     def _unquote(self, layer: str, up: _Layer) -> None:
         out, at = _Pieces(), 0
         for m in _URL.finditer(layer):
             data = bytes.fromhex(m[0].replace("%", ""))
-            try:
-                text = data.decode("utf-8")
-            except UnicodeDecodeError:
+            text = data.decode("utf-8", "surrogateescape")
+            if b"\0" in data or not data.isascii() and any("\udc80" <= c <= "\udcff" for c in text):
                 a, b = m.span()
-                self._push_bytes(data, up, lambda t, a=a, b=b: lambda s, e: (a, b),
+                self._push_bytes(data, up, lambda s, e, a=a: (a + 3 * s, a + 3 * e),
                                  lambda s, e, a=a, b=b: (a, b))
-                continue
             out.add(layer[at:m.start()], at, 0)
             source = m.start()
             for char in text:
-                width = 3 * len(char.encode())
-                out.add(char, source, width)
+                raw = char.encode("utf-8", "surrogateescape")
+                width = 3 * len(raw)
+                out.add(char if not "\udc80" <= char <= "\udcff" else chr(raw[0]), source, width)
                 source += width
             at = m.end()
         if at:

@@ -83,6 +83,26 @@ def test_repeated_blobs_are_found_at_every_place():
     assert len(scan.spans) == 50 and scan.layers == 2  # unpacked once
 
 
+def test_layers_of_any_characters_are_scanned():
+    secret = "token=abcdefgh12345678"
+    for extra in ("\u00a0", "\u3000", "\u200b", "\u200d", "\ufeff", "\u00ad", "\u2028", "\f", "\0", "é", "𝔘"):
+        for encoding in ("utf-8", "utf-16", "utf-16-le", "utf-16-be", *["latin-1"] * (extra <= "\xff")):
+            data = f"{extra}a {extra} {secret} {extra}b".encode(encoding)
+            packed = base64.b64encode(gzip.compress(data)).decode()
+            assert ("assign", 2, 2 + len(packed)) in secrets.Scan(f"x {packed} y").spans, (extra, encoding)
+            plain = base64.b64encode(data).decode()
+            want = secret.encode(encoding if encoding != "utf-16" else "utf-16-le")
+            held = [base64.b64decode(plain[(s - 2) // 4 * 4: -(-(e - 2) // 4) * 4])
+                    for k, s, e in secrets.Scan(f"x {plain} y").spans if k == "assign"]
+            # text in one byte order may also be read in the other, one byte off
+            assert any(want in h and len(h) <= len(want) + 4 for h in held) and len(held) <= 2
+    noise = base64.b64encode(b"\xff\x80 " + secret.encode() + b" \xc3").decode()
+    assert len(secrets.Scan(noise).spans) == 1
+    url = "caf%E9%74oken%3Dabcdefgh1234 %E9"
+    (_, s, e), = secrets.Scan(url).spans
+    assert url[s:e] == "%74oken%3Dabcdefgh1234"
+
+
 def test_secret_table_and_redaction(spark):
     rows = [*ODD, (9, "my password = hunter2hunter2 ok"), (9, "my password = hunter2hunter2 ok")]
     got = secrets.secret_scan(table(spark, rows)).collect()
