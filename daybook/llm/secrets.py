@@ -11,6 +11,8 @@ characters that carry the bytes, through compressed data to the whole run.
 
 Kinds (fixed patterns): ``assign``, ``access``, ``hex``.
 
+Base64 runs are joined over line breaks and decoded at all four alignments, so
+a payload may stand behind any prefix of the same letters ("api/v1/").
 Decoded bytes are never dropped: what is not UTF-8 is read as Latin-1, and
 bytes with NULs as UTF-16, too. A reading in which nothing can be found is not
 counted as a layer unless it is printable text.
@@ -25,7 +27,6 @@ more are read up to there and counted in ``n_cut``.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import lzma
@@ -60,7 +61,11 @@ _ESCAPE = re.compile(
     r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}"
     r"|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}"
     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64, also wrapped: line breaks, with blanks around them, may stand anywhere.
+_BREAK = re.compile(r"[ \t]*+(?:\r\n?|\n)[ \t]*+")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-](?:[ \t]*+(?:\r\n?|\n)[ \t]*+(?=[A-Za-z0-9+/_-]))?+){16,}+={0,2}")
+#: How compressed data begins in base64; zlib's two bytes only where a run or a part of it begins.
+_PACKED = re.compile(r"H4sI|Qlpo|/Td6WFoA|KLUv/|(?:^|(?<=[+/]))e[ACDFHJLNP]")
 
 Span = tuple[str, int, int]
 
@@ -270,20 +275,28 @@ class Scan:
         if text:
             self._link(self._text_layer(text), up, back)
 
-    def _push_bytes(self, data: bytes, up: _Layer, back: Back, whole: Back) -> None:
-        """A run's bytes: each reading as text becomes a layer; compressed data is a
-        layer of one place, whose content is unpacked until it is text."""
+    def _push_packed(self, data: bytes, up: _Layer, back: Back) -> bool:
+        """Compressed data is a layer of one place, whose content is unpacked
+        until it is text."""
         key = xxhash.xxh3_128_intdigest(data) ^ 1
         if key not in self.known:
             got = _unpack(data, self.layer_bytes)
             if got is None:
-                for text, encoding, skip in _texts(data):
-                    self._push(text, up, _byte_back(text, encoding, skip, back))
-                return
+                return False
             layer = self.known[key] = _Layer()
             self.cut += got[1]
             self.work.append(lambda: self._push_bytes(got[0], layer, _all, _all))
-        self._link(self.known[key], up, whole)
+        self._link(self.known[key], up, back)
+        return True
+
+    def _push_texts(self, data: bytes, up: _Layer, back: Back) -> None:
+        """Each reading of the bytes as text becomes a layer."""
+        for text, encoding, skip in _texts(data):
+            self._push(text, up, _byte_back(text, encoding, skip, back))
+
+    def _push_bytes(self, data: bytes, up: _Layer, back: Back, whole: Back) -> None:
+        if not self._push_packed(data, up, whole):
+            self._push_texts(data, up, back)
 
     def _unwrap(self, layer: str, up: _Layer) -> None:
         if "%" in layer:
@@ -291,18 +304,39 @@ class Scan:
         if ("\\" in layer or "&#" in layer) and (made := _unescape(layer)):
             self._push("".join(made.parts), up, made.back)
         for m in _BASE64.finditer(layer):
-            run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-            run = run[: len(run) - (len(run) % 4 == 1)]
-            try:
-                data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-            except (binascii.Error, ValueError):
+            self._base64(m[0], m.start(), up)
+
+    def _base64(self, found: str, start: int, up: _Layer) -> None:
+        """One run, joined over its line breaks, at all four alignments: text is
+        read wherever it begins, compressed data where its first bytes stand."""
+        joined_, at = _Pieces(), 0
+        body = found.rstrip("=")
+        begins = {0}  # of the run and its lines
+        for m in _BREAK.finditer(body):
+            joined_.add(body[at:m.start()], start + at, 0)
+            at = m.end()
+            begins.add(joined_.length)
+        joined_.add(body[at:], start + at, 0)
+        run = "".join(joined_.parts)
+        chars = len(run)
+        plain = run.replace("-", "+").replace("_", "/")
+        starts = {m.start() for m in _PACKED.finditer(plain)}
+        starts |= {i for i in begins if plain[i:i + 1] == "e"}
+        # a payload after "_" or "-" as after "/" (both are "+" or "/" in plain)
+        for shift in range(4):
+            size = chars - shift
+            size -= size % 4 == 1
+            if size < 2:
                 continue
-            start, end = m.span()
+            data = binascii.a2b_base64(plain[shift:shift + size] + "=" * (-size % 4))
 
-            def bytes_back(s: int, e: int, start: int = start, end: int = end) -> tuple[int, int]:
-                return start + s * 4 // 3, min(end, start + -(-e * 4 // 3))
+            def back(s: int, e: int, shift: int = shift) -> tuple[int, int]:
+                return joined_.back(shift + s * 4 // 3, min(chars, shift + -(-e * 4 // 3)))
 
-            self._push_bytes(data, up, bytes_back, lambda s, e, a=start, b=end: (a, b))
+            for i in sorted(i for i in starts if i % 4 == shift):
+                whole = joined_.back(i, chars)[0], start + len(found)
+                self._push_packed(data[(i - shift) // 4 * 3:], up, lambda s, e, w=whole: w)
+            self._push_texts(data, up, back)
 
     def _unquote(self, layer: str, up: _Layer) -> None:
         out, at = _Pieces(), 0

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import collections
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 from daybook.llm import (decontaminate, jaccard, nearest, packing, private, quality, queries, secrets,
                          shards, toxicity, url_rules)
@@ -103,6 +106,28 @@ def test_layers_of_any_characters_are_scanned():
     assert url[s:e] == "%74oken%3Dabcdefgh1234"
 
 
+def test_base64_of_any_alignment_and_wrapping():
+    secret = b"token=abcdefgh12345678"
+    rng = random.Random(8)
+    filler = bytes(rng.randrange(33, 127) for _ in range(300))
+    packers = (lambda x: x, gzip.compress, zlib.compress, bz2.compress, lzma.compress,
+               zstandard.ZstdCompressor().compress)
+    for pack in packers:
+        payload = base64.b64encode(pack(filler + b" " + secret + b" ")).decode()
+        for prefix in ("", "api/v1/", "a/", "ab/", "abc/", "x_", "id-", "abcd_ef-"):
+            for width, end in ((10 ** 6, "\n"), (76, "\n"), (64, "\r\n"), (61, "\n  ")):
+                body = end.join(payload[i:i + width] for i in range(0, len(payload), width))
+                text = f"see: {prefix}{body}\n, bye"
+                spans = [(s, e) for k, s, e in secrets.Scan(text).spans if k == "assign"]
+                if pack is packers[0]:
+                    assert len(spans) == 1 and len(text[slice(*spans[0])].replace(end, "")) in range(30, 34)
+                else:
+                    at = text.index(body)
+                    assert (at, at + len(body)) in spans, (pack, prefix, width)
+    two = "api/v1/" + base64.b64encode(secret).decode()
+    assert any(k == "assign" for k, *_ in secrets.Scan(two).spans)
+
+
 def test_secret_table_and_redaction(spark):
     rows = [*ODD, (9, "my password = hunter2hunter2 ok"), (9, "my password = hunter2hunter2 ok")]
     got = secrets.secret_scan(table(spark, rows)).collect()
