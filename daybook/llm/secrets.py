@@ -20,9 +20,11 @@ counted as a layer unless it is printable text.
 Defined results: NULL texts are empty and hold nothing; a finding in a layer
 that maps to a span already reported for its kind is reported once; repeated
 rows are judged row by row; texts are read whole, whatever their length; an
-empty table gives no rows. Other columns may have any names. One compressed
-run unpacks to at most ``LAYER_BYTES`` (decompression bombs); runs that hold
-more are read up to there and counted in ``n_cut``.
+empty table gives no rows. Other columns may have any names. Compressed data
+is read to its end, all members of it, in windows of ``LAYER_BYTES``; they end
+where nothing that can be found goes on. Only an unbroken run of letters longer
+than half a window and twice the packed data (as in a decompression bomb) is
+read in overlapping parts; data with such runs is counted in ``n_cut``.
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ import re
 import zlib
 from bisect import bisect_right
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +55,10 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # the runs of [0-9a-f]+ that are long enough
 
-#: Bytes that one compressed run may unpack to.
+#: Unpacked data beyond this is read in windows.
 LAYER_BYTES = 32 << 20
+#: Bytes unpacked at a time, and the largest window of the zstd format.
+PIECE_BYTES, ZSTD_WINDOW = 1 << 20, 1 << 31
 
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
@@ -187,28 +192,78 @@ def _byte_back(text: str, encoding: str, skip: int, back: Back) -> Back:
     return at
 
 
-def _unpack(data: bytes, limit: int) -> tuple[bytes, bool] | None:
-    """(content, whether it was cut) if the bytes are compressed data."""
+class _Source:
+    """Pieces of bytes as a file."""
+
+    def __init__(self, pieces: Iterable[bytes]):
+        self.pieces, self.held = iter(pieces), memoryview(b"")
+
+    def read(self, n: int = 1 << 16) -> bytes:
+        while not self.held:
+            piece = next(self.pieces, None)
+            if piece is None:
+                return b""
+            self.held = memoryview(piece)
+        out, self.held = bytes(self.held[:n]), self.held[n:]
+        return out
+
+    def unread(self, data: bytes) -> None:
+        if data:
+            self.pieces = chain([self.held], self.pieces) if self.held else self.pieces
+            self.held = memoryview(data)
+
+    def peek(self, n: int) -> bytes:
+        out = b""
+        while len(out) < n and (more := self.read(n - len(out))):
+            out += more
+        self.unread(out)
+        return out
+
+
+def _codec(head: bytes) -> str:
+    if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and len(head) > 1 and int.from_bytes(head[:2]) % 31 == 0:
+        return "zlib"
+    return ("bz2" if head[:3] == b"BZh" else "xz" if head[:6] == b"\xfd7zXZ\x00"
+            else "zstd" if head[:4] == b"\x28\xb5\x2f\xfd" else "")
+
+
+def _inflate(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """The content of all members, streams or frames, up to the end of the
+    data or what is no compressed data."""
+    source = _Source(pieces)
     try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and int.from_bytes(data[:2]) % 31 == 0:
-            d = zlib.decompressobj(47)
-            out = d.decompress(data, limit)
-            return out, not d.eof and len(out) == limit
-        if data[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-            out = d.decompress(data, limit)
-            return out, not d.eof and len(out) == limit
-        if data[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor(memlimit=limit * 4)
-            out = d.decompress(data, limit)
-            return out, not d.eof and len(out) == limit
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor(max_window_size=limit).stream_reader(data) as reader:
-                out = reader.read(limit)
-            return out, len(out) == limit
+        while codec := _codec(source.peek(6)):
+            if codec == "zstd":
+                with zstandard.ZstdDecompressor(max_window_size=ZSTD_WINDOW).stream_reader(
+                        source, read_across_frames=True, closefd=False) as reader:
+                    while out := reader.read(PIECE_BYTES):
+                        yield out
+                return
+            if codec == "zlib":
+                d = zlib.decompressobj(47)
+                while not d.eof:
+                    data = d.unconsumed_tail or source.read()
+                    if not data:
+                        yield d.flush()
+                        return
+                    yield d.decompress(data, PIECE_BYTES)
+            else:
+                d = bz2.BZ2Decompressor() if codec == "bz2" else lzma.LZMADecompressor()
+                while not d.eof:
+                    data = source.read() if d.needs_input else b""
+                    if d.needs_input and not data:
+                        return
+                    yield d.decompress(data, PIECE_BYTES)
+            source.unread(d.unused_data)
+            while source.peek(1) == b"\0":  # padding
+                block = source.read()
+                source.unread(block.lstrip(b"\0"))
     except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-        return None
-    return None
+        return
+
+
+#: Bytes that a finding or an encoded run may hold; any other one parts them.
+_WITHIN = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\&#;{}:'\". \t\r\n\0")
 
 
 Back = Callable[[int, int], tuple[int, int]]
@@ -275,19 +330,74 @@ class Scan:
         if text:
             self._link(self._text_layer(text), up, back)
 
-    def _push_packed(self, data: bytes, up: _Layer, back: Back) -> bool:
+    def _push_packed(self, data: bytes, up: _Layer, back: Back) -> None:
         """Compressed data is a layer of one place, whose content is unpacked
         until it is text."""
+        if not _codec(data[:6]):
+            return
         key = xxhash.xxh3_128_intdigest(data) ^ 1
         if key not in self.known:
-            got = _unpack(data, self.layer_bytes)
-            if got is None:
-                return False
             layer = self.known[key] = _Layer()
-            self.cut += got[1]
-            self.work.append(lambda: self._push_bytes(got[0], layer, _all, _all))
+            self.work.append(lambda: self._unpack(data, layer))
         self._link(self.known[key], up, back)
-        return True
+
+    def _unpack(self, data: bytes, layer: _Layer) -> None:
+        pieces, seen, opened = _inflate([data]), set(), []
+        while True:
+            head = bytearray()
+            for piece in pieces:
+                head += piece
+                if len(head) > self.layer_bytes:
+                    break
+            else:
+                if head:
+                    self._push_bytes(bytes(head), layer, _all, _all)
+                break
+            key = xxhash.xxh3_128_intdigest(head)
+            if key in seen:  # it unpacks to itself
+                break
+            seen.add(key)
+            pieces = self._windows(chain([bytes(head)], pieces), layer, len(data))
+            opened.append(pieces)
+            if not _codec(head[:6]):
+                break
+            pieces = _inflate(pieces)  # scanned in passing, and unpacked
+        for windows in reversed(opened):
+            for _ in windows:
+                pass
+
+    def _windows(self, pieces: Iterable[bytes], layer: _Layer, packed: int) -> Iterator[bytes]:
+        """The pieces, scanned as texts in windows that end where no finding and
+        no encoded run goes on. A run longer than half a window and twice the
+        packed data is parted, with an overlap, and counted in ``cut``."""
+        buffer, size, parted = bytearray(), self.layer_bytes, False
+        for piece in pieces:
+            buffer += piece
+            if len(buffer) >= size:
+                keep = len(buffer) - len(buffer.rstrip(_WITHIN))
+                if keep <= len(buffer) // 2:
+                    self._window(bytes(buffer[:len(buffer) - keep]), layer)
+                elif keep < self.layer_bytes // 2 + 2 * packed:
+                    size = len(buffer) + len(buffer) // 4
+                    yield piece
+                    continue
+                else:
+                    self._window(bytes(buffer), layer)
+                    keep, parted = min(keep, self.layer_bytes // 32), True
+                del buffer[:len(buffer) - keep]
+                size = max(self.layer_bytes, 2 * keep)
+            yield piece
+        self._window(bytes(buffer), layer)
+        self.cut += parted
+
+    def _window(self, data: bytes, layer: _Layer) -> None:
+        """One window, with all that is in it, before the next is unpacked."""
+        if len({k for k, *_ in layer.found}) < len(KINDS):
+            work, self.work = self.work, deque()
+            self._push_texts(data, layer, _all)
+            while self.work:
+                self.work.popleft()()
+            self.work = work
 
     def _push_texts(self, data: bytes, up: _Layer, back: Back) -> None:
         """Each reading of the bytes as text becomes a layer."""
@@ -295,8 +405,8 @@ class Scan:
             self._push(text, up, _byte_back(text, encoding, skip, back))
 
     def _push_bytes(self, data: bytes, up: _Layer, back: Back, whole: Back) -> None:
-        if not self._push_packed(data, up, whole):
-            self._push_texts(data, up, back)
+        self._push_packed(data, up, whole)
+        self._push_texts(data, up, back)
 
     def _unwrap(self, layer: str, up: _Layer) -> None:
         if "%" in layer:

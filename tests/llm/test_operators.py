@@ -128,6 +128,31 @@ def test_base64_of_any_alignment_and_wrapping():
     assert any(k == "assign" for k, *_ in secrets.Scan(two).spans)
 
 
+def test_compressed_data_is_read_to_its_end():
+    secret = b"token=abcdefgh12345678"
+    rng = random.Random(9)
+    long = " ".join(f"{rng.randrange(10 ** 9)}, é" for _ in range(3000)).encode()
+    inner = base64.b64encode(gzip.compress(secret + bytes(rng.randrange(256) for _ in range(3000))))
+    filler = bytes(rng.randrange(33, 127) for _ in range(300)) + b" "
+    packers = (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress)
+    for pack in packers:
+        several = pack(b"first") + pack(b"second") + pack(filler + secret)
+        far = pack(long + b" " + secret + b", end " + long)
+        nested = pack(long + b" " + inner + b", end " + long)
+        deep = pack(pack(bytes(rng.randrange(256) for _ in range(5000)) + b" " + secret))
+        trailing = pack(gzip.compress(bytes(rng.randrange(256) for _ in range(5000))) + b", " + secret)
+        for data in (several, far, nested, deep, trailing):
+            text = base64.b64encode(data).decode()
+            for size in (1000, 5000, secrets.LAYER_BYTES):
+                scan = secrets.Scan(text, layer_bytes=size)
+                assert ("assign", 0, len(text)) in scan.spans and scan.cut == 0, (pack, size)
+    wide = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters(
+        window_log=27, enable_ldm=True)).compressobj()
+    data = wide.compress(b"x, " * 100) + wide.compress(secret) + wide.flush()
+    text = base64.b64encode(data).decode()
+    assert ("assign", 0, len(text)) in secrets.Scan(text).spans
+
+
 def test_secret_table_and_redaction(spark):
     rows = [*ODD, (9, "my password = hunter2hunter2 ok"), (9, "my password = hunter2hunter2 ok")]
     got = secrets.secret_scan(table(spark, rows)).collect()
