@@ -511,6 +511,16 @@ def test_recall_and_distances(spark):
             assert abs(score - np.linalg.norm(np.array(vectors[q], float) - np.array(vectors[i], float))) < 1e-9
 
 
+@pytest.mark.parametrize("n", [2000, 2600, 8192])
+def test_recall_at_production_defaults(n):
+    rng = np.random.default_rng(1)
+    v = rng.standard_normal((n, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    found = nearest.search_shard(np.arange(n), v, v[:40], 11)
+    want = [np.argsort(((v - q) ** 2).sum(axis=1))[1:11] for q in v[:40]]
+    assert sum(len(np.intersect1d(w, c)) for w, (c, _) in zip(want, found)) / 400 >= 0.92
+
+
 def test_nearest_of_odd_vectors(spark):
     rows = [(i, [1.0, 2.0]) for i in range(0, 40)] + [
         (100, [1.0, 2.5]), (200, None), (300, [0.0, 0.0]), (400, [1.0, None]), (500, [float("nan"), 1.0]),
