@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import (decontaminate, jaccard, nearest, packing, private, quality, secrets, shards,
-                         toxicity, url_rules)
+from daybook.llm import (decontaminate, exact_dedup, jaccard, nearest, packing, periodic_runs, private,
+                         quality, secrets, shards, target_resampling, toxicity, url_rules)
 from daybook.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,9 +63,24 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return periodic_runs.digest(periodic_runs.runs(docs, read=periodic_runs.words_with_planted_repeat))
+
+
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_resampling.digest(target_resampling.resample(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(read_table(spark, sf_dir, "documents"), keep=exact_dedup.LARGEST)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_private_data, op3_jaccard_join, op4_decontaminate, op5_toxicity,
-    op6_url_rules, op7_packing, op8_nearest, op9_quality, op10_shards)}
+    op6_url_rules, op7_packing, op8_nearest, op9_quality, op10_shards, op11_periodic_runs, op12_target_resampling,
+    op13_exact_dedup)}
 
 ORACLE: dict[str, str] = {
     "op6_url_rules": r"""
@@ -88,5 +103,12 @@ m as (
                        order by length(r.h) desc nulls last, length(r.q) desc) as n
   from p left join r on (p.host = r.h or ends_with(p.host, '.' || r.h)) and starts_with(p.path, r.q))
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from m where n = 1
+""",
+    "op13_exact_dedup": """
+with t as (select doc_id, coalesce(text, '') as text from documents),
+g as (select text, max(doc_id) as keep_id, count(*) as group_size from t group by text)
+select t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id as kept, sha256(t.text) as text_sha256,
+  md5(t.text) as content_hash
+from t join g on t.text = g.text
 """,
 }
