@@ -53,9 +53,13 @@ def champion_predictions(preds: DataFrame, versions: DataFrame,
                          alias: str = CHAMPION_ALIAS) -> DataFrame:
     """Rows of the version that holds ``alias``; zero rows when nobody does.
     A semi join against the alias holder (one row): AQE broadcasts it from
-    its measured size, so the predictions are not shuffled."""
-    holder = versions.filter(F.col("alias") == alias).select(F.col("version").alias("model_version"))
-    return preds.join(holder, "model_version", "left_semi")
+    its measured size, so the predictions are not shuffled. Predictions stored in
+    partitions by version are pruned to the holder's at run time. With a
+    ``model_name`` on both sides versions are told apart by model."""
+    keys = [c for c in ("model_name", "model_version") if c in preds.columns]
+    holder = versions.filter(F.col("alias") == alias).select(
+        *[F.col("version" if k == "model_version" else k).alias(k) for k in keys])
+    return preds.join(holder, keys, "left_semi")
 
 
 def version_board(metrics: DataFrame, versions: DataFrame, challenger: str,

@@ -1,9 +1,9 @@
 """Training data and model: time split, X/y projection, a distributed
-gradient-boosted regressor (Spark ML) and its feature importance.
+gradient-boosted regressor (:mod:`boosting`) and its feature importance.
 
-The fit runs on the executors (``GBTRegressor``); nothing is collected to
-the driver except a handful of scalars (fill values, the prior). Categories
-enter the model as ordered target statistics, at every number of categories.
+The fit runs on the executors; the driver holds a handful of scalars (fill
+values, the prior, bin borders) and the trees. Categories enter the model as
+ordered target statistics, at every number of categories.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ import os
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -28,6 +26,13 @@ from daybook.config import (
     TARGET_COL,
 )
 from daybook.errors import DataContractError
+from daybook.operators.boosting import (
+    TREES,
+    BoostSettings,
+    fit_trees,
+    importance_of_trees,
+    prediction_column,
+)
 from daybook.session import ensure_checkpoint_dir, staging_path
 
 
@@ -170,13 +175,14 @@ class ModelSettings:
 
 class DemandModel:
     """A fitted model: category totals (a table, never on the driver), fill
-    values, and the boosted trees. Lazy ``transform``, ``save`` and ``load``."""
+    values, and the boosted trees (a table of one row each). Lazy ``transform``,
+    ``save`` and ``load``."""
 
-    def __init__(self, settings: ModelSettings, totals: DataFrame, gbt: GBTRegressionModel,
+    def __init__(self, settings: ModelSettings, totals: DataFrame, trees: DataFrame,
                  prediction_col: str = "prediction"):
         self.settings = settings
         self.totals = totals
-        self.gbt = gbt
+        self.trees = trees
         self.prediction_col = prediction_col
 
     @property
@@ -198,13 +204,15 @@ class DemandModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with the prediction; its rows and other columns are kept."""
-        ready = _assembled(self._encode(df), self.settings)
-        return self.gbt.transform(ready).select(*df.columns, F.col("prediction").alias(self.prediction_col))
+        ready = _filled(self._encode(df), self.settings)
+        value = prediction_column(self.trees, [F.col(c) for c in _input_names(self.settings)],
+                                  self.settings.prior)
+        return ready.select(*df.columns, value.alias(self.prediction_col))
 
     def save(self, path: str) -> None:
         """Trees, totals and settings under ``path`` (any file system of Spark)."""
         spark = self.totals.sparkSession
-        self.gbt.write().overwrite().save(os.path.join(path, "trees"))
+        self.trees.write.mode("overwrite").parquet(os.path.join(path, "trees"))
         self.totals.write.mode("overwrite").parquet(os.path.join(path, "totals"))
         spark.createDataFrame([(json.dumps(asdict(self.settings)),)], "settings string").coalesce(
             1).write.mode("overwrite").parquet(os.path.join(path, "settings"))
@@ -214,37 +222,39 @@ class DemandModel:
         settings = spark.read.parquet(os.path.join(path, "settings")).first()["settings"]
         return cls(ModelSettings(**json.loads(settings)),
                    spark.read.parquet(os.path.join(path, "totals")),
-                   GBTRegressionModel.load(os.path.join(path, "trees")))
+                   spark.read.schema(TREES).parquet(os.path.join(path, "trees")))
+
+
+def _input_names(s: ModelSettings) -> list[str]:
+    """The model's input columns, in model order."""
+    return [_filled_name(c) for c in s.numeric] + [_encoded_name(c) for c in s.categorical]
 
 
-def _assembled(df: DataFrame, s: ModelSettings) -> DataFrame:
-    """Missing numbers (NULL or NaN) filled, then one vector of all inputs in
-    model order."""
-    filled = df.withColumns({
+def _filled(df: DataFrame, s: ModelSettings) -> DataFrame:
+    """Missing numbers (NULL or NaN) filled, all inputs as doubles."""
+    return df.withColumns({
         _filled_name(c): F.coalesce(_number(df, c), F.lit(s.fills[c])) for c in s.numeric
     } | {_encoded_name(c): F.coalesce(_encoded_name(c), F.lit(s.fills[c])) for c in s.categorical})
-    inputs = [_filled_name(c) for c in s.numeric] + [_encoded_name(c) for c in s.categorical]
-    return VectorAssembler(inputCols=inputs, outputCol="_features").transform(filled)
 
 
 def fit_gbt(train: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES,
             categorical: Sequence[str] = CATEGORICAL_FEATURES, target: str = TARGET_COL,
             date_col: str = DATE_COL, max_iter: int = MODEL_PARAMS["iterations"],
             max_depth: int = MODEL_PARAMS["depth"], step_size: float = MODEL_PARAMS["learning_rate"],
-            seed: int = MODEL_PARAMS["random_seed"],
-            prior_weight: float = PRIOR_WEIGHT) -> DemandModel:
-    """Fit encode → fill → assemble → GBT on the training rows.
+            prior_weight: float = PRIOR_WEIGHT, folder: str | None = None) -> DemandModel:
+    """Fit encode → fill → bin → boosted symmetric trees on the training rows.
 
     Categories are encoded by :func:`category_target_stats` (earlier days
     only), the same way for ten values and for ten million. Missing values
     are placed below every observed value (min − 1 of the training split).
-    Fill values and the prior come from one aggregation.
+    Fill values and the prior come from one aggregation. No part is random.
 
     The encoded rows are written to the shared checkpoint folder first: the
-    statistics and every boosting round then read stored rows, and a lost
-    executor recomputes from those files, not from the whole upstream plan.
-    The split is one row per series and day, so its size follows the
-    calendar, not the raw input. Rows without a target train nothing.
+    statistics and the fit then read stored rows, and a lost executor recomputes
+    from those files, not from the whole upstream plan. The split is one row per
+    series and day, so its size follows the calendar, not the raw input. Rows
+    without a target train nothing. ``folder``: where the trees of every
+    segment are stored, to go on with after a failure.
     """
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
@@ -272,27 +282,24 @@ def fit_gbt(train: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES,
         [], "feature string, category string, rows long, target_sum double")
     path = staging_path(spark, "category-totals")
     totals.write.parquet(path)
-    gbt = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction",
-                       maxIter=max_iter, maxDepth=max_depth, stepSize=step_size, seed=seed,
-                       checkpointInterval=10)
-    model = gbt.fit(_assembled(rows, settings).select("_features", target))
-    return DemandModel(settings, spark.read.parquet(path), model)
+    trees = fit_trees(_filled(rows, settings), _input_names(settings), target, settings.prior,
+                      BoostSettings(max_iter, max_depth, step_size),
+                      folder or staging_path(spark, "boosting"))
+    return DemandModel(settings, spark.read.parquet(path), trees)
 
 
 def feature_importance(model: DemandModel) -> DataFrame:
-    """(feature, importance), most important first. The vector has one entry
-    per model input (seven here): model metadata, not data."""
-    values = model.gbt.featureImportances.toArray().tolist()
-    df = model.totals.sparkSession.createDataFrame(
-        list(zip(model.feature_names, [float(v) for v in values])),
-        "feature string, importance double")
-    return df.orderBy(F.desc("importance"), F.asc("feature"))
+    """(feature, importance), most important first, shares of 100: how much
+    the splits of each model input change the predictions."""
+    return importance_of_trees(model.trees, model.feature_names).orderBy(
+        F.desc("importance"), F.asc("feature"))
 
 
 def importance_check(importance: DataFrame) -> DataFrame:
-    """One row: names, distinct names, Σ importance rounded to 6 digits and
-    whether all values lie between 0 and 1."""
+    """One row: names, distinct names, Σ importance as a share of 1, rounded to
+    6 digits, and whether all shares lie between 0 and 1."""
+    share = F.col("importance") / 100
     return importance.agg(
         F.count(F.lit(1)).alias("features"), F.count_distinct("feature").alias("distinct_features"),
-        F.round(F.sum("importance"), 6).alias("total_importance"),
-        F.min(F.col("importance").between(0, 1 + 1e-9)).alias("in_range"))
+        F.round(F.sum(share), 6).alias("total_importance"),
+        F.min(share.between(0, 1 + 1e-9)).alias("in_range"))

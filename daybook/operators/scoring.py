@@ -37,6 +37,39 @@ def actual_vs_predicted(model, test: DataFrame, features: Sequence[str] = FEATUR
                          F.col("prediction").cast("double").alias("predicted_demand"))
 
 
+def joined_predictions(preds: DataFrame, test: DataFrame, features: Sequence[str] = FEATURE_COLUMNS,
+                       keys: Sequence[str] = KEY_COLUMNS) -> DataFrame:
+    """:func:`actual_vs_predicted` from stored predictions: nothing is scored
+    again. The keys are unique on both sides; a NULL key meets NULL."""
+    p = preds.select(*[F.col(k).alias(f"_{k}") for k in keys], "actual_demand", "predicted_demand")
+    same = [test[k].eqNullSafe(p[f"_{k}"]) for k in keys]
+    return test.select(*dict.fromkeys([*keys, *features])).join(p, same).select(
+        *features, "actual_demand", "predicted_demand")
+
+
+def chart_grid(df: DataFrame, cells: int = 100) -> DataFrame:
+    """Counts of the actual / predicted plane in cells * cells squares over the
+    common range of both: chart data whose size doesn't depend on the rows.
+    (actual_cell, predicted_cell, rows, actual_from, predicted_from); the largest
+    values fall into the last cell; rows with a missing value are left out; with
+    one value in all there's one cell."""
+    if not 1 <= cells <= 100:
+        raise ValueError(f"cells: {cells}")
+    a, p = F.col("actual_demand"), F.col("predicted_demand")
+    valid = df.filter(a.isNotNull() & p.isNotNull() & ~F.isnan(a) & ~F.isnan(p))
+    limits = plot_limits(valid)
+    width = (F.col("upper") - F.col("lower")) / cells
+    cell = (lambda c: F.when(F.col("upper") == F.col("lower"), F.lit(0)).otherwise(
+        F.least(F.floor((c - F.col("lower")) / F.when(width > 0, width)), F.lit(cells - 1))).cast("int"))
+    return (valid.withColumns({c: limits.select(c).scalar() for c in ("lower", "upper")})
+            .groupBy(cell(a).alias("actual_cell"), cell(p).alias("predicted_cell"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.first("lower").alias("_lower"),
+                 F.first(width).alias("_width"))
+            .select("actual_cell", "predicted_cell", "rows",
+                    (F.col("_lower") + F.col("actual_cell") * F.col("_width")).alias("actual_from"),
+                    (F.col("_lower") + F.col("predicted_cell") * F.col("_width")).alias("predicted_from")))
+
+
 def plot_limits(df: DataFrame) -> DataFrame:
     """One row: the common axis range of actual and predicted values."""
     return df.agg(

@@ -37,7 +37,13 @@ from daybook.operators.model import (
     split_counts,
     xy_projection,
 )
-from daybook.operators.scoring import actual_vs_predicted, score
+from daybook.operators.scoring import (
+    PREDICTION_COLUMNS,
+    actual_vs_predicted,
+    chart_grid,
+    plot_limits,
+    score,
+)
 from daybook.operators.timeseries import (
     calendar_features,
     date_spine,
@@ -54,7 +60,15 @@ from daybook.plans.stages import (
     Stages,
 )
 from daybook.session import staging_path
-from daybook.sources.files import publish, read_raw_csv, read_table, write_csv, write_table
+from daybook.sources.files import (
+    overwrite_partitions,
+    publish,
+    read_partitions,
+    read_raw_csv,
+    read_table,
+    write_csv,
+    write_table,
+)
 
 OTHER_MODEL = "other_model"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -487,6 +501,43 @@ def q_champion_predictions(s: Stages) -> DataFrame:
                                 promote(metrics, versions, SCENARIO_CHALLENGER))
 
 
+@query("champion_from_stored_scores",
+       f"select p.* from preds p join ({_DECISION}) d on p.model_version = d.champion_version")
+def q_champion_from_stored_scores(s: Stages) -> DataFrame:
+    # one stored table of all versions' predictions, as the job keeps it: metrics,
+    # decision and the champion's rows read it; the other partitions are pruned
+    path = overwrite_partitions(s.predictions_long, staging_path(s.spark, "scores"), ["model_version"])
+    preds = read_partitions(s.spark, path, ["model_version"])
+    metrics = metrics_by_version(preds)
+    versions = assign_versions(metrics, MODEL_NAME, SCENARIO_CHAMPION, SCENARIO_CHALLENGER)
+    return champion_predictions(preds, promote(metrics, versions, SCENARIO_CHALLENGER)).select(
+        *PREDICTION_COLUMNS)
+
+
+@query("plot_limits",
+       "select least(min(total_demand), min(rolling_7_day_avg)) as lower, "
+       "greatest(max(total_demand), max(rolling_7_day_avg)) as upper from test_rows")
+def q_plot_limits(s: Stages) -> DataFrame:
+    return plot_limits(actual_vs_predicted(s.baseline(SCENARIO_CHALLENGER), s.test))
+
+
+@query("chart_grid",
+       """select actual_cell, predicted_cell, count(*) as rows, lo + actual_cell * w as actual_from,
+         lo + predicted_cell * w as predicted_from
+       from (
+         select cast(least(floor((a - lo) / w), 99) as int) as actual_cell,
+           cast(least(floor((p - lo) / w), 99) as int) as predicted_cell, lo, w
+         from (select total_demand as a, rolling_7_day_avg as p from test_rows
+               where total_demand is not null and rolling_7_day_avg is not null) v,
+           (select lo, (hi - lo) / 100 as w from (
+              select least(min(total_demand), min(rolling_7_day_avg)) as lo,
+                greatest(max(total_demand), max(rolling_7_day_avg)) as hi
+              from test_rows where total_demand is not null and rolling_7_day_avg is not null)) l) c
+       group by actual_cell, predicted_cell, lo, w""")
+def q_chart_grid(s: Stages) -> DataFrame:
+    return chart_grid(actual_vs_predicted(s.baseline(SCENARIO_CHALLENGER), s.test))
+
+
 # ---- the distributed model (no SQL equivalent: rows-only) ----------------------
 
 _STATS_OF = """

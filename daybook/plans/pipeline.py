@@ -18,10 +18,17 @@ import json
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.config import CHALLENGER_ALIAS, CHAMPION_ALIAS, KEY_COLUMNS, MIN_IMPROVEMENT, MODEL_PARAMS
+from daybook.config import (
+    CHALLENGER_ALIAS,
+    CHAMPION_ALIAS,
+    KEY_COLUMNS,
+    MIN_IMPROVEMENT,
+    MODEL_PARAMS,
+    TARGET_COL,
+)
 from daybook.errors import DataContractError
 from daybook.functions.metrics import regression_metrics
 from daybook.operators import contracts as C
@@ -34,14 +41,26 @@ from daybook.operators.lifecycle import (
     promote,
     run_summary,
 )
-from daybook.operators.model import DemandModel, fit_gbt, require_split, split_by_date
-from daybook.operators.scoring import score
+from daybook.operators.model import DemandModel, feature_importance, fit_gbt, require_split, split_by_date
+from daybook.operators.scoring import PREDICTION_COLUMNS, chart_grid, joined_predictions, score
 from daybook.operators.timeseries import build_features
-from daybook.sources.files import _fs_path, publish, read_raw_csv, read_table
+from daybook.sources.files import (
+    _fs_path,
+    overwrite_partitions,
+    publish,
+    read_partitions,
+    read_raw_csv,
+    read_table,
+    write_csv,
+    write_table,
+)
 
 VERSIONS_SCHEMA = "model_name string, version string, alias string, test_r2 double"
-LAYERS = ["bronze", "silver", "daily_agg", "features", "predictions", "model_versions", "runs",
-          "models"]
+# scores: the predictions of all versions, a partition for each; fits: trees of
+# unfinished fits; artifacts: importance, test predictions and chart data by version
+LAYERS = ["bronze", "silver", "daily_agg", "features", "scores", "predictions", "model_versions",
+          "runs", "models", "fits", "artifacts"]
+BY_VERSION = ["model_name", "model_version"]
 
 
 @dataclass
@@ -117,8 +136,8 @@ def run_features(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet"
 def run_training(spark: SparkSession, paths: dict, m: dict, cut: str,
                  model_name: str = "demand_model", max_iter: int = MODEL_PARAMS["iterations"],
                  min_improvement: float = MIN_IMPROVEMENT, fmt: str = "parquet") -> tuple[str, dict]:
-    """Fit a challenger, score it and the champion on the same test rows,
-    decide, move the aliases and append the run summary. Returns the new
+    """Fit a challenger, store its and the champion's scores of the same test rows,
+    write the artefacts, decide, move the aliases and append the run summary. Returns the new
     version and the decision."""
     features = read_table(spark, paths["features"], fmt)
     m["split"] = require_split(features, cut)
@@ -131,14 +150,18 @@ def run_training(spark: SparkSession, paths: dict, m: dict, cut: str,
     registry = versions.filter(F.col("model_name") == model_name)
     known = [r.version for r in registry.select("version").collect()]  # registry rows: a handful
     version = str(max([int(v) for v in known if v.isdigit()] or [0]) + 1)
-    model = fit_gbt(train, max_iter=max_iter)
+    fits = os.path.join(paths["fits"], model_name, version)
+    model = fit_gbt(train, max_iter=max_iter, folder=fits)
     model.save(os.path.join(paths["models"], model_name, version))
 
     champion = [r.version for r in registry.filter(F.col("alias") == CHAMPION_ALIAS).collect()]
-    preds = score(model, test, version)
+    # each version is scored once; all that follows reads the stored predictions
+    _store_scores(spark, paths, model_name, version, model, test, fmt)
     if champion:
         old = DemandModel.load(spark, os.path.join(paths["models"], model_name, champion[0]))
-        preds = preds.unionByName(score(old, test, champion[0]))
+        _store_scores(spark, paths, model_name, champion[0], old, test, fmt)
+    preds = stored_scores(spark, paths, model_name, [version, *champion], fmt).drop("model_name")
+    write_artifacts(spark, paths, model_name, version, model, test, fmt)
     # a few rows, read three times below: stored once (reliable checkpoint)
     metrics = metrics_by_version(preds).checkpoint(eager=True)
     chal_r2 = metrics.filter(F.col("model_version") == version).first()["r2"]
@@ -151,27 +174,76 @@ def run_training(spark: SparkSession, paths: dict, m: dict, cut: str,
     decision = decide(metrics, versions, version, min_improvement, model_name).first().asDict()
     params = {k: str(v) for k, v in MODEL_PARAMS.items()} | {"iterations": str(max_iter)}
     summary = run_summary(features, preds.filter(F.col("model_version") == version), cut, params)
-    # the run first: a failure before the registry leaves no promoted version without a run
-    summary.write.mode("append").format(fmt).save(paths["runs"])
+    # the run first: a failure before the registry leaves no promoted version without
+    # a run; a second attempt at this version replaces its run
+    overwrite_partitions(summary.withColumn("model_name", F.lit(model_name)), paths["runs"],
+                         BY_VERSION, fmt)
     publish(promote(metrics, versions, version, min_improvement, model_name).select(*VERSION_COLUMNS),
             paths["model_versions"], fmt=fmt)
+    fs, p = _fs_path(spark, fits)
+    fs.delete(p, True)  # the model is registered
     m["decision"] = decision
     return version, decision
 
 
+def _store_scores(spark: SparkSession, paths: dict, model_name: str, version: str, model: DemandModel,
+                  test: DataFrame, fmt: str) -> None:
+    """Score the test rows with one version and replace its partition."""
+    rows = score(model, test, version, with_timestamp=True)
+    overwrite_partitions(rows.withColumn("model_name", F.lit(model_name)), paths["scores"],
+                         BY_VERSION, fmt)
+
+
+def stored_scores(spark: SparkSession, paths: dict, model_name: str, versions: list[str],
+                  fmt: str = "parquet") -> DataFrame:
+    """Stored predictions of these versions; only their partitions are read."""
+    return read_partitions(spark, paths["scores"], BY_VERSION, fmt).filter(
+        (F.col("model_name") == model_name) & F.col("model_version").isin(versions))
+
+
+def write_artifacts(spark: SparkSession, paths: dict, model_name: str, version: str,
+                    model: DemandModel, test: DataFrame, fmt: str = "parquet") -> str:
+    """Feature importance and test predictions as CSV, chart data as a table,
+    under ``artifacts/<model>/<version>``."""
+    folder = os.path.join(paths["artifacts"], model_name, version)
+    write_csv(feature_importance(model).coalesce(1), os.path.join(folder, "feature_importance"))
+    preds = stored_scores(spark, paths, model_name, [version], fmt)
+    write_csv(joined_predictions(preds, test), os.path.join(folder, "test_predictions"))
+    write_table(chart_grid(preds), os.path.join(folder, "actual_vs_predicted"), fmt)
+    return folder
+
+
+def _covers(spark: SparkSession, paths: dict, model_name: str, version: str, test: DataFrame,
+            fmt: str) -> bool:
+    """Whether the stored scores of a version are of exactly these test rows
+    (keys and actual values, by an order-independent fingerprint)."""
+    if not _exists(spark, os.path.join(paths["scores"], f"model_name={model_name}",
+                                       f"model_version={version}")):
+        return False
+    def print_of(df: DataFrame, actual: str) -> Row:
+        key = F.xxhash64(*KEY_COLUMNS, F.col(actual).cast("double"))
+        return df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(key).alias("x")).first()
+    return print_of(stored_scores(spark, paths, model_name, [version], fmt), "actual_demand") == print_of(
+        test, TARGET_COL)
+
+
 def run_predictions(spark: SparkSession, paths: dict, m: dict, cut: str,
                     fmt: str = "parquet", model_name: str = "demand_model") -> None:
-    """The champion's predictions on the test period, with the scoring time;
-    then R² recomputed from the stored table."""
+    """The champion's stored predictions on the test period, with their scoring
+    time; then R² recomputed from the published table. A champion whose scores are
+    of another feature table or cut (other test rows) is scored anew."""
     versions = read_table(spark, paths["model_versions"], fmt)
     holder = [r.version for r in versions.filter(
         (F.col("model_name") == model_name) & (F.col("alias") == CHAMPION_ALIAS)).collect()]
     if not holder:
         raise LookupError("no version holds the Champion alias")
     winner = holder[0]
-    model = DemandModel.load(spark, os.path.join(paths["models"], model_name, winner))
     _, test = split_by_date(read_table(spark, paths["features"], fmt), cut)
-    out = score(model, test, winner, with_timestamp=True)
+    if not _covers(spark, paths, model_name, winner, test, fmt):
+        model = DemandModel.load(spark, os.path.join(paths["models"], model_name, winner))
+        _store_scores(spark, paths, model_name, winner, model, test, fmt)
+    out = stored_scores(spark, paths, model_name, [winner], fmt).select(
+        *PREDICTION_COLUMNS, "predicted_at")
     publish(out, paths["predictions"],
             _keep(m, "predictions", lambda s, n: C.require_predictions(s, n)), fmt)
     m["r2_from_table"] = regression_metrics(

@@ -9,11 +9,11 @@ failed contract never replaces a good table.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from daybook.config import RAW_SCHEMA
 
@@ -52,6 +52,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     return int(obs.get["rows"])
 
 
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet") -> str:
+    """Write the rows into a table partitioned by ``by``; partitions that occur
+    among the rows are replaced, all others stay as they are."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*by).format(fmt).save(path))
+    return path
+
+
+def read_partitions(spark: SparkSession, path: str, by: Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """A partitioned table whose partition columns ``by`` are text (a version
+    "1" would be read as a number). Filters on them prune folders."""
+    found = spark.read.format(fmt).load(path).schema
+    schema = StructType([StructField(f.name, StringType()) if f.name in by else f for f in found])
+    return spark.read.format(fmt).schema(schema).load(path)
+
+
 def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

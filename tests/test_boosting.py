@@ -1,0 +1,154 @@
+"""Barrier-stage boosting against a plain single-process version."""
+
+from __future__ import annotations
+
+import os
+import random
+import tempfile
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.operators import boosting as B
+
+
+def plain_fit(rows, borders, settings, prior):
+    """Straight from the definition, row by row: for each level the split with the
+    least squared error over all leaves (with the leaf regularisation)."""
+    pred, trees = [prior] * len(rows), []
+    for _ in range(settings.iterations):
+        grad = [y - p for (_, y), p in zip(rows, pred)]
+        leaf, splits = [0] * len(rows), []
+        for _ in range(settings.depth):
+            best = None
+            for f, edges in enumerate(borders):
+                for b, edge in enumerate(edges):
+                    sums = {}
+                    for (x, _), g, k in zip(rows, grad, leaf):
+                        s = sums.setdefault((k, x[f] > edge), [0.0, 0])
+                        s[0] += g
+                        s[1] += 1
+                    gain = sum(g * g / (n + settings.l2) for g, n in sums.values())
+                    if best is None or gain > best[0] + 1e-9 * abs(best[0]):
+                        best = (gain, f, b)
+            _, f, b = best
+            splits.append((f, b))
+            leaf = [2 * k + (x[f] > borders[f][b]) for k, (x, _) in zip(leaf, rows)]
+        values, counts = [], []
+        for k in range(2 ** settings.depth):
+            g = [g for g, own in zip(grad, leaf) if own == k]
+            values.append(settings.learning_rate * sum(g) / (len(g) + settings.l2))
+            counts.append(len(g))
+        pred = [p + values[k] for p, k in zip(pred, leaf)]
+        trees.append((splits, values, counts))
+    return trees, pred
+
+
+def sample(n=300, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        x = (rng.random() * 10, float(rng.randrange(4)), rng.gauss(0, 1))
+        rows.append((x, 3.0 * (x[0] > 4) + x[1] ** 2 + rng.gauss(0, 0.3)))
+    return rows
+
+
+def frame(spark, rows, parts=3):
+    return spark.createDataFrame([(*x, y) for x, y in rows],
+                                 "a double, b double, c double, y double").repartition(parts)
+
+
+def folder():
+    return tempfile.mkdtemp(prefix="daybook-boost-")
+
+
+def as_tuples(trees):
+    return [(t.features, t.bins, t.values, t.rows) for t in B.read_trees(trees)]
+
+
+@pytest.mark.parametrize("tasks", [1, 3])
+def test_trees_equal_a_plain_version(spark, tasks):
+    rows, settings = sample(), B.BoostSettings(2, 3, 0.3, bins=8)
+    df = frame(spark, rows)
+    borders = B.quantile_borders(df, ["a", "b", "c"], 8)
+    assert len(borders[0]) == 7 and borders[1] == [0.0, 1.0, 2.0]
+    want, pred = plain_fit(rows, borders, settings, 1.5)
+    trees = B.fit_trees(df, ["a", "b", "c"], "y", 1.5, settings, folder(), tasks=tasks)
+    got = B.read_trees(trees)
+    assert [list(zip(t.features, t.bins)) for t in got] == [s for s, _, _ in want]
+    assert [t.rows for t in got] == [c for _, _, c in want]
+    for t, (_, values, _) in zip(got, want):
+        assert t.values == pytest.approx(values, rel=1e-9, abs=1e-12)
+    scored = df.withColumn("p", B.prediction_column(trees, [F.col(c) for c in "abc"], 1.5)).collect()
+    by_x = {x: p for (x, _), p in zip(rows, pred)}
+    assert all(r.p == pytest.approx(by_x[(r.a, r.b, r.c)], abs=1e-9) for r in scored)
+
+
+def test_trees_do_not_depend_on_tasks_or_order(spark):
+    rows, settings = sample(500, 2), B.BoostSettings(3, 2, 0.1, bins=16)
+    shuffled = random.Random(0).sample(rows, len(rows))
+    fits = [as_tuples(B.fit_trees(frame(spark, r, parts), ["a", "b", "c"], "y", 0.0, settings, folder(),
+                                  segment=2, tasks=tasks))
+            for r, parts, tasks in ((rows, 1, 1), (shuffled, 7, 4), (rows, 3, 7))]
+    assert fits[0] == fits[1] == fits[2]  # bit for bit
+    assert len(fits[0]) == 3
+
+
+def test_a_restarted_fit_goes_on_from_stored_segments(spark):
+    df, settings, at = frame(spark, sample()), B.BoostSettings(10, 3, 0.2, bins=8), folder()
+    part = B.fit_trees(df, ["a", "b", "c"], "y", 0.0, settings, at, segment=3, stop_after=2)
+    assert part.count() == 6
+    home = os.path.join(at, os.listdir(at)[0])
+    # a segment that did not end: it is made again
+    os.makedirs(os.path.join(home, "rounds-0002", "_temporary"))
+    before = os.path.getmtime(os.path.join(home, "rounds-0001", "_SUCCESS"))
+    whole = B.fit_trees(df, ["a", "b", "c"], "y", 0.0, settings, at, segment=3)
+    assert os.path.getmtime(os.path.join(home, "rounds-0001", "_SUCCESS")) == before
+    fresh = B.fit_trees(df, ["a", "b", "c"], "y", 0.0, settings, folder(), segment=3)
+    assert as_tuples(whole) == as_tuples(fresh) and len(as_tuples(whole)) == 10
+    other = B.fit_trees(df.limit(200), ["a", "b", "c"], "y", 0.0, settings, at, segment=3)
+    assert as_tuples(other) != as_tuples(whole) and len(os.listdir(at)) == 2  # other rows, other folder
+
+
+def test_odd_tables(spark):
+    settings = B.BoostSettings(2, 2, 0.5)
+    none = frame(spark, sample(5)).limit(0)
+    assert [t.values for t in B.read_trees(B.fit_trees(none, ["a", "b"], "y", 1.0, settings, folder()))] == [[0.0]] * 2
+    same = spark.createDataFrame([(1.0, 2.0)] * 9, "a double, y double")
+    trees = B.fit_trees(same, ["a"], "y", 0.0, settings, folder(), tasks=2)
+    out = same.withColumn("p", B.prediction_column(trees, [F.col("a")], 0.0)).first().p
+    assert out == pytest.approx(0.5 * 18 / 12 + 0.5 * (9 * (2 - 0.75)) / 12)
+    flat = B.fit_trees(same, ["a"], "y", 2.0, settings, folder())
+    assert all(v == 0 for t in B.read_trees(flat) for v in t.values)
+    assert [r.importance for r in B.importance_of_trees(flat, ["a"]).collect()] == [0.0]
+    huge = spark.createDataFrame([(float(i), 1e300 * i) for i in range(9)], "a double, y double")
+    assert all(np.isfinite(t.values).all() for t in B.read_trees(
+        B.fit_trees(huge, ["a"], "y", 0.0, settings, folder())))
+
+
+def test_importance_equals_brute_force(spark):
+    rows, settings = sample(400, 3), B.BoostSettings(3, 3, 0.3, bins=8)
+    df = frame(spark, rows)
+    trees = B.fit_trees(df, ["a", "b", "c"], "y", 1.0, settings, folder())
+    total = [0.0] * 4
+    for t, r in zip(B.read_trees(trees), trees.orderBy("iteration").collect()):
+        count = [0] * 8  # the training rows passed through the tree
+        for x, _ in rows:
+            k = 0
+            for f, e in zip(t.features, r.borders):
+                k = 2 * k + (x[f] > e)
+            count[k] += 1
+        assert count == t.rows
+        for level, f in enumerate(t.features):
+            bit = 1 << (2 - level)
+            for k in range(8):
+                if k & bit == 0:
+                    n, v = (count[k], count[k | bit]), (t.values[k], t.values[k | bit])
+                    if sum(n):
+                        mean = (n[0] * v[0] + n[1] * v[1]) / sum(n)
+                        total[f] += n[0] * (v[0] - mean) ** 2 + n[1] * (v[1] - mean) ** 2
+    got = {r.feature: r.importance for r in B.importance_of_trees(trees, ["a", "b", "c", "unused"]).collect()}
+    assert sum(got.values()) == pytest.approx(100)
+    for name, v in zip(["a", "b", "c", "unused"], total):
+        assert got[name] == pytest.approx(100 * v / sum(total), rel=1e-6, abs=1e-9)

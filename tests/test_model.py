@@ -132,7 +132,7 @@ def _categories(spark, n):
 def test_any_number_of_categories_takes_the_same_path(spark, n):
     df = _categories(spark, n)
     model = fit_gbt(df, max_iter=2, max_depth=3)
-    assert model.gbt.getMaxBins() == 32 and model.gbt.numFeatures == 7
+    assert model.trees.count() == 2 and len(model.feature_names) == 7
     assert model.totals.filter(F.col("feature") == "product_name").count() == n
     assert len(feature_importance(model).collect()) == 7
     assert score(model, df, "a").count() == df.count()

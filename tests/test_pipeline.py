@@ -6,8 +6,8 @@ import os
 import tempfile
 
 from daybook.config import FIXTURE_CUT_DATE
-from daybook.plans.pipeline import run_pipeline
-from daybook.sources.files import read_table, write_csv
+from daybook.plans.pipeline import run_pipeline, run_predictions, stored_scores
+from daybook.sources.files import read_partitions, read_table, write_csv
 from daybook.sources.fixtures import transactions_from_star
 
 
@@ -42,6 +42,36 @@ def test_pipeline_runs_twice(spark, sf_small):
     assert {r.model_version for r in preds.select("model_version").distinct().collect()} == {"1"}
     assert "predicted_at" in preds.columns
 
+    # every version's scores stored once; the champion's rows are its partition
+    scores = read_partitions(spark, second.paths["scores"], ["model_name", "model_version"])
+    assert {(r.model_name, r.model_version): r["count"] for r in scores.groupBy(
+        "model_name", "model_version").count().collect()} == {
+            ("demand_model", "1"): 14265, ("demand_model", "2"): 14265}
+    stored = stored_scores(spark, second.paths, "demand_model", ["1"])
+    assert "PartitionFilters: [isnotnull(model_name" in stored._jdf.queryExecution().toString()
+    assert preds.exceptAll(stored.select(*preds.columns)).count() == 0
+    runs = read_partitions(spark, second.paths["runs"], ["model_name", "model_version"])
+    assert sorted(r.model_version for r in runs.collect()) == ["1", "2"]
+    folder = os.path.join(second.paths["artifacts"], "demand_model", "2")
+    importance = spark.read.option("header", "true").csv(os.path.join(folder, "feature_importance")).collect()
+    assert len(importance) == 7 and abs(sum(float(r.importance) for r in importance) - 100) < 1e-6
+    exported = spark.read.option("header", "true").csv(os.path.join(folder, "test_predictions"))
+    assert exported.count() == 14265 and exported.columns[-2:] == ["actual_demand", "predicted_demand"]
+    grid = read_table(spark, os.path.join(folder, "actual_vs_predicted"))
+    assert sum(r.rows for r in grid.collect()) == 14265 and grid.count() <= 10_000
+    assert os.listdir(os.path.join(second.paths["fits"], "demand_model")) == []
+
+    # nothing is scored again while the test rows are the same; another cut is
+    before = scores.filter("model_version = '1'").agg({"predicted_at": "max"}).first()[0]
+    m = {}
+    run_predictions(spark, second.paths, m, FIXTURE_CUT_DATE)
+    again = read_table(spark, second.paths["predictions"]).agg({"predicted_at": "max"}).first()[0]
+    assert again == before
+    run_predictions(spark, second.paths, m, "2000-09-30")
+    later = read_table(spark, second.paths["predictions"])
+    assert later.agg({"predicted_at": "max"}).first()[0] > before
+    assert m["predictions"]["rows"] < 14265
+
 
 def test_stages_from_the_command_line(spark, sf_small, capsys):
     import json

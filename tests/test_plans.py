@@ -94,3 +94,9 @@ def test_no_python_in_any_oracle_checked_plan(spark, sf_small):
                  "prediction_table", "gapfill_days_join"]:
         text = plan(E.queries()[name](spark, sf_small), "extended")
         assert "EvalPython" not in text and "PythonUDF" not in text, name
+
+
+def test_stored_scores_are_pruned_to_the_champion(spark, sf_small):
+    from daybook.plans.catalog import QUERIES
+    plan = QUERIES["champion_from_stored_scores"](spark, sf_small)._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan
