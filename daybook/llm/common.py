@@ -4,38 +4,15 @@ from __future__ import annotations
 
 import gc
 import hashlib
-import os
-import tempfile
-import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import daybook
-from daybook.session import ensure_checkpoint_dir, staging_path
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package's source to the executors, once for each application
-    (functions that run there are found by import)."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    top = os.path.dirname(os.path.abspath(daybook.__file__))
-    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="daybook-")), "daybook_source.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(top):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    f = os.path.join(folder, name)
-                    z.write(f, os.path.join("daybook", os.path.relpath(f, top)))
-    sc.addPyFile(path)
-    _SHIPPED.add(sc.applicationId)
-
+from daybook.session import ensure_checkpoint_dir, ship_package, staging_path
 
+__all__ = ["cut_spans", "id_text", "merge_spans", "read_table", "release_shuffles", "rows_by_id",
+           "sha256_hex", "ship_package", "stored", "written"]
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
