@@ -2,17 +2,52 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.session import ensure_checkpoint_dir, ship_package, staging_path
 
 __all__ = ["cut_spans", "id_text", "merge_spans", "read_table", "release_shuffles", "rows_by_id",
-           "sha256_hex", "ship_package", "stored", "written"]
+           "released", "sha256_hex", "ship_package", "small_batches", "stored", "written"]
+#: Rows and bytes of the batches that texts go to Python workers in.
+BATCH_ROWS, BATCH_BYTES = 512, "4m"
+_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session by ``BATCH_ROWS`` and
+    ``BATCH_BYTES``, unless it has settings of its own: both sides hold a batch whole,
+    and Spark's defaults let one of long texts reach 64 MB."""
+    for key, default, value in ((_ROWS_CONF, "10000", str(BATCH_ROWS)),
+                                (_BYTES_CONF, "67108864b", BATCH_BYTES)):
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, value)
+
+
+def released(run: Callable) -> Callable:
+    """``run`` (batches to batches) for a Python worker that gives its free memory
+    back when a task ends. Workers are used again by later stages and would keep
+    the largest stage's memory otherwise."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+    return task
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

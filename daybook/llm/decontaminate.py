@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import cut_spans, id_text, sha256_hex
+from daybook.llm.common import cut_spans, id_text, released, sha256_hex
 
 WINDOW = 10
 #: Words that one index holds at most.
@@ -366,4 +366,4 @@ def remove_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             columns[at] = pa.array(clean(b.column(at).to_pylist()), pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

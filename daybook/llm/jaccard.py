@@ -53,7 +53,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import id_text, release_shuffles, rows_by_id, stored, written
+from daybook.llm.common import id_text, release_shuffles, released, rows_by_id, stored, written
 
 WORDS = 5
 #: Bands below this one (sets of fewer than 64 shingles) use one-deletion rows.
@@ -371,7 +371,7 @@ def shared_rows(docs: DataFrame) -> DataFrame:
     by = Window.partitionBy("sig")
     before = F.lag("ref").over(by.orderBy("ref"))
     role = F.col("ref").bitwiseAND(7)
-    return (docs.mapInArrow(_signatures, "sig long, ref long")
+    return (docs.mapInArrow(released(_signatures), "sig long, ref long")
             .withColumn("_before", before)  # copies in other tasks repeat rows
             .filter(F.col("_before").isNull() | (F.col("_before") != F.col("ref")))
             .select("sig", F.shiftright("ref", 3).alias("k1"), role.alias("role"),
@@ -412,7 +412,7 @@ def linked_classes(docs: DataFrame, described: DataFrame) -> tuple[DataFrame, Da
              .groupBy("_want").agg(F.collect_set("v").alias("_vs")))  # one class for each text
     texts = rows_by_id(docs, heads).select(F.explode("_vs").alias("v"), "_text")
     sets = stored(texts.select("v.k1", "v.k2", "_text")
-                  .mapInArrow(_sets, "k1 long, k2 long, items array<long>, sketch array<long>")
+                  .mapInArrow(released(_sets), "k1 long, k2 long, items array<long>, sketch array<long>")
                   .groupBy("k1", "k2").agg(F.first("items").alias("items"),
                                            F.first("sketch").alias("sketch"))
                   .select(_class().alias("v"), "items", "sketch"))
@@ -506,7 +506,7 @@ def _components(docs: DataFrame, links: bool) -> DataFrame:
     """doc_id, n_shingles, component_id and, if wanted, n_links for every document."""
     docs = id_text(docs)
     described = stored(docs.mapInArrow(
-        _describe, "doc_id long, k1 long, k2 long, n long, slack long"))
+        released(_describe), "doc_id long, k1 long, k2 long, n long, slack long"))
     label, sets = linked_classes(docs, described)
     least = described.filter("n > 0").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("_doc"), F.count(F.lit(1)).alias("copies"))

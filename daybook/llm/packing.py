@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import id_text
+from daybook.llm.common import id_text, released
 
 SEQUENCE = 1024
 END_ID = 0
@@ -173,7 +173,7 @@ def token_pieces(docs: DataFrame, groups: int, tokenizer: str | None = None,
                                              names=["doc_id", "start", "length", "ids_crc32",
                                                     "doc_tokens", "_group"])
 
-    return id_text(docs).mapInArrow(run, PIECES)
+    return id_text(docs).mapInArrow(released(run), PIECES)
 
 
 def _pack_group(capacity: int):

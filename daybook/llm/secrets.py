@@ -45,7 +45,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 
-from daybook.llm.common import cut_spans, id_text, sha256_hex, ship_package
+from daybook.llm.common import cut_spans, id_text, released, sha256_hex, ship_package
 
 # The kinds, in their order, and their patterns.
 KINDS = ("assign", "access", "hex")
@@ -513,4 +513,4 @@ def redact(docs: DataFrame, marker: str = "[REDACTED]", text_col: str = "text")
             columns[at] = pa.array([clean(t) for t in b.column(at).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import id_text, ship_package
+from daybook.llm.common import id_text, released, ship_package
 
 SIZES = (3, 4, 5)
 BITS = 18
@@ -193,4 +193,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS)
             stays = [own.score(t or "") < 0.5 for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(stays, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
