@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.config import DAILY_MEASURES, DATE_COL, KEY_COLUMNS, SERIES_KEYS
+from daybook.functions.exact import exact_avg, exact_sum
 
 
 def _measure(name: str, fn: str, col: str | None) -> F.Column:
     if fn == "count":
         return F.count(F.lit(1)).alias(name)
-    return getattr(F, fn)(F.col(col)).alias(name)
+    # sums and means that don't depend on the order of the rows
+    order_free = {"sum": exact_sum, "avg": exact_avg}
+    return order_free.get(fn, getattr(F, fn))(F.col(col)).alias(name)
 
 
 def daily_agg(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS,

@@ -9,7 +9,6 @@ and NULL keys count as one value, as ``distinct`` does.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -25,6 +24,7 @@ from daybook.config import (
     TARGET_COL,
 )
 from daybook.errors import DataContractError
+from daybook.functions.exact import exact_sum
 from daybook.functions.metrics import missing_count
 from daybook.operators.clean import parse_date_col
 
@@ -147,7 +147,7 @@ def feature_measures(df: DataFrame, keys: Sequence[str] = KEY_COLUMNS,
         null_cal.cast("bigint").alias("null_calendar"),
         *[F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
           .alias(f"null_{k}") for k in keys],
-        F.coalesce(F.sum("_y"), F.lit(0)).cast("double").alias("total_demand"),
+        F.coalesce(exact_sum(F.col("_y")), F.lit(0.0)).alias("total_demand"),
         F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("total_transactions"),
     ).select("*", F.lit(n_missing).cast("int").alias("missing_columns"))
 
@@ -291,10 +291,10 @@ def require_features(df: DataFrame, expected_rows: int | None = None,
         raise DataContractError("features", "NULL calendar values", v)
     if daily is not None:
         d = _fetch(daily.agg(
-            F.coalesce(F.sum(_plain(daily, TARGET_COL)), F.lit(0)).cast("double").alias("demand"),
+            F.coalesce(exact_sum(_plain(daily, TARGET_COL)), F.lit(0.0)).alias("demand"),
             F.coalesce(F.sum("transaction_count"), F.lit(0)).cast("bigint").alias("transactions")))
-        if (d["transactions"] != v["total_transactions"]
-                or not math.isclose(d["demand"], v["total_demand"], rel_tol=1e-9, abs_tol=1e-9)):
+        # sums of the same numbers in another order: exact sums are equal
+        if (d["transactions"], d["demand"]) != (v["total_transactions"], v["total_demand"]):
             raise DataContractError("features", "demand or transactions not conserved", v | d)
     return v
 

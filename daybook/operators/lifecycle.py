@@ -24,6 +24,7 @@ from daybook.config import (
     MIN_IMPROVEMENT,
     TARGET_COL,
 )
+from daybook.functions.exact import exact_sum
 from daybook.functions.metrics import regression_metrics
 from daybook.operators.model import cut_date
 
@@ -159,7 +160,7 @@ def run_summary(features: DataFrame, preds: DataFrame, cut: str,
         F.count(F.lit(1)).alias("feature_rows"),
         F.min(date_col).alias("feature_min_date"),
         F.max(date_col).alias("feature_max_date"),
-        F.coalesce(F.sum(target), F.lit(0.0)).cast("double").alias("feature_target_sum"),
+        F.coalesce(exact_sum(F.col(target)), F.lit(0.0)).alias("feature_target_sum"),
         F.count_if(F.col(date_col) <= c).alias("train_rows"),
         F.count_if(F.col(date_col) > c).alias("test_rows"),
     ).select(F.lit(None).cast("string").alias("model_version"), *snap_cols,

@@ -26,6 +26,7 @@ from daybook.config import (
     TARGET_COL,
 )
 from daybook.errors import DataContractError
+from daybook.functions.exact import exact_avg, exact_sum
 from daybook.operators.boosting import (
     TREES,
     BoostSettings,
@@ -110,7 +111,7 @@ def category_target_stats(train: DataFrame, categorical: Sequence[str] = CATEGOR
     calendar, whatever the number of rows.
     """
     y = _number(train, target)
-    days = train.groupBy(date_col).agg(F.count(y).alias("_n"), F.sum(y).alias("_s"))
+    days = train.groupBy(date_col).agg(F.count(y).alias("_n"), exact_sum(y).alias("_s"))
     before = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
     prior = days.select(F.col(date_col).alias("_day"),
                         (F.sum("_s").over(before)
@@ -122,7 +123,7 @@ def category_target_stats(train: DataFrame, categorical: Sequence[str] = CATEGOR
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category"))
         for c in categorical])).alias("_c"))
     stats = (long.groupBy("_c.feature", "_c.category", date_col)
-             .agg(F.count("_y").alias("_n"), F.sum("_y").alias("_s"))
+             .agg(F.count("_y").alias("_n"), exact_sum(F.col("_y")).alias("_s"))
              .select("feature", "category", date_col,
                      F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("earlier_rows"),
                      F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("earlier_sum")))
@@ -140,7 +141,7 @@ def category_totals(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_F
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category"))
         for c in categorical])).alias("_c"))
     return long.groupBy("_c.feature", "_c.category").agg(
-        F.count("_y").alias("rows"), F.coalesce(F.sum("_y"), F.lit(0.0)).alias("target_sum"))
+        F.count("_y").alias("rows"), F.coalesce(exact_sum(F.col("_y")), F.lit(0.0)).alias("target_sum"))
 
 
 def _number(df: DataFrame, col: str) -> Column:
@@ -271,7 +272,7 @@ def fit_gbt(train: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES,
         rows = rows.join(t, F.col(c).cast("string").eqNullSafe(F.col(f"_cat{i}"))
                          & F.col(date_col).eqNullSafe(F.col(f"_day{i}"))).drop(f"_cat{i}", f"_day{i}")
     rows = rows.checkpoint(eager=True)
-    least = rows.agg(F.avg(target).alias("prior"),
+    least = rows.agg(exact_avg(F.col(target)).alias("prior"),
                      *[(F.min(_number(rows, c)) - 1).alias(c) for c in numeric],
                      *[(F.min(_encoded_name(c)) - 1).alias(c) for c in categorical]).first().asDict()
     settings = ModelSettings(list(numeric), list(categorical),

@@ -17,6 +17,7 @@ from daybook.config import (
     NUMERIC_FEATURES,
     RAW_SCHEMA,
 )
+from daybook.functions.exact import exact_sum
 from daybook.functions.metrics import regression_metrics
 from daybook.operators import contracts as C
 from daybook.operators.aggregate import daily_agg, date_range, series_extent
@@ -136,7 +137,7 @@ def q_feature_snapshot(s: Stages) -> DataFrame:
         F.count(F.lit(1)).alias("feature_rows"),
         F.min("transaction_date").alias("feature_min_date"),
         F.max("transaction_date").alias("feature_max_date"),
-        F.coalesce(F.sum("total_demand"), F.lit(0.0)).alias("feature_target_sum"),
+        F.coalesce(exact_sum(F.col("total_demand")), F.lit(0.0)).alias("feature_target_sum"),
     )
 
 
@@ -213,6 +214,16 @@ def q_daily_agg(s: Stages) -> DataFrame:
     return s.daily
 
 
+@query("exact_cost",
+       "select destination_city, round(sum(total_cost_usd * quality_score), 3) as quality_cost, "
+       "count(*) as rows from tx group by destination_city")
+def q_exact_cost(s: Stages) -> DataFrame:
+    # fractional products: a plain sum would depend on the order of the rows
+    return s.raw.groupBy("destination_city").agg(
+        F.round(exact_sum(F.col("total_cost_usd") * F.col("quality_score")), 3).alias("quality_cost"),
+        F.count(F.lit(1)).alias("rows"))
+
+
 @query("series_extent", "select * from extent")
 def q_series_extent(s: Stages) -> DataFrame:
     return series_extent(s.daily)
