@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook.session import ship_package
-from daybook.sources.files import _fs_path
+from daybook.sources.versions import fs_path
 
 #: Most bins of an input (a bin's number is a byte).
 BINS = 64
@@ -274,7 +274,7 @@ def _stored_segments(spark: SparkSession, folder: str) -> list[str]:
     out = []
     while True:
         path = os.path.join(folder, f"rounds-{len(out):04d}")
-        fs, done = _fs_path(spark, os.path.join(path, "_SUCCESS"))
+        fs, done = fs_path(spark, os.path.join(path, "_SUCCESS"))
         if not fs.exists(done):
             return out
         out.append(path)
@@ -308,7 +308,7 @@ def fit_trees(rows: DataFrame, inputs: Sequence[str], target: str, prior: float,
         tasks = max(1, min(-(-state["n"] // TASK_ROWS), spark.sparkContext.defaultParallelism,
                            MAX_TASKS))
     path = os.path.join(home, "binned")
-    fs, done = _fs_path(spark, os.path.join(path, "_SUCCESS"))
+    fs, done = fs_path(spark, os.path.join(path, "_SUCCESS"))
     if not fs.exists(done):
         binned(rows, inputs, target, borders).write.mode("overwrite").parquet(path)
     dealt = spark.read.parquet(path).repartition(tasks)

@@ -71,6 +71,8 @@ from daybook.sources.files import (
     write_table,
 )
 
+from daybook.sources.versions import current_version, versions
+
 OTHER_MODEL = "other_model"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,6 +121,20 @@ def q_table_roundtrip(s: Stages) -> DataFrame:
     return read_table(s.spark, path)
 
 
+@query("table_version_history",
+       "select 1 as version, count(*) as rows from tx union all select 2, count(*) from silver")
+def q_table_version_history(s: Stages) -> DataFrame:
+    # two versions of one table: the earlier stays readable, the later is current
+    path = staging_path(s.spark, "versioned")
+    publish(s.raw.select("transaction_id"), path)
+    publish(s.silver.select("transaction_id"), path)
+    assert current_version(s.spark, path) == 2
+    counts = [read_table(s.spark, path, version=v).agg(F.lit(v).alias("version"),
+                                                       F.count(F.lit(1)).alias("rows"))
+              for v in versions(s.spark, path)]
+    return counts[0].unionByName(counts[1])
+
+
 @query("csv_export_roundtrip",
        f"select {_FEATS}, total_demand as actual_demand, rolling_7_day_avg as predicted_demand "
        "from test_rows")

@@ -2,7 +2,7 @@
 features → model → decision → predictions.
 
 Each stage is a function that reads the previous stage's stored table and
-publishes its own (stage → contract → publish), like the six tasks of the
+publishes its own as a new version (stage → contract → publish), like the six tasks of the
 original daily job; ``run_pipeline`` runs them in order. Because every
 layer is written once and the next layer reads the written table, each
 contract checks stored data, a failed contract never replaces a published
@@ -45,7 +45,6 @@ from daybook.operators.model import DemandModel, feature_importance, fit_gbt, re
 from daybook.operators.scoring import PREDICTION_COLUMNS, chart_grid, joined_predictions, score
 from daybook.operators.timeseries import build_features
 from daybook.sources.files import (
-    _fs_path,
     overwrite_partitions,
     publish,
     read_partitions,
@@ -54,6 +53,7 @@ from daybook.sources.files import (
     write_csv,
     write_table,
 )
+from daybook.sources.versions import current_version, fs_path, table_exists
 
 VERSIONS_SCHEMA = "model_name string, version string, alias string, test_r2 double"
 # scores: the predictions of all versions, a partition for each; fits: trees of
@@ -61,6 +61,8 @@ VERSIONS_SCHEMA = "model_name string, version string, alias string, test_r2 doub
 LAYERS = ["bronze", "silver", "daily_agg", "features", "scores", "predictions", "model_versions",
           "runs", "models", "fits", "artifacts"]
 BY_VERSION = ["model_name", "model_version"]
+#: Versions of a layer that stay readable.
+KEEP_VERSIONS = 7
 
 
 @dataclass
@@ -76,7 +78,7 @@ def layer_paths(out_dir: str) -> dict[str, str]:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
+    fs, p = fs_path(spark, path)
     return fs.exists(p)
 
 
@@ -87,6 +89,10 @@ def _keep(measures: dict, key: str, check):
     return run
 
 
+def _publish(df: DataFrame, target: str, check=None, fmt: str = "parquet") -> int:
+    return publish(df, target, check, fmt, keep=KEEP_VERSIONS)
+
+
 def run_bronze(spark: SparkSession, source_csv: str, paths: dict, m: dict,
                fmt: str = "parquet") -> None:
     """The file as it is; rows written must equal rows stored."""
@@ -97,20 +103,20 @@ def run_bronze(spark: SparkSession, source_csv: str, paths: dict, m: dict,
         m["duplicates"] = {k: v[k] for k in ["total_rows", "distinct_rows", "duplicate_rows"]}
         return {k: v[k] for k in ["source_rows", "table_rows"]}
 
-    publish(raw, paths["bronze"], _keep(m, "bronze", check), fmt)
+    _publish(raw, paths["bronze"], _keep(m, "bronze", check), fmt)
 
 
 def run_silver(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet") -> None:
     """One row per id, dates parsed; duplicate ids or invalid dates stop the run."""
     bronze = read_table(spark, paths["bronze"], fmt)
-    publish(to_silver(bronze), paths["silver"], _keep(m, "silver", C.require_silver), fmt)
+    _publish(to_silver(bronze), paths["silver"], _keep(m, "silver", C.require_silver), fmt)
     m["date_range"] = date_range(read_table(spark, paths["silver"], fmt)).first().asDict()
 
 
 def run_daily(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet") -> None:
     """Daily aggregate: unique grain, every transaction counted once."""
     silver = read_table(spark, paths["silver"], fmt)
-    publish(daily_agg(silver), paths["daily_agg"],
+    _publish(daily_agg(silver), paths["daily_agg"],
             _keep(m, "daily", lambda s, n: C.require_daily(s, silver, n)), fmt)
 
 
@@ -127,7 +133,7 @@ def run_features(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet"
                        and c != "null_calendar"]}
         return v
 
-    publish(C.declare_key(build_features(daily)), paths["features"], _keep(m, "features", check),
+    _publish(C.declare_key(build_features(daily)), paths["features"], _keep(m, "features", check),
             fmt)
     m["feature_nulls"] = C.feature_null_summary(
         read_table(spark, paths["features"], fmt)).first().asDict()
@@ -139,13 +145,15 @@ def run_training(spark: SparkSession, paths: dict, m: dict, cut: str,
     """Fit a challenger, store its and the champion's scores of the same test rows,
     write the artefacts, decide, move the aliases and append the run summary. Returns the new
     version and the decision."""
-    features = read_table(spark, paths["features"], fmt)
+    # one version of the features for the whole run, recorded with it
+    feature_version = current_version(spark, paths["features"])
+    features = read_table(spark, paths["features"], fmt, feature_version)
     m["split"] = require_split(features, cut)
     train, test = split_by_date(features, cut)
-    versions = (read_table(spark, paths["model_versions"], fmt)
-                if _exists(spark, paths["model_versions"])
+    registered = table_exists(spark, paths["model_versions"])
+    versions = (read_table(spark, paths["model_versions"], fmt) if registered
                 else spark.createDataFrame([], VERSIONS_SCHEMA))
-    if not _exists(spark, paths["model_versions"]) and _exists(spark, paths["models"]):
+    if not registered and _exists(spark, paths["models"]):
         raise DataContractError("registry", "models exist but the registry is absent", paths)
     registry = versions.filter(F.col("model_name") == model_name)
     known = [r.version for r in registry.select("version").collect()]  # registry rows: a handful
@@ -176,11 +184,13 @@ def run_training(spark: SparkSession, paths: dict, m: dict, cut: str,
     summary = run_summary(features, preds.filter(F.col("model_version") == version), cut, params)
     # the run first: a failure before the registry leaves no promoted version without
     # a run; a second attempt at this version replaces its run
-    overwrite_partitions(summary.withColumn("model_name", F.lit(model_name)), paths["runs"],
+    overwrite_partitions(summary.withColumns({
+        "model_name": F.lit(model_name),
+        "feature_version": F.lit(feature_version).cast("long")}), paths["runs"],
                          BY_VERSION, fmt)
-    publish(promote(metrics, versions, version, min_improvement, model_name).select(*VERSION_COLUMNS),
+    _publish(promote(metrics, versions, version, min_improvement, model_name).select(*VERSION_COLUMNS),
             paths["model_versions"], fmt=fmt)
-    fs, p = _fs_path(spark, fits)
+    fs, p = fs_path(spark, fits)
     fs.delete(p, True)  # the model is registered
     m["decision"] = decision
     return version, decision
@@ -244,7 +254,7 @@ def run_predictions(spark: SparkSession, paths: dict, m: dict, cut: str,
         _store_scores(spark, paths, model_name, winner, model, test, fmt)
     out = stored_scores(spark, paths, model_name, [winner], fmt).select(
         *PREDICTION_COLUMNS, "predicted_at")
-    publish(out, paths["predictions"],
+    _publish(out, paths["predictions"],
             _keep(m, "predictions", lambda s, n: C.require_predictions(s, n)), fmt)
     m["r2_from_table"] = regression_metrics(
         read_table(spark, paths["predictions"], fmt)).first()["r2"]

@@ -1,14 +1,13 @@
 """File sources and sinks: raw CSV in, tables (parquet by default) out.
 
-Sinks always overwrite the whole target, schema included, so a re-run is
+Sinks always write the whole table, schema included, so a re-run is
 idempotent. ``publish`` writes to a staging path first, runs the caller's
-contract on the staged data and only then moves it into place, so a
-failed contract never replaces a good table.
+contract on the staged data and only then makes it the current version, so a
+failed contract never replaces a good table and there is a whole one at any time.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from daybook.config import RAW_SCHEMA
+from daybook.sources.versions import publish_version, retain, table_path
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
@@ -37,8 +37,10 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
+               version: int | None = None) -> DataFrame:
+    """A table, or the current (or given) version of a published one."""
+    return spark.read.format(fmt).load(table_path(spark, path, version))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -68,44 +70,19 @@ def read_partitions(spark: SparkSession, path: str, by: Sequence[str], fmt: str
     return spark.read.format(fmt).schema(schema).load(path)
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _move(spark: SparkSession, src: str, dst: str, fmt: str) -> None:
-    """Replace ``dst`` by ``src`` on the shared file system (both sit in the
-    same folder): the old table is moved aside, the new one into its place, and
-    the old one back if that fails. Only then is the old one deleted."""
-    fs, dst_p = _fs_path(spark, dst)
-    _, src_p = _fs_path(spark, src)
-    _, aside = _fs_path(spark, f"{dst.rstrip('/')}._old-{uuid.uuid4().hex[:12]}")
-    old = fs.exists(dst_p)
-    if old and not fs.rename(dst_p, aside):
-        raise OSError(f"can't move {dst} aside; {src} holds the new table")
-    done = False
-    try:
-        done = fs.rename(src_p, dst_p)
-    finally:
-        if old and not done:  # the old table goes back, whatever went wrong
-            fs.rename(aside, dst_p)
-    if not done:
-        raise OSError(f"can't move {src} to {dst}; the old table is in place")
-    if old:
-        fs.delete(aside, True)
-
-
 def publish(df: DataFrame, target: str, check: Callable[[DataFrame, int], None] | None = None,
-            fmt: str = "parquet") -> int:
-    """Stage → check → publish. The staged copy is written next to the
-    target (same shared file system), ``check(staged_df, rows_written)``
-    runs on the stored rows and raises to stop the publish; the target then
-    keeps its previous content and the staged copy stays for inspection."""
+            fmt: str = "parquet", keep: int | None = None) -> int:
+    """Stage → check → publish as the target's next version (:mod:`versions`).
+    ``check(staged_df, rows_written)`` runs on the stored rows and raises to stop
+    the publish; the target then keeps its current version and the staged copy
+    stays for inspection. ``keep``: versions that stay. Returns the rows."""
     spark = df.sparkSession
-    staged = f"{target.rstrip('/')}._staging-{uuid.uuid4().hex[:12]}"
-    rows = write_table(df, staged, fmt)
-    if check is not None:
-        check(read_table(spark, staged, fmt), rows)
-    _move(spark, staged, target, fmt)
+
+    def checked(path: str, rows: int) -> None:
+        check(spark.read.format(fmt).load(path), rows)
+
+    rows, _ = publish_version(df, target, lambda d, path: write_table(d, path, fmt),
+                              checked if check is not None else None)
+    if keep is not None:
+        retain(spark, target, keep)
     return rows
