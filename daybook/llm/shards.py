@@ -7,9 +7,14 @@ fewest bytes, so that shard sizes are nearly equal. The map is a table with
 a version; rebalancing edits it (see :func:`rebalance`) and moves only the
 slots it has to, while every record keeps its slot.
 
-A slot that holds far more than its share (a hot key or group of copies) is
-split into a fixed number of parts, over which its records are dealt one by
-one; parts are dealt to shards like slots.
+A slot that holds far more than its share of bytes or of rows (a hot key or group of
+copies) is split into parts, the more the larger it is, over which its records are dealt
+one by one; parts are dealt to shards like slots. All slots have at most
+``SLOTS`` / 2 parts more than there are slots.
+
+Maps are kept in a folder, one version beside the other. A run with the folder of an
+earlier one reads its newest map, edits it for the present sizes and number of shards,
+and writes the next version.
 
 Defined results: NULL texts hold no bytes (size 1, crc32 0); NULL ids are
 hashed like any value; repeated rows are placed row by row; rows that tie in
@@ -22,23 +27,25 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import stored
 from daybook.session import staging_path
+from daybook.sources.versions import current_version, publish_version, version_path
 
 SLOTS = 4096
 SHARDS = 16
-#: A slot is split when it holds this many times the mean of a slot ...
+#: A slot is split when it holds this many times the mean of a slot, in bytes or
+#: rows ...
 HOT = 8
-#: ... into so many parts.
-PARTS = 16
+#: ... into parts of about this many times the mean.
+PART = 4
 
 Unit = tuple[int, int]  # slot, part
-MAP_ROWS = ("array<struct<version:int,virtual_slot:int,part:int,shard:int,first:bigint>>")
+MAP_ROWS = "array<struct<virtual_slot:int,part:int,shard:int,first:bigint>>"
 
 
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -64,7 +71,7 @@ def assign(loads: Mapping[Unit, int], shards: int) -> dict[Unit, int]:
 
 
 def rebalance(current: Mapping[Unit, int], loads: Mapping[Unit, int], shards: int) -> dict[Unit, int]:
-    """An edited map: slots leave only shards that hold more than the new
+    """An edited map: parts leave only shards that hold more than the new
     mean, or that are gone, and new ones join; all others stay."""
     mean = sum(loads.values()) / shards
     out, held = {}, dict.fromkeys(range(shards), 0)
@@ -85,45 +92,79 @@ def rebalance(current: Mapping[Unit, int], loads: Mapping[Unit, int], shards: in
     return out
 
 
-def store_map(spark: SparkSession, shard_of: Mapping[Unit, int], rows: Mapping[Unit, int],
-              version: int) -> DataFrame:
-    """Write one version of the map (a row for each slot, with the number of
-    the shard's rows before it) and read it back."""
+def read_map(spark: SparkSession, folder: str) -> tuple[int, dict[Unit, int]]:
+    """(version, shard of every unit) of the newest map in the folder; version 0
+    and no unit if there's none. At most 1.5 * ``SLOTS`` rows."""
+    newest = current_version(spark, folder)
+    if newest is None:
+        return 0, {}
+    rows = spark.read.parquet(version_path(folder, newest)).collect()
+    return newest, {(r["virtual_slot"], r["part"]): r["shard"] for r in rows}
+
+
+def store_map(spark: SparkSession, folder: str, shard_of: Mapping[Unit, int],
+              rows: Mapping[Unit, int]) -> DataFrame:
+    """Write the next version of the map (a row for each slot's part, with the
+    number of the shard's rows before it) and read it back."""
     first: dict[int, int] = {}
     table = []
     for unit in sorted(shard_of):
         s = shard_of[unit]
-        table.append({"version": version, "virtual_slot": unit[0], "part": unit[1], "shard": s,
-                      "first": first.get(s, 0)})
+        table.append({"virtual_slot": unit[0], "part": unit[1], "shard": s, "first": first.get(s, 0)})
         first[s] = first.get(s, 0) + rows[unit]
-    path = staging_path(spark, f"slot-map-v{version}")
     parsed = F.from_json(F.lit(json.dumps(table)), MAP_ROWS)
-    spark.range(1).select(F.explode(parsed).alias("m")).select("m.*").write.parquet(path)
-    return spark.read.parquet(path)
+    frame = spark.range(1).select(F.explode(parsed).alias("m")).select("m.*")
+
+    def write(df: DataFrame, path: str) -> int:
+        df.write.parquet(path)
+        return len(table)
+    _, version = publish_version(frame, folder, write)
+    return spark.read.parquet(version_path(folder, version))
+
+
+def parts_of_slots(by_slot: Sequence[tuple[int, int, int]], slots: int) -> dict[int, int]:
+    """Number of parts of the slots (slot, bytes, rows) that are to be split. As all
+    loads together are ``slots`` means of bytes and as many of rows, there are no
+    more than slots / 4 parts by each, rounded up for at most slots / 8 slots."""
+    total_bytes = sum(b for _, b, _ in by_slot)
+    total_rows = sum(n for _, _, n in by_slot)
+    out = {}
+    for slot, b, n in by_slot:
+        load = max(b * slots / total_bytes, n * slots / total_rows)
+        if load > HOT:
+            out[slot] = min(-(-int(load) // PART), n)
+    return out
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, version: int = 1) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS,
+          folder: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot (the record's place in its
-    shard), grown_shard, virtual_slot, part of every row."""
+    shard), grown_shard, virtual_slot, part of every row. ``folder``: where the maps are;
+    a new one if not given."""
     spark = docs.sparkSession
+    folder = folder or staging_path(spark, "slot-maps")
     rows = stored(records(docs, slots))
-    by_slot = rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes")).collect()
-    total = sum(r["bytes"] for r in by_slot)  # at most ``slots`` rows
-    hot = sorted(r["virtual_slot"] for r in by_slot if r["bytes"] > HOT * total / slots)
-    part = F.pmod("turn", F.lit(PARTS).cast("long")).cast("int")
-    rows = rows.withColumn("part", F.when(F.col("virtual_slot").isin(hot), part).otherwise(0)
-                           if hot else F.lit(0))
+    by_slot = [(r["virtual_slot"], r["bytes"], r["n"]) for r in rows.groupBy("virtual_slot").agg(
+        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()]  # at most ``slots`` rows
+    parts = parts_of_slots(by_slot, slots)
+    hot = F.from_json(F.lit(json.dumps([{"virtual_slot": s, "parts": n} for s, n in sorted(parts.items())])),
+                      "array<struct<virtual_slot:int,parts:int>>")
+    # at most slots / 4 rows (twice slots / HOT): a proven bound for the broadcast
+    split = spark.range(1).select(F.explode(hot).alias("h")).select("h.*")
+    part = F.pmod(F.xxhash64("turn"), F.col("parts").cast("long")).cast("int")
+    rows = (rows.join(F.broadcast(split), "virtual_slot", "left")
+            .withColumn("part", F.coalesce(part, F.lit(0))).drop("parts"))
     units = rows.groupBy("virtual_slot", "part").agg(
         F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
     loads = {(u["virtual_slot"], u["part"]): u["bytes"] for u in units}
     counts = {(u["virtual_slot"], u["part"]): u["n"] for u in units}
-    slot_map = store_map(spark, assign(loads, shards), counts, version)
+    version, former = read_map(spark, folder)
+    shard_of = rebalance(former, loads, shards) if version else assign(loads, shards)
+    slot_map = store_map(spark, folder, shard_of, counts)
     nth = F.row_number().over(Window.partitionBy("virtual_slot", "part")
                               .orderBy("doc_id", "text_crc32", "size", "turn"))
-    # at most slots * (1 + PARTS) rows: a proven bound for the broadcast
-    placed = rows.withColumn("_nth", nth).join(
-        F.broadcast(slot_map.select("virtual_slot", "part", "shard", "first")),
-        ["virtual_slot", "part"])
+    # at most 1.5 * slots rows: a proven bound for the broadcast
+    placed = rows.withColumn("_nth", nth).join(F.broadcast(slot_map), ["virtual_slot", "part"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                          (F.col("first") + F.col("_nth") - 1).alias("slot"),
                          F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "part")
