@@ -69,8 +69,8 @@ _ESCAPE = re.compile(
 #: Base64, also wrapped: line breaks, with blanks around them, may stand anywhere.
 _BREAK = re.compile(r"[ \t]*+(?:\r\n?|\n)[ \t]*+")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-](?:[ \t]*+(?:\r\n?|\n)[ \t]*+(?=[A-Za-z0-9+/_-]))?+){16,}+={0,2}")
-#: How compressed data begins in base64; zlib's two bytes only where a run or a part of it begins.
-_PACKED = re.compile(r"H4sI|Qlpo|/Td6WFoA|KLUv/|(?:^|(?<=[+/]))e[ACDFHJLNP]")
+#: Runs of bytes as escapes.
+_BYTES = re.compile(r"(?:\\x[0-9A-Fa-f]{2}){4,}")
 
 Span = tuple[str, int, int]
 
@@ -227,6 +227,52 @@ def _codec(head: bytes) -> str:
             else "zstd" if head[:4] == b"\x28\xb5\x2f\xfd" else "")
 
 
+# Where compressed data may begin.
+_HEADS = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: Bytes of compressed data that must unpack without a fault before all of it is tried.
+TRIED = 256
+
+
+def _begins(data: bytes) -> Iterator[int]:
+    """Where in the bytes compressed data begins, at any offset: a head, and a first
+    piece that unpacks (two bytes of a head stand in noise, too)."""
+    for m in _HEADS.finditer(data):
+        i = m.start()
+        if m[0][:1] in b"\x1f\x78":
+            try:
+                zlib.decompressobj(47).decompress(data[i:i + TRIED], 4 * TRIED)
+            except zlib.error:
+                continue
+        elif m[0][:1] == b"B" and data[i + 4:i + 10] not in (b"1AY&SY", b"\x17rE8P\x90"):
+            continue
+        yield i
+
+
+def _bare(data: bytes) -> bool:
+    """Whether the bytes are raw deflate (no head), to its end."""
+    if len(data) < 16:
+        return False
+    d = zlib.decompressobj(-15)
+    try:
+        d.decompress(data[:TRIED], 4 * TRIED)
+        if len(data) <= TRIED:
+            d.decompress(d.unconsumed_tail)
+            return d.eof
+    except zlib.error:
+        return False
+    return True
+
+
+def _inflate_bare(data: bytes) -> Iterator[bytes]:
+    d = zlib.decompressobj(-15)
+    try:
+        while not d.eof and data:
+            yield d.decompress(data, PIECE_BYTES)
+            data = d.unconsumed_tail
+    except zlib.error:
+        return
+
+
 def _inflate(pieces: Iterable[bytes]) -> Iterator[bytes]:
     """The content of all members, streams or frames, up to the end of the
     data or what is no compressed data."""
@@ -330,19 +376,23 @@ class Scan:
         if text:
             self._link(self._text_layer(text), up, back)
 
-    def _push_packed(self, data: bytes, up: _Layer, back: Back) -> None:
-        """Compressed data is a layer of one place, whose content is unpacked
-        until it is text."""
-        if not _codec(data[:6]):
-            return
-        key = xxhash.xxh3_128_intdigest(data) ^ 1
-        if key not in self.known:
-            layer = self.known[key] = _Layer()
-            self.work.append(lambda: self._unpack(data, layer))
-        self._link(self.known[key], up, back)
-
-    def _unpack(self, data: bytes, layer: _Layer) -> None:
-        pieces, seen, opened = _inflate([data]), set(), []
+    def _push_packed(self, data: bytes, up: _Layer, whole: Callable[[int], Back]) -> None:
+        """Compressed data, wherever it begins in the bytes, is a layer of one place
+        (``whole`` of its first byte), whose content is unpacked until it is text."""
+        begins = [(i, False) for i in _begins(data)]
+        if _bare(data):
+            begins.append((0, True))
+        for i, bare in begins:
+            part = memoryview(data)[i:]
+            key = xxhash.xxh3_128_intdigest(part) ^ (1 + bare)
+            if key not in self.known:
+                layer = self.known[key] = _Layer()
+                self.work.append(lambda part=part, layer=layer, bare=bare: self._unpack(
+                    bytes(part), layer, bare))
+            self._link(self.known[key], up, whole(i))
+
+    def _unpack(self, data: bytes, layer: _Layer, bare: bool = False) -> None:
+        pieces, seen, opened = _inflate_bare(data) if bare else _inflate([data]), set(), []
         while True:
             head = bytearray()
             for piece in pieces:
@@ -351,7 +401,7 @@ class Scan:
                     break
             else:
                 if head:
-                    self._push_bytes(bytes(head), layer, _all, _all)
+                    self._push_bytes(bytes(head), layer, _all, lambda i: _all)
                 break
             key = xxhash.xxh3_128_intdigest(head)
             if key in seen:  # it unpacks to itself
@@ -404,34 +454,37 @@ class Scan:
         for text, encoding, skip in _texts(data):
             self._push(text, up, _byte_back(text, encoding, skip, back))
 
-    def _push_bytes(self, data: bytes, up: _Layer, back: Back, whole: Back) -> None:
+    def _push_bytes(self, data: bytes, up: _Layer, back: Back, whole: Callable[[int], Back]) -> None:
         self._push_packed(data, up, whole)
         self._push_texts(data, up, back)
 
     def _unwrap(self, layer: str, up: _Layer) -> None:
         if "%" in layer:
             self._unquote(layer, up)
+        if "\\x" in layer:  # bytes, as well as characters of their own
+            for m in _BYTES.finditer(layer):
+                data = bytes.fromhex(m[0].replace("\\x", ""))
+                if not data.isascii() or b"\0" in data:
+                    a, b = m.span()
+                    self._push_bytes(data, up, lambda s, e, a=a: (a + 4 * s, a + 4 * e),
+                                     lambda i, a=a, b=b: lambda s, e: (a + 4 * i, b))
         if ("\\" in layer or "&#" in layer) and (made := _unescape(layer)):
             self._push("".join(made.parts), up, made.back)
         for m in _BASE64.finditer(layer):
             self._base64(m[0], m.start(), up)
 
     def _base64(self, found: str, start: int, up: _Layer) -> None:
-        """One run, joined over its line breaks, at all four alignments: text is
-        read wherever it begins, compressed data where its first bytes stand."""
+        """One run, joined over its line breaks, at all four alignments: text and
+        compressed data are read wherever they begin in the bytes."""
         joined_, at = _Pieces(), 0
         body = found.rstrip("=")
-        begins = {0}  # of the run and its lines
         for m in _BREAK.finditer(body):
             joined_.add(body[at:m.start()], start + at, 0)
             at = m.end()
-            begins.add(joined_.length)
         joined_.add(body[at:], start + at, 0)
         run = "".join(joined_.parts)
         chars = len(run)
         plain = run.replace("-", "+").replace("_", "/")
-        starts = {m.start() for m in _PACKED.finditer(plain)}
-        starts |= {i for i in begins if plain[i:i + 1] == "e"}
         # a payload after "_" or "-" as after "/" (both are "+" or "/" in plain)
         for shift in range(4):
             size = chars - shift
@@ -443,9 +496,11 @@ class Scan:
             def back(s: int, e: int, shift: int = shift) -> tuple[int, int]:
                 return joined_.back(shift + s * 4 // 3, min(chars, shift + -(-e * 4 // 3)))
 
-            for i in sorted(i for i in starts if i % 4 == shift):
-                whole = joined_.back(i, chars)[0], start + len(found)
-                self._push_packed(data[(i - shift) // 4 * 3:], up, lambda s, e, w=whole: w)
+            def whole(i: int, shift: int = shift) -> Back:
+                w = joined_.back(shift + i * 4 // 3, chars)[0], start + len(found)
+                return lambda s, e: w
+
+            self._push_packed(data, up, whole)
             self._push_texts(data, up, back)
 
     def _unquote(self, layer: str, up: _Layer) -> None:
@@ -456,7 +511,7 @@ class Scan:
             if b"\0" in data or not data.isascii() and any("\udc80" <= c <= "\udcff" for c in text):
                 a, b = m.span()
                 self._push_bytes(data, up, lambda s, e, a=a: (a + 3 * s, a + 3 * e),
-                                 lambda s, e, a=a, b=b: (a, b))
+                                 lambda i, a=a, b=b: lambda s, e: (a + 3 * i, b))
             out.add(layer[at:m.start()], at, 0)
             source = m.start()
             for char in text:
