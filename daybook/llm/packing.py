@@ -3,8 +3,9 @@ run independently in randomised groups of documents.
 
 Every document becomes token ids (its text by a byte-level BPE file, then
 one end id). Ids are cut at multiples of the sequence length: the full
-pieces are sequences of their own, the rest of each document is a piece to be
-packed. Pieces are dealt into groups of a bounded expected size by a hash;
+pieces fill a sequence each, the rest of each document is a piece to be
+packed. Pieces are dealt into groups of a bounded expected size by a hash (their
+number follows the texts' bytes, so a few long documents make many groups);
 in each group the pieces, longest first, go into the first bin (sequence)
 with room for them, found in a tree that holds the largest free space of the
 bins below each node.
@@ -34,8 +35,9 @@ from daybook.llm.common import id_text, released
 
 SEQUENCE = 1024
 END_ID = 0
-#: Pieces that a group holds on average.
-GROUP_PIECES = 4096
+#: Pieces that a group holds on average, if an id stands for so many bytes. (It stands
+#: for one at least, so a group's expected pieces are bounded by three times as many.)
+GROUP_PIECES, ID_BYTES = 4096, 3
 TOKENIZER = "byte_bpe_50k.json"
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, _group long")
@@ -193,6 +195,10 @@ def pack(docs: DataFrame, length: int = SEQUENCE, tokenizer: str | None = None,
          group_pieces: int = GROUP_PIECES) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of
     every piece; sequences hold at most ``length`` ids."""
-    groups = max(1, -(-docs.count() // group_pieces))
+    seen = docs.agg(F.count(F.lit(1)).alias("n"),
+                    F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
+    # a rest for each document and a full piece for every ``length`` ids
+    expected = seen["n"] + seen["b"] // (ID_BYTES * length)
+    groups = max(1, -(-expected // group_pieces))
     pieces = token_pieces(docs, groups, tokenizer, length)
     return pieces.groupBy("_group").applyInPandas(_pack_group(length), PACKED)
