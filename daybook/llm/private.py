@@ -196,7 +196,8 @@ def disclosing(docs: DataFrame, found: DataFrame, n_docs: int,
     ic = F.log2(n / F.col("n_e"))
     judged = pairs.join(counts, "term").select(
         "entity", "term", ((ic > 0) & (pmi >= disclosure * ic)).alias("_tells"))
-    told = judged.filter("_tells").select("entity", "term")
+    # few rows, used twice: the count over all documents runs once
+    told = stored(judged.filter("_tells").select("entity", "term"))
     classes = told.filter(F.endswith("term", F.lit("*"))).select(
         "entity", F.col("term").alias("_class"))
     terms = told.filter(~F.endswith("term", F.lit("*"))).withColumn("_class", _class(F.col("term")))
