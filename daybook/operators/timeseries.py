@@ -19,17 +19,36 @@ from daybook.operators.aggregate import series_extent
 
 DEFAULT_LAGS = {"demand_1": 1, "demand_7": 7}
 DEFAULT_ROLLING = {"rolling_7_day_avg": (-7, -1)}
+#: Days that one array holds at most; longer stretches are cut into spans first.
+SPAN_DAYS = 1024
+
+
+def explode_days(df: DataFrame, first: str, last: str, day: str,
+                 spread_by: Sequence[str] | None = None, span_days: int = SPAN_DAYS) -> DataFrame:
+    """Every row once for each day from column ``first`` to ``last``, as column ``day``.
+
+    Two levels: the stretch is cut into spans of ``span_days``, then each span
+    into its days, so one wrong year makes no array of hundreds of thousands of
+    days. With ``spread_by`` (columns) the spans are shuffled between the levels,
+    by these columns and the span, so the days of one long gap are made by
+    several tasks. A row without a first day is kept, with a NULL day.
+    """
+    spans = F.sequence(F.lit(0), F.floor(F.datediff(last, first) / span_days).cast("int"))
+    out = df.select("*", F.explode_outer(spans).alias("_span"))
+    if spread_by is not None:
+        out = out.repartition(*spread_by, first, "_span")
+    begin = F.date_add(F.col(first), F.col("_span") * span_days)
+    end = F.least(F.date_add(begin, span_days - 1), F.col(last))
+    return out.select("*", F.explode_outer(F.sequence(begin, end)).alias(day)).drop("_span")
 
 
 def date_spine(daily: DataFrame, series_keys: Sequence[str] = SERIES_KEYS,
-               date_col: str = DATE_COL) -> DataFrame:
-    """Every calendar day from each series' first to its last day."""
-    return (
-        series_extent(daily, series_keys, date_col)
-        .withColumn(date_col, F.explode(F.sequence("first_date", "last_date",
-                                                   F.expr("interval 1 day"))))
-        .drop("first_date", "last_date")
-    )
+               date_col: str = DATE_COL, spread: bool = False) -> DataFrame:
+    """Every calendar day from each series' first to its last day. ``spread``:
+    long series are dealt over several tasks (one more shuffle, of spans)."""
+    extent = series_extent(daily, series_keys, date_col).filter(F.col("first_date").isNotNull())
+    return explode_days(extent, "first_date", "last_date", date_col,
+                        series_keys if spread else None).drop("first_date", "last_date")
 
 
 def _zero(df: DataFrame, col: str) -> F.Column:
@@ -58,7 +77,7 @@ def gapfill_days_join(daily: DataFrame, series_keys: Sequence[str] = SERIES_KEYS
 
 def gapfill_days(daily: DataFrame, series_keys: Sequence[str] = SERIES_KEYS,
                  date_col: str = DATE_COL,
-                 zero_filled: Sequence[str] = ZERO_FILLED) -> DataFrame:
+                 zero_filled: Sequence[str] = ZERO_FILLED, spread: bool = False) -> DataFrame:
     """Add a row for every missing day of each series, without a join.
 
     Each observed day is exploded into itself plus the missing days up to
@@ -66,7 +85,9 @@ def gapfill_days(daily: DataFrame, series_keys: Sequence[str] = SERIES_KEYS,
     ``zero_filled`` measures are 0 and the others NULL; on observed days
     NULL (and NaN) in ``zero_filled`` measures becomes 0. A row without a
     date is kept, for the feature contract to count and reject. One shuffle on
-    the series keys; the feature windows that follow reuse it.
+    the series keys; the feature windows that follow reuse it. ``spread``: the
+    spans of long gaps are dealt over several tasks by a second shuffle, for
+    filled tables that are stored without the windows.
     """
     keys = [date_col, *series_keys]
     measures = [c for c in daily.columns if c not in keys]
@@ -74,9 +95,8 @@ def gapfill_days(daily: DataFrame, series_keys: Sequence[str] = SERIES_KEYS,
     # greatest(): a repeated day (non-unique input) must not run backwards
     last = F.greatest(F.col(date_col),
                       F.coalesce(F.date_sub(F.lead(date_col).over(w), 1), F.col(date_col)))
-    exploded = daily.select("*", last.alias("_last")).select(
-        "*", F.explode_outer(F.sequence(F.col(date_col), F.col("_last"))).alias("_day")
-    )
+    exploded = explode_days(daily.select("*", last.alias("_last")), date_col, "_last", "_day",
+                            series_keys if spread else None)
     observed = F.col("_day").eqNullSafe(F.col(date_col))
     out = [F.col("_day").alias(date_col), *[F.col(k) for k in series_keys]]
     for m in measures:

@@ -38,6 +38,12 @@ from daybook.operators.model import (
     split_counts,
     xy_projection,
 )
+from daybook.operators.refresh import (
+    changed_series,
+    read_features,
+    refresh_features,
+    series_prints,
+)
 from daybook.operators.scoring import (
     PREDICTION_COLUMNS,
     actual_vs_predicted,
@@ -62,6 +68,8 @@ from daybook.plans.stages import (
 )
 from daybook.session import staging_path
 from daybook.sources.files import (
+    REJECT_COL,
+    ingest_parted,
     overwrite_partitions,
     publish,
     read_partitions,
@@ -105,6 +113,36 @@ def q_csv_ingest(s: Stages) -> DataFrame:
     return read_raw_csv(s.spark, _csv_source(s), RAW_SCHEMA)
 
 
+def _csv_with_bad_cells(s: Stages) -> str:
+    """The same CSV, with text in a number's place wherever the line number is 7."""
+    bad = F.when(F.col("transaction_id").endswith("-7"), F.lit("n/a"))
+    rows = s.raw.withColumn("ordered_quantity", F.coalesce(bad, F.col("ordered_quantity").cast("string")))
+    return write_csv(rows, staging_path(s.spark, "raw-csv-bad"))
+
+
+@query("csv_parted_counts",
+       "select count(*) as source_rows, count(*) filter (not suffix(transaction_id, '-7')) as good_rows, "
+       "count(*) filter (suffix(transaction_id, '-7')) as malformed_rows, "
+       "sum(demand_quantity) filter (not suffix(transaction_id, '-7')) as good_demand from tx")
+def q_csv_parted_counts(s: Stages) -> DataFrame:
+    good, bad = staging_path(s.spark, "bronze-good"), staging_path(s.spark, "bronze-rejects")
+    n = ingest_parted(s.spark, _csv_with_bad_cells(s), good, bad, max_share=0.5)
+    return read_table(s.spark, good).agg(
+        F.lit(n["source_rows"]).cast("long").alias("source_rows"), F.count(F.lit(1)).alias("good_rows"),
+        F.lit(n["malformed_rows"]).cast("long").alias("malformed_rows"),
+        exact_sum(F.col("demand_quantity")).alias("good_demand"))
+
+
+@query("csv_malformed_rows",
+       "select transaction_id, true as has_file from tx where suffix(transaction_id, '-7')")
+def q_csv_malformed_rows(s: Stages) -> DataFrame:
+    good, bad = staging_path(s.spark, "bronze-good"), staging_path(s.spark, "bronze-rejects")
+    ingest_parted(s.spark, _csv_with_bad_cells(s), good, bad, max_share=0.5)
+    return read_table(s.spark, bad).select(
+        F.split(f"{REJECT_COL}.text", ",")[0].alias("transaction_id"),
+        F.col(f"{REJECT_COL}.file").endswith(".csv").alias("has_file"))
+
+
 @query("ingest_rowcount", "select count(*) as source_rows, count(*) as table_rows from tx")
 def q_ingest_rowcount(s: Stages) -> DataFrame:
     source = read_raw_csv(s.spark, _csv_source(s))
@@ -288,6 +326,12 @@ def q_gapfill_days(s: Stages) -> DataFrame:
     return gapfill_days(s.daily)
 
 
+@query("gapfill_days_spread", "select * from full_days")
+def q_gapfill_days_spread(s: Stages) -> DataFrame:
+    # long gaps dealt over several tasks, for a filled table stored by itself
+    return gapfill_days(s.daily, spread=True)
+
+
 @query("gapfill_days_join", "select * from full_days")
 def q_gapfill_days_join(s: Stages) -> DataFrame:
     return gapfill_days_join(s.daily)
@@ -313,6 +357,43 @@ def q_calendar_features(s: Stages) -> DataFrame:
     return calendar_features(gapfill_days(s.daily).select(*KEY_COLUMNS))
 
 
+def _earlier_daily(daily: DataFrame) -> DataFrame:
+    """A former state of the daily table: without the ECONOMY series, with other
+    demand for PROMO, and with STANDARD series of a city that is gone since."""
+    product = F.col("product_name")
+    demand = F.when(product.startswith("PROMO"), F.col("total_demand") + 1)
+    kept = daily.filter(~product.startswith("ECONOMY")).withColumn(
+        "total_demand", F.coalesce(demand, F.col("total_demand")))
+    gone = daily.filter(product.startswith("STANDARD")).withColumn("destination_city", F.lit("GONE"))
+    return kept.unionByName(gone)
+
+
+def _stored_daily(s: Stages) -> DataFrame:
+    path = staging_path(s.spark, "daily")
+    write_table(s.daily, path)
+    return read_table(s.spark, path)
+
+
+@query("features_refreshed", "select * from feat")
+def q_features_refreshed(s: Stages) -> DataFrame:
+    # built from the former state, then only what changed since: as a full rebuild
+    daily, folder = _stored_daily(s), staging_path(s.spark, "refreshed")
+    refresh_features(_earlier_daily(daily), folder, buckets=32)
+    refresh_features(daily, folder)
+    return read_features(s.spark, folder)
+
+
+@query("changed_series",
+       """select distinct product_name, case when k = 1 then 'GONE' else destination_city end as destination_city,
+         product_name like 'ECONOMY%' as is_new, k = 1 as is_deleted
+       from agg, (select 0 as k union all select 1) d
+       where (k = 0 and (product_name like 'ECONOMY%' or product_name like 'PROMO%'))
+         or (k = 1 and product_name like 'STANDARD%')""")
+def q_changed_series(s: Stages) -> DataFrame:
+    daily = _stored_daily(s)
+    return changed_series(series_prints(daily), series_prints(_earlier_daily(daily)))
+
+
 @query("feature_table", "select * from feat")
 def q_feature_table(s: Stages) -> DataFrame:
     return s.features

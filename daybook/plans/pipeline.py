@@ -42,9 +42,12 @@ from daybook.operators.lifecycle import (
     run_summary,
 )
 from daybook.operators.model import DemandModel, feature_importance, fit_gbt, require_split, split_by_date
+from daybook.operators.refresh import refresh_features
 from daybook.operators.scoring import PREDICTION_COLUMNS, chart_grid, joined_predictions, score
 from daybook.operators.timeseries import build_features
 from daybook.sources.files import (
+    REJECT_COL,
+    ingest_parted,
     overwrite_partitions,
     publish,
     read_partitions,
@@ -58,8 +61,9 @@ from daybook.sources.versions import current_version, fs_path, table_exists
 VERSIONS_SCHEMA = "model_name string, version string, alias string, test_r2 double"
 # scores: the predictions of all versions, a partition for each; fits: trees of
 # unfinished fits; artifacts: importance, test predictions and chart data by version
-LAYERS = ["bronze", "silver", "daily_agg", "features", "scores", "predictions", "model_versions",
-          "runs", "models", "fits", "artifacts"]
+# rejects: malformed rows of the last file; features_by_bucket: features refreshed by series
+LAYERS = ["bronze", "rejects", "silver", "daily_agg", "features", "scores", "predictions", "model_versions",
+          "runs", "models", "fits", "artifacts", "features_by_bucket"]
 BY_VERSION = ["model_name", "model_version"]
 #: Versions of a layer that stay readable.
 KEEP_VERSIONS = 7
@@ -94,21 +98,27 @@ def _publish(df: DataFrame, target: str, check=None, fmt: str = "parquet") -> in
 
 
 def run_bronze(spark: SparkSession, source_csv: str, paths: dict, m: dict,
-               fmt: str = "parquet") -> None:
-    """The file as it is; rows written must equal rows stored."""
-    raw = read_raw_csv(spark, source_csv)
-
+               fmt: str = "parquet", max_malformed: float | None = None) -> None:
+    """The file as it is; rows written must equal rows stored. A malformed row stops
+    the run, or, with ``max_malformed`` (a share of the rows), goes to ``rejects``."""
     def check(staged: DataFrame, rows: int) -> dict:
         v = C.require_rowcount(rows, staged, with_duplicates=True)
         m["duplicates"] = {k: v[k] for k in ["total_rows", "distinct_rows", "duplicate_rows"]}
         return {k: v[k] for k in ["source_rows", "table_rows"]}
 
+    if max_malformed is not None:
+        counts = ingest_parted(spark, source_csv, paths["bronze"], paths["rejects"], max_malformed,
+                               fmt=fmt, keep=KEEP_VERSIONS)
+        bronze = read_table(spark, paths["bronze"], fmt).drop(REJECT_COL)
+        m["bronze"] = counts | check(bronze, counts["good_rows"]) | {"source_rows": counts["source_rows"]}
+        return
+    raw = read_raw_csv(spark, source_csv)
     _publish(raw, paths["bronze"], _keep(m, "bronze", check), fmt)
 
 
 def run_silver(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet") -> None:
     """One row per id, dates parsed; duplicate ids or invalid dates stop the run."""
-    bronze = read_table(spark, paths["bronze"], fmt)
+    bronze = read_table(spark, paths["bronze"], fmt).drop(REJECT_COL)
     _publish(to_silver(bronze), paths["silver"], _keep(m, "silver", C.require_silver), fmt)
     m["date_range"] = date_range(read_table(spark, paths["silver"], fmt)).first().asDict()
 
@@ -139,6 +149,14 @@ def run_features(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet"
         read_table(spark, paths["features"], fmt)).first().asDict()
 
 
+def run_refresh(spark: SparkSession, paths: dict, m: dict, fmt: str = "parquet") -> None:
+    """Bring the partitioned feature table up to date: only partitions with a changed
+    series are built, checked and replaced."""
+    daily = read_table(spark, paths["daily_agg"], fmt)
+    m["refresh"] = refresh_features(daily, paths["features_by_bucket"], fmt=fmt,
+                                    check=lambda staged, rows: C.require_features(staged, rows))
+
+
 def run_training(spark: SparkSession, paths: dict, m: dict, cut: str,
                  model_name: str = "demand_model", max_iter: int = MODEL_PARAMS["iterations"],
                  min_improvement: float = MIN_IMPROVEMENT, fmt: str = "parquet") -> tuple[str, dict]:
@@ -262,11 +280,12 @@ def run_predictions(spark: SparkSession, paths: dict, m: dict, cut: str,
 
 def run_pipeline(spark: SparkSession, source_csv: str, out_dir: str, cut: str,
                  model_name: str = "demand_model", max_iter: int = MODEL_PARAMS["iterations"],
-                 min_improvement: float = MIN_IMPROVEMENT, fmt: str = "parquet") -> PipelineResult:
+                 min_improvement: float = MIN_IMPROVEMENT, fmt: str = "parquet",
+                 max_malformed: float | None = None) -> PipelineResult:
     paths = layer_paths(out_dir)
     res = PipelineResult(paths)
     m = res.measures
-    run_bronze(spark, source_csv, paths, m, fmt)
+    run_bronze(spark, source_csv, paths, m, fmt, max_malformed)
     run_silver(spark, paths, m, fmt)
     run_daily(spark, paths, m, fmt)
     run_features(spark, paths, m, fmt)
@@ -276,7 +295,7 @@ def run_pipeline(spark: SparkSession, source_csv: str, out_dir: str, cut: str,
     return res
 
 
-STAGES = ["bronze", "silver", "daily", "features", "training", "predictions", "all"]
+STAGES = ["bronze", "silver", "daily", "features", "refresh", "training", "predictions", "all"]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -292,6 +311,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--model-name", default="demand_model")
     ap.add_argument("--max-iter", type=int, default=MODEL_PARAMS["iterations"])
     ap.add_argument("--min-improvement", type=float, default=MIN_IMPROVEMENT)
+    ap.add_argument("--max-malformed", type=float, default=None,
+                    help="share of malformed rows that bronze keeps apart (default: any stops it)")
     ap.add_argument("--format", default="parquet")
     a = ap.parse_args(argv)
     if a.cut is None and a.stage in ("training", "predictions", "all"):
@@ -302,20 +323,24 @@ def main(argv: list[str] | None = None) -> None:
     paths, m = layer_paths(a.out), {}
     # size the first shuffle from the stage's own input
     sized_by = {"bronze": a.source, "all": a.source, "silver": paths["bronze"],
-                "daily": paths["silver"], "features": paths["daily_agg"]}.get(a.stage, paths["features"])
+                "daily": paths["silver"], "features": paths["daily_agg"],
+                "refresh": paths["daily_agg"]}.get(a.stage, paths["features"])
     if sized_by and _exists(spark, sized_by):
         m["shuffle_partitions"] = size_shuffles(spark, sized_by)
     if a.stage == "all":
         m = run_pipeline(spark, a.source, a.out, a.cut, a.model_name, max_iter=a.max_iter,
-                         min_improvement=a.min_improvement, fmt=a.format).measures
+                         min_improvement=a.min_improvement, fmt=a.format,
+                         max_malformed=a.max_malformed).measures
     elif a.stage == "bronze":
-        run_bronze(spark, a.source, paths, m, a.format)
+        run_bronze(spark, a.source, paths, m, a.format, a.max_malformed)
     elif a.stage == "silver":
         run_silver(spark, paths, m, a.format)
     elif a.stage == "daily":
         run_daily(spark, paths, m, a.format)
     elif a.stage == "features":
         run_features(spark, paths, m, a.format)
+    elif a.stage == "refresh":
+        run_refresh(spark, paths, m, a.format)
     elif a.stage == "training":
         run_training(spark, paths, m, a.cut, a.model_name, max_iter=a.max_iter,
                      min_improvement=a.min_improvement, fmt=a.format)

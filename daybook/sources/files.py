@@ -8,6 +8,8 @@ failed contract never replaces a good table and there is a whole one at any time
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from daybook.config import RAW_SCHEMA
-from daybook.sources.versions import publish_version, retain, table_path
+from daybook.errors import DataContractError
+from daybook.sources.versions import fs_path, publish_version, retain, table_path
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
@@ -31,6 +34,29 @@ def read_raw_csv(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA
     )
 
 
+#: Column of a parted scan: NULL for a good row, file and text of a malformed one.
+REJECT_COL = "_reject"
+
+
+def read_raw_csv_parted(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
+    """The same scan with malformed rows kept apart instead of raised: column
+    ``_reject`` (file, text) is NULL for a good row. A row is malformed if a cell
+    doesn't parse or the number of cells is not the schema's; a header that
+    differs still raises."""
+    text = "_malformed_text"
+    rows = (
+        spark.read.option("header", "true")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", text)
+        .option("enforceSchema", "false")
+        .schema(StructType([*schema, StructField(text, StringType())]))
+        .csv(path)
+    )
+    reject = F.when(F.col(text).isNotNull(), F.struct(F.col("_metadata.file_path").alias("file"),
+                                                      F.col(text).alias("text")))
+    return rows.select(*schema.names, reject.alias(REJECT_COL))
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """Export a table as headed CSV (full overwrite)."""
     df.write.mode("overwrite").option("header", "true").csv(path)
@@ -54,6 +80,56 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     return int(obs.get["rows"])
 
 
+def ingest_parted(spark: SparkSession, source: str, target: str, rejects: str,
+                  max_share: float = 0.0, schema: StructType = RAW_SCHEMA, fmt: str = "parquet",
+                  keep: int | None = None) -> dict[str, int]:
+    """Raw CSV into two published tables in one scan: good rows into ``target``,
+    malformed ones (file, text) into ``rejects``; returns their numbers.
+
+    The rows are written once, parted by a flag, and counted by an ``Observation`` of the
+    same job; the two parts are then moved (not rewritten) into a new version of
+    each table, rejects first. More than ``max_share`` malformed rows raise
+    ``DataContractError``: both tables keep their versions and the staged rows stay for
+    inspection. A part without rows is an empty version."""
+    rows = read_raw_csv_parted(spark, source, schema)
+    flag = F.col(REJECT_COL).isNotNull()
+    obs = Observation("rows_parted")
+    staged = os.path.join(target, f"_parted-{uuid.uuid4().hex[:12]}")
+    (rows.withColumn("_bad", flag.cast("int"))
+     .observe(obs, F.count(F.lit(1)).alias("source_rows"), F.count_if(~flag).alias("good_rows"),
+              F.count_if(flag).alias("malformed_rows"))
+     .write.partitionBy("_bad").format(fmt).save(staged))
+    counts = {k: int(v) for k, v in obs.get.items()}
+    if counts["malformed_rows"] > max_share * counts["source_rows"]:
+        raise DataContractError("malformed rows", f"more than {max_share:.2%}", counts | {"staged": staged})
+
+    def moved(part: int):
+        def write(empty: DataFrame, path: str) -> int:
+            fs, src = fs_path(spark, os.path.join(staged, f"_bad={part}"))
+            if not fs.exists(src):
+                empty.write.format(fmt).save(path)
+            elif not fs.rename(src, fs_path(spark, path)[1]):
+                raise OSError(f"can't move {src}")
+            return counts["malformed_rows" if part else "good_rows"]
+        return write
+
+    def check(path: str, n: int) -> None:
+        stored = spark.read.format(fmt).load(path).count()
+        if stored != n:
+            raise DataContractError("malformed rows", "stored rows differ", counts | {"stored": stored})
+
+    empty = rows.limit(0)
+    for part, table in ((1, rejects), (0, target)):
+        fs, p = fs_path(spark, table)
+        fs.mkdirs(p)
+        publish_version(empty, table, moved(part), check)
+        if keep is not None:
+            retain(spark, table, keep)
+    fs, p = fs_path(spark, staged)
+    fs.delete(p, True)
+    return counts
+
+
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet") -> str:
     """Write the rows into a table partitioned by ``by``; partitions that occur
     among the rows are replaced, all others stay as they are."""
