@@ -33,15 +33,17 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import cut_spans, id_text, released, sha256_hex
+from daybook.llm.common import cut_spans, id_text, released, sha256_hex, ship_package, written
 
 WINDOW = 10
 #: Words that one index holds at most.
 SHARD_WORDS = 1 << 20
 #: Every so many-th suffix position is kept.
 SAMPLE = 16
-#: Bytes of test items that are searched (and broadcast) at once.
+#: Bytes of test items that pass through the driver and are broadcast at once.
 PHRASE_BYTES = 32 << 20
+#: Words of an item that stay together in a block.
+SLICE_WORDS = 1 << 14
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -256,25 +258,48 @@ def _search(s: np.ndarray, lengths: list[int], places: list[tuple[int, int]], ph
             items[d].update(owners[w])
 
 
-_FOUND = "_id long, _text string, _spans array<int>, _items array<string>"
+_HITS = "_id long, _key string, _spans array<int>, _items array<string>"
 _DIGEST = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
                      ("n_items", pa.int64()), ("items_sha256", pa.string()),
                      ("contaminated", pa.bool_()), ("spans", pa.string())])
 
 
-def broadcast_phrases(benchmark: DataFrame, window: int = WINDOW,
-                      phrase_bytes: int = PHRASE_BYTES) -> list[Broadcast]:
-    """The items' windows, in blocks of about ``phrase_bytes`` of text."""
-    spark = benchmark.sparkSession
-    items = id_text(benchmark, "item_id")
-    total = items.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    blocks = max(1, -(-int(total) // phrase_bytes))
-    out = []
-    for k in range(blocks):
-        block = items.filter(F.pmod(F.xxhash64("_id", "_text"), F.lit(blocks)) == k)
-        rows = [(r["_id"], r["_text"]) for r in block.collect()]
-        out.append(spark.sparkContext.broadcast(make_phrases(rows, window)))
-    return out
+class Items:
+    """The test items in blocks of about ``phrase_bytes`` of text, of which one at a
+    time passes through the driver and is broadcast. Long items are cut into slices
+    that overlap by a window less one word, so a block's size doesn't depend on them."""
+
+    def __init__(self, benchmark: DataFrame, window: int = WINDOW, phrase_bytes: int = PHRASE_BYTES):
+        self.window = window
+        items = id_text(benchmark, "item_id")
+        total = items.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+        self.blocks = max(1, -(-int(total) // phrase_bytes))
+        self.slices = items.mapInArrow(_sliced(window), "_id long, _text string")
+
+    def block(self, k: int) -> Broadcast:
+        rows = self.slices.filter(F.pmod(F.xxhash64("_id", "_text"), F.lit(self.blocks)) == k).collect()
+        return self.slices.sparkSession.sparkContext.broadcast(
+            make_phrases([(r["_id"], r["_text"]) for r in rows], self.window))
+
+
+def slices_of(text: str, window: int, size: int = SLICE_WORDS) -> Iterator[str]:
+    """Texts of at most ``size`` words that together have the item's windows."""
+    words = words_of(text)
+    size = max(size, 2 * window)
+    for at in range(0, max(len(words) - window, 0) + 1, size - window + 1):
+        if words:
+            yield " ".join(words[at:at + size])
+
+
+def _sliced(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(i, part) for i, text in zip(*(c.to_pylist() for c in b.columns))
+                    for part in slices_of(text, window)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())],
+                names=["_id", "_text"])
+    return run
 
 
 def _digest(doc: int | None, text: str, n: int, flat: list[int], items: list[str]) -> tuple:
@@ -284,30 +309,69 @@ def _digest(doc: int | None, text: str, n: int, flat: list[int], items: list[str
             bool(spans), ",".join(f"{places[s][0]}:{places[e - 1][1]}" for s, e in spans))
 
 
-def _pass(phrases: Broadcast, last: bool):
-    """One pass over the documents with one block of items; adds to what
-    earlier passes have found. The last pass returns the digest."""
+def _digested(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[]] * len(_DIGEST)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, _DIGEST)], schema=_DIGEST)
+
+
+def _one_block(phrases: Broadcast):
+    """The digest, where one block holds all items."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, texts = (c.to_pylist() for c in b.columns)
+            found = scan(map(words_of, texts), len(texts), phrases.value)
+            yield _digested([_digest(i, t, n, [x for pair in spans for x in pair], sorted(items))
+                             for i, t, (spans, items, n) in zip(ids, texts, found)])
+    return run
+
+
+def _hits_of(phrases: Broadcast):
+    """Spans and items of the documents that hold a window of one block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, texts, spans, items = (c.to_pylist() for c in b.columns)
+            ids, keys, texts = (c.to_pylist() for c in b.columns)
             found = scan(map(words_of, texts), len(texts), phrases.value)
-            for i, (new, names, _) in enumerate(found):
-                if new:
-                    spans[i] = spans[i] + [x for pair in new for x in pair]
-                    items[i] = sorted({*items[i], *names})
-            if last:
-                rows = [_digest(*x) for x in zip(ids, texts, (n for _, _, n in found), spans, items)]
-                columns = list(zip(*rows)) or [[]] * len(_DIGEST)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(columns, _DIGEST)], schema=_DIGEST)
-            else:
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(spans, pa.list_(pa.int32())),
-                     pa.array(items, pa.list_(pa.string()))],
-                    names=["_id", "_text", "_spans", "_items"])
+            rows = [(i, k, [x for e in covered([x for pair in spans for x in pair]) for x in e], sorted(items))
+                    for i, k, (spans, items, _) in zip(ids, keys, found) if spans]
+            columns = list(zip(*rows)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()),
+                 pa.array(columns[2], pa.list_(pa.int32())), pa.array(columns[3], pa.list_(pa.string()))],
+                names=["_id", "_key", "_spans", "_items"])
     return run
 
 
+def _from_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        ids, texts, spans, items = (c.to_pylist() for c in b.columns)
+        yield _digested([_digest(i, t, len(words_of(t)), s or [], sorted(set(names or [])))
+                         for i, t, s, names in zip(ids, texts, spans, items)])
+
+
+def _found_in_blocks(texts: DataFrame, items: Items) -> DataFrame:
+    """_id, _key, _spans, _items of the documents (``_id``, ``_key``, ``_text``) with hits,
+    once for rows that repeat. Each block is broadcast, scanned for, written and given up
+    before the next one is built."""
+    found = None
+    for k in range(items.blocks):
+        phrases = items.block(k)
+        hits = texts.select("_id", "_key", "_text").mapInArrow(released(_hits_of(phrases)), _HITS)
+        hits = written(hits.groupBy("_id", "_key").agg(  # equal texts have equal hits
+            F.first("_spans").alias("_spans"), F.first("_items").alias("_items")), "hits")
+        phrases.destroy()
+        found = hits if found is None else found.unionByName(hits)
+    return found.groupBy("_id", "_key").agg(
+        F.flatten(F.collect_list("_spans")).alias("_spans"),   # an entry for each block at most
+        F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items"))
+
+
+def _with_hits(texts: DataFrame, found: DataFrame) -> DataFrame:
+    near = found.select(F.col("_id").alias("_i"), F.col("_key").alias("_m"), "_spans", "_items")
+    return texts.join(near, texts["_id"].eqNullSafe(near["_i"]) & (texts["_key"] == near["_m"]),
+                      "left").drop("_i", "_m")
+
+
 def covered(flat: Sequence[int]) -> list[tuple[int, int]]:
     """Merged word spans of a flat list of starts and ends."""
     out: list[list[int]] = []
@@ -323,17 +387,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   phrase_bytes: int = PHRASE_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans
     (covered code points of the text) for every document. With more than one
-    block of items the documents pass one block after the other within the
-    same tasks."""
-    held = broadcast_phrases(benchmark, window, phrase_bytes)
-    out = id_text(docs).select(
-        "_id", "_text", F.array().cast("array<int>").alias("_spans"),
-        F.array().cast("array<string>").alias("_items"))
-    for phrases in held[:-1]:
-        out = out.mapInArrow(_pass(phrases, False), _FOUND)
-    return out.mapInArrow(_pass(held[-1], True),
-                          "doc_id long, n_words long, n_hit long, n_items long, "
-                          "items_sha256 string, contaminated boolean, spans string")
+    block of items the documents are scanned once for each, and what was found is
+    joined with them at the end."""
+    items = Items(benchmark, window, phrase_bytes)
+    schema = ("doc_id long, n_words long, n_hit long, n_items long, "
+              "items_sha256 string, contaminated boolean, spans string")
+    texts = id_text(docs)
+    if items.blocks == 1:
+        return texts.mapInArrow(_one_block(items.block(0)), schema)
+    texts = texts.withColumn("_key", F.sha2("_text", 256))
+    return _with_hits(texts, _found_in_blocks(texts, items)).select(
+        "_id", "_text", "_spans", "_items").mapInArrow(released(_from_hits), schema)
+
+
+def _cut(text: str, flat: Sequence[int]) -> str:
+    """The text without the words of the spans."""
+    places = [m.span() for m in _WORD.finditer(lower_ascii(text))]
+    return cut_spans(text, [(places[s][0], places[e - 1][1]) for s, e in covered(flat)])
 
 
 def remove_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -341,23 +411,20 @@ def remove_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """The documents with the covered passages cut out of their texts; rows
     and other columns stay. Changed texts are searched again until nothing is
     found, since what stood on both sides of a cut may form a new window."""
-    held = broadcast_phrases(benchmark, window, phrase_bytes)
+    items = Items(benchmark, window, phrase_bytes)
+    if items.blocks > 1:
+        return _remove_in_rounds(docs, items, text_col)
+    phrases = items.block(0)
     at = docs.columns.index(text_col)
 
     def clean(texts: list[str | None]) -> list[str | None]:
         todo = [i for i, t in enumerate(texts) if t]
         while todo:
-            flat: list[list[int]] = [[] for _ in todo]
-            for phrases in held:
-                found = scan((words_of(texts[i]) for i in todo), len(todo), phrases.value)
-                for j, (new, _, _) in enumerate(found):
-                    flat[j] += [x for pair in new for x in pair]
-            for i, spans in zip(todo, flat):
-                if spans:
-                    places = [m.span() for m in _WORD.finditer(lower_ascii(texts[i]))]
-                    texts[i] = cut_spans(texts[i], [(places[s][0], places[e - 1][1])
-                                                    for s, e in covered(spans)])
-            todo = [i for i, spans in zip(todo, flat) if spans]
+            found = scan((words_of(texts[i]) for i in todo), len(todo), phrases.value)
+            hit = [(i, [x for pair in spans for x in pair]) for i, (spans, _, _) in zip(todo, found) if spans]
+            for i, flat in hit:
+                texts[i] = _cut(texts[i], flat)
+            todo = [i for i, _ in hit]
         return texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,3 +434,42 @@ def remove_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
 
     return docs.mapInArrow(released(run), docs.schema)
+
+
+def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        ids, keys, texts, spans = (c.to_pylist() for c in b.columns)
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), pa.array(list(map(_cut, texts, spans)), pa.string())],
+            names=["_id", "_key", "_new"])
+
+
+def _remove_in_rounds(docs: DataFrame, items: Items, text_col: str) -> DataFrame:
+    """The same with several blocks: the texts that still have hits are cut and searched
+    again. They are named by the SHA-256 of what stood there first; each round holds
+    changed texts only, once for rows that repeat."""
+    ship_package(docs.sparkSession)
+    no_id = F.lit(None).cast("long").alias("_id")
+    todo = docs.select(no_id, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")).select(
+        "_id", F.sha2("_text", 256).alias("_key"), "_text")
+    changed = None
+    while True:
+        hits = _found_in_blocks(todo, items).filter(F.size("_spans") > 0)
+        cut = written(_with_hits(todo, hits).filter(F.col("_spans").isNotNull())
+                      .select("_id", "_key", "_text", "_spans")
+                      .mapInArrow(released(_cut_rows), "_id long, _key string, _new string")
+                      .groupBy("_key").agg(F.first("_new").alias("_new")), "cut")
+        if cut.isEmpty():
+            break
+        todo = cut.select(no_id, "_key", F.col("_new").alias("_text"))
+        # the latest text of each first text
+        changed = cut if changed is None else written(
+            changed.join(cut.withColumnRenamed("_new", "_newer"), "_key", "left")
+            .select("_key", F.coalesce("_newer", "_new").alias("_new")), "changed")
+    if changed is None:
+        return docs
+    key = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
+    names = docs.columns
+    near = changed.select(F.col("_key").alias("_changed_key"), F.col("_new").alias("_changed_text"))
+    return docs.join(near, key == near["_changed_key"], "left").select(
+        *[F.coalesce("_changed_text", docs[c]).alias(c) if c == text_col else docs[c] for c in names])
