@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.config import FEATURE_COLUMNS, KEY_COLUMNS, TARGET_COL
+from daybook.session import staging_path
+from daybook.sources.files import read_table, write_table
 
 PREDICTION_COLUMNS = [*KEY_COLUMNS, "actual_demand", "predicted_demand", "model_version"]
 
@@ -52,11 +54,15 @@ def chart_grid(df: DataFrame, cells: int = 100) -> DataFrame:
     common range of both: chart data whose size doesn't depend on the rows.
     (actual_cell, predicted_cell, rows, actual_from, predicted_from); the largest
     values fall into the last cell; rows with a missing value are left out; with
-    one value in all there's one cell."""
+    one value in all there's one cell. The limits and the cells need two passes: the
+    pairs of values are stored first, so the rows are made once."""
     if not 1 <= cells <= 100:
         raise ValueError(f"cells: {cells}")
     a, p = F.col("actual_demand"), F.col("predicted_demand")
     valid = df.filter(a.isNotNull() & p.isNotNull() & ~F.isnan(a) & ~F.isnan(p))
+    path = staging_path(df.sparkSession, "chart-pairs")
+    write_table(valid.select(a, p), path)
+    valid = read_table(df.sparkSession, path)
     limits = plot_limits(valid)
     width = (F.col("upper") - F.col("lower")) / cells
     cell = (lambda c: F.when(F.col("upper") == F.col("lower"), F.lit(0)).otherwise(
