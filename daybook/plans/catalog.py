@@ -678,7 +678,7 @@ def q_category_target_stats(s: Stages) -> DataFrame:
        f"(select count(*) from (select distinct {_KEYS} from test_rows)) as distinct_keys "
        "from test_rows")
 def q_gbt_check(s: Stages) -> DataFrame:
-    return C.prediction_check(score(s.gbt(), s.test, "gbt"))
+    return C.prediction_check(score(s.gbt(), s.model_split[1], "gbt"))
 
 
 @query("feature_importance_check",
@@ -691,7 +691,7 @@ def q_feature_importance_check(s: Stages) -> DataFrame:
 
 @query("gbt_predictions")
 def q_gbt_predictions(s: Stages) -> DataFrame:
-    return score(s.gbt(), s.test, "gbt")
+    return score(s.gbt(), s.model_split[1], "gbt")
 
 
 @query("feature_importance")

@@ -12,12 +12,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.config import FIXTURE_CUT_DATE, MODEL_PARAMS
+from daybook.config import DAILY_MEASURES, FIXTURE_CUT_DATE, ID_COL, KEY_COLUMNS, MODEL_PARAMS
 from daybook.operators.aggregate import daily_agg
 from daybook.operators.clean import dedupe_by_key, parse_dates
 from daybook.operators.model import ColumnPredictor, DemandModel, fit_gbt, split_by_date
 from daybook.operators.scoring import score
 from daybook.operators.timeseries import build_features
+from daybook.session import staging_path
+from daybook.sources.files import read_table, write_table
 from daybook.sources.fixtures import transactions_from_star
 
 MODEL_NAME = "demand_model"
@@ -53,7 +55,9 @@ class Stages:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return daily_agg(self.silver)
+        # the silver rows, with the columns that the aggregate reads
+        read = [c for _, c in DAILY_MEASURES.values() if c is not None]
+        return daily_agg(parse_dates(dedupe_by_key(self.raw, columns=[ID_COL, *KEY_COLUMNS, *read])))
 
     @cached_property
     def features(self) -> DataFrame:
@@ -63,6 +67,14 @@ class Stages:
     def split(self) -> tuple[DataFrame, DataFrame]:
         return split_by_date(self.features, self.cut)
 
+    @cached_property
+    def model_split(self) -> tuple[DataFrame, DataFrame]:
+        """:attr:`split` of the feature table stored once: the fit and the scores
+        of the test rows read it, the raw tables are joined in one pass."""
+        path = staging_path(self.spark, "features")
+        write_table(self.features, path)
+        return split_by_date(read_table(self.spark, path), self.cut)
+
     @property
     def train(self) -> DataFrame:
         return self.split[0]
@@ -97,5 +109,5 @@ class Stages:
         """The model of these tables, fitted once for each application."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.cut, max_iter)
         if key not in _FITTED:
-            _FITTED[key] = fit_gbt(self.train, max_iter=max_iter)
+            _FITTED[key] = fit_gbt(self.model_split[0], max_iter=max_iter)
         return _FITTED[key]
