@@ -104,8 +104,8 @@ def query(name: str, sql: str | None = None):
 # ---- sources and sinks -------------------------------------------------------
 
 def _csv_source(s: Stages) -> str:
-    """Write the raw transactions as the headed CSV the job ingests."""
-    return write_csv(s.raw, staging_path(s.spark, "raw-csv"))
+    """Write the raw transactions as the headed CSV the job ingests (compressed)."""
+    return write_csv(s.raw, staging_path(s.spark, "raw-csv"), "lz4")
 
 
 @query("csv_ingest", "select * from tx")
@@ -117,7 +117,7 @@ def _csv_with_bad_cells(s: Stages) -> str:
     """The same CSV, with text in a number's place wherever the line number is 7."""
     bad = F.when(F.col("transaction_id").endswith("-7"), F.lit("n/a"))
     rows = s.raw.withColumn("ordered_quantity", F.coalesce(bad, F.col("ordered_quantity").cast("string")))
-    return write_csv(rows, staging_path(s.spark, "raw-csv-bad"))
+    return write_csv(rows, staging_path(s.spark, "raw-csv-bad"), "lz4")
 
 
 @query("csv_parted_counts",
@@ -140,7 +140,7 @@ def q_csv_malformed_rows(s: Stages) -> DataFrame:
     ingest_parted(s.spark, _csv_with_bad_cells(s), good, bad, max_share=0.5)
     return read_table(s.spark, bad).select(
         F.split(f"{REJECT_COL}.text", ",")[0].alias("transaction_id"),
-        F.col(f"{REJECT_COL}.file").endswith(".csv").alias("has_file"))
+        F.col(f"{REJECT_COL}.file").endswith(".csv.lz4").alias("has_file"))
 
 
 @query("ingest_rowcount", "select count(*) as source_rows, count(*) as table_rows from tx")

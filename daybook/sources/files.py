@@ -57,9 +57,17 @@ def read_raw_csv_parted(spark: SparkSession, path: str, schema: StructType = RAW
     return rows.select(*schema.names, reject.alias(REJECT_COL))
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """Export a table as headed CSV (full overwrite)."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+#: Most rows of a compressed CSV file, which one task reads whole.
+CSV_FILE_ROWS = 1_000_000
+
+
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> str:
+    """Export a table as headed CSV (full overwrite). ``compression``: a codec of
+    Spark's (lz4, gzip, ...), in files of at most ``CSV_FILE_ROWS`` rows."""
+    writer = df.write.mode("overwrite").option("header", "true")
+    if compression is not None:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", CSV_FILE_ROWS)
+    writer.csv(path)
     return path
 
 
