@@ -66,7 +66,7 @@ from daybook.plans.stages import (
     SCENARIO_CHAMPION,
     Stages,
 )
-from daybook.session import staging_path
+from daybook.session import measured_joins, staging_path
 from daybook.sources.files import (
     REJECT_COL,
     ingest_parted,
@@ -105,7 +105,8 @@ def query(name: str, sql: str | None = None):
 
 def _csv_source(s: Stages) -> str:
     """Write the raw transactions as the headed CSV the job ingests (compressed)."""
-    return write_csv(s.raw, staging_path(s.spark, "raw-csv"), "lz4")
+    with measured_joins(s.spark):
+        return write_csv(s.raw, staging_path(s.spark, "raw-csv"), "lz4")
 
 
 @query("csv_ingest", "select * from tx")
@@ -117,7 +118,8 @@ def _csv_with_bad_cells(s: Stages) -> str:
     """The same CSV, with text in a number's place wherever the line number is 7."""
     bad = F.when(F.col("transaction_id").endswith("-7"), F.lit("n/a"))
     rows = s.raw.withColumn("ordered_quantity", F.coalesce(bad, F.col("ordered_quantity").cast("string")))
-    return write_csv(rows, staging_path(s.spark, "raw-csv-bad"), "lz4")
+    with measured_joins(s.spark):
+        return write_csv(rows, staging_path(s.spark, "raw-csv-bad"), "lz4")
 
 
 @query("csv_parted_counts",
